@@ -1,0 +1 @@
+"""Intentionally empty: every workload of this library is scheduled batch, none is a stream."""

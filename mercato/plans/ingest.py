@@ -34,15 +34,20 @@ class IngestReport:
 
 
 def ingest_table(
-    spark: SparkSession, table: str, raw_dir: str, out_dir: str, partitioned: bool = False
+    spark: SparkSession,
+    table: str,
+    raw_dir: str,
+    out_dir: str,
+    partitioned: bool = False,
+    file_name: str = "{table}.csv",
 ) -> IngestReport:
-    """Clean one table and write it.
+    """Clean one table and write it. ``file_name`` is the pattern of the raw files' names.
 
     Rows are counted from the raw files and from the written footers. A counter inside the
     write would be cheaper, but repeats rows when an executor is lost and its task runs again.
     """
     spec = spec_of(table)
-    raw = read_csv(spark, f"{raw_dir.rstrip('/')}/{spec.file}", spec)
+    raw = read_csv(spark, f"{raw_dir.rstrip('/')}/{file_name.format(table=table)}", spec)
     path = f"{out_dir.rstrip('/')}/{table}.parquet"
     cleaned = clean(raw, spec)
     if partitioned and table in PARTITIONED:
@@ -58,8 +63,11 @@ def ingest_all(
     out_dir: str,
     tables: Iterable[str] = tuple(CATALOG),
     partitioned: bool = False,
+    file_name: str = "{table}.csv",
 ) -> list[IngestReport]:
-    return [ingest_table(spark, table, raw_dir, out_dir, partitioned) for table in tables]
+    return [
+        ingest_table(spark, table, raw_dir, out_dir, partitioned, file_name) for table in tables
+    ]
 
 
 def report_frame(spark: SparkSession, reports: list[IngestReport]) -> DataFrame:

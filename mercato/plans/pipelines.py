@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from mercato.functions.columns import (
     as_timestamp,
@@ -58,9 +58,9 @@ def _text(df: DataFrame) -> DataFrame:
 
 
 def export_raw(wh: Warehouse, source: str, table: str) -> str:
-    """A source table as raw CSV under a fresh folder, named as its spec says."""
+    """A source table as raw CSV under a fresh folder."""
     folder = scratch_path(wh.spark, "raw")
-    export_csv(_text(wh.source(source)), f"{folder}/{spec_of(table).file}")
+    export_csv(_text(wh.source(source)), f"{folder}/{table}.csv")
     return folder
 
 
@@ -69,7 +69,7 @@ def csv_round_trip(wh: Warehouse) -> DataFrame:
     """Orders exported as CSV and read back as raw text, then typed and deduplicated."""
     spec = spec_of("orders")
     folder = export_raw(wh, "orders", "orders")
-    raw = read_csv(wh.spark, f"{folder}/{spec.file}", spec)
+    raw = read_csv(wh.spark, f"{folder}/orders.csv", spec)
     typed = coerce_timestamps(clean_strings(raw), spec)
     return dedupe(typed, spec)
 
@@ -79,7 +79,7 @@ def csv_nulls(wh: Warehouse) -> DataFrame:
     """Blank cells read as NULL, whatever the type of the column."""
     spec = spec_of("orders")
     folder = export_raw(wh, "orders", "orders")
-    raw = read_csv(wh.spark, f"{folder}/{spec.file}", spec)
+    raw = read_csv(wh.spark, f"{folder}/orders.csv", spec)
     return raw.agg(
         F.count(F.lit(1)).alias("orders"),
         F.count_if(F.col("order_approved_at").isNull()).alias("not_approved"),
@@ -207,7 +207,7 @@ def text_timestamps(wh: Warehouse) -> DataFrame:
         .otherwise(F.col("o_orderdate").cast("string"))
         .alias("o_orderdate"),
     )
-    spec = TableSpec("orders_text", "", ("o_orderkey", "o_orderdate"), timestamps=("o_orderdate",))
+    spec = TableSpec("orders_text", ("o_orderkey", "o_orderdate"), timestamps=("o_orderdate",))
     return coerce_timestamps(text, spec)
 
 
@@ -223,7 +223,7 @@ def text_numbers(wh: Warehouse) -> DataFrame:
         ),
     )
     spec = TableSpec(
-        "part_text", "", tuple(text.columns), numbers=("p_retailprice",), integers=("p_size",)
+        "part_text", tuple(text.columns), numbers=("p_retailprice",), integers=("p_size",)
     )
     return coerce_numeric(text, spec).withColumn("p_size", whole("p_size"))
 
@@ -232,7 +232,7 @@ def text_numbers(wh: Warehouse) -> DataFrame:
 def deduplicated_lines(wh: Warehouse) -> DataFrame:
     """One row per (order, line): the first one by all other columns."""
     spec = TableSpec(
-        "lineitem", "", ("l_orderkey", "l_linenumber"), key=("l_orderkey", "l_linenumber")
+        "lineitem", ("l_orderkey", "l_linenumber"), key=("l_orderkey", "l_linenumber")
     )
     lines = wh.source("raw", "lineitem").select(
         "l_orderkey",
@@ -249,7 +249,7 @@ def deduplicated_lines(wh: Warehouse) -> DataFrame:
 def deduplicated_rows(wh: Warehouse) -> DataFrame:
     """A table without a key: exact copies only."""
     places = wh.source("geolocation").select("geolocation_city", "geolocation_state")
-    return dedupe(places, TableSpec("places", "", tuple(places.columns)))
+    return dedupe(places, TableSpec("places", tuple(places.columns)))
 
 
 @query("distinct_on")
@@ -324,8 +324,6 @@ def state_series(wh: Warehouse) -> DataFrame:
 
 def with_weak_end(series: DataFrame) -> DataFrame:
     """The last month of every second series (by name) shrinks to a tenth, as when collection stops."""
-    from pyspark.sql import Window
-
     last = F.max("order_month").over(Window.partitionBy("customer_state"))
     even = F.element_at(F.split("customer_state", "_"), -1).cast("int") % 2 == 0
     weak = even & (F.col("order_month") == last)

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 @dataclass(frozen=True)
 class TableSpec:
     name: str
-    file: str
     columns: tuple[str, ...]
     key: tuple[str, ...] = ()
     parents: dict[str, str] = field(default_factory=dict)  # column -> "table.column"
@@ -24,10 +23,6 @@ class TableSpec:
     ranges: dict[str, tuple[int, int | None]] = field(default_factory=dict)
     accepted: dict[str, tuple[object, ...]] = field(default_factory=dict)
 
-    @property
-    def is_composite_key(self) -> bool:
-        return len(self.key) > 1
-
     def text_schema(self) -> T.StructType:
         """Every column as text: no inference pass, and nothing is lost before cleaning."""
         return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
@@ -50,7 +45,6 @@ MONEY_COLUMNS = ("price", "freight_value", "payment_value")
 _SPECS = (
     TableSpec(
         "customers",
-        "olist_customers_dataset.csv",
         (
             "customer_id",
             "customer_unique_id",
@@ -64,7 +58,6 @@ _SPECS = (
     ),
     TableSpec(
         "sellers",
-        "olist_sellers_dataset.csv",
         ("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
         key=("seller_id",),
         integers=("seller_zip_code_prefix",),
@@ -72,7 +65,6 @@ _SPECS = (
     ),
     TableSpec(
         "products",
-        "olist_products_dataset.csv",
         (
             "product_id",
             "product_category_name",
@@ -98,14 +90,12 @@ _SPECS = (
     ),
     TableSpec(
         "product_category_translation",
-        "product_category_name_translation.csv",
         ("product_category_name", "product_category_name_english"),
         key=("product_category_name",),
         required=("product_category_name",),
     ),
     TableSpec(
         "geolocation",
-        "olist_geolocation_dataset.csv",
         (
             "geolocation_zip_code_prefix",
             "geolocation_lat",
@@ -119,7 +109,6 @@ _SPECS = (
     ),
     TableSpec(
         "orders",
-        "olist_orders_dataset.csv",
         (
             "order_id",
             "customer_id",
@@ -144,7 +133,6 @@ _SPECS = (
     ),
     TableSpec(
         "order_items",
-        "olist_order_items_dataset.csv",
         (
             "order_id",
             "order_item_id",
@@ -168,7 +156,6 @@ _SPECS = (
     ),
     TableSpec(
         "order_payments",
-        "olist_order_payments_dataset.csv",
         (
             "order_id",
             "payment_sequential",
@@ -185,7 +172,6 @@ _SPECS = (
     ),
     TableSpec(
         "order_reviews",
-        "olist_order_reviews_dataset.csv",
         (
             "review_id",
             "order_id",

@@ -71,13 +71,19 @@ def row_numbers(
     )
 
 
-def _rows_at(placed: DataFrame, positions: Sequence[int]) -> dict[int, object]:
+def _bucket_counts(placed: DataFrame) -> list[tuple[int, int]]:
+    """Rows per bucket in order: one pair per range bucket reaches the driver."""
+    return sorted((r["_bucket"], r["count"]) for r in placed.groupBy("_bucket").count().collect())
+
+
+def _rows_at(
+    placed: DataFrame, counts: Sequence[tuple[int, int]], positions: Sequence[int]
+) -> dict[int, object]:
     """Rows at the given 0-based global positions.
 
-    The driver sees one count per bucket and one row per requested position; the lookup by
-    ``_at`` is pushed into the scan, where the sorted files let it skip row groups.
+    One row per requested position reaches the driver; the lookup by ``_at`` is pushed into
+    the scan, where the sorted files let it skip row groups.
     """
-    counts = sorted((r["_bucket"], r["count"]) for r in placed.groupBy("_bucket").count().collect())
     wanted: dict[int, int] = {}
     passed = 0
     for bucket, n in counts:
@@ -108,13 +114,11 @@ def ntiles(
     ``df`` should be materialised, since it is read once per column and once for the result.
     """
     columns: dict[str, Column] = {}
-    total: int | None = None
     for name, (n, order) in tiles.items():
         placed = place(df, order, (), buckets)
-        if total is None:
-            total = placed.count()
-        starts = _tile_starts(total, n)
-        rows = _rows_at(placed, starts)
+        counts = _bucket_counts(placed)
+        starts = _tile_starts(sum(rows for _, rows in counts), n)
+        rows = _rows_at(placed, counts, starts)
         types = {f.name: f.dataType for f in placed.schema}
         here = F.struct(*_keys(order))
         passed = [
@@ -144,12 +148,13 @@ def percentile(
     """
     values = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     placed = place(values, [F.col("_v")], (), buckets)
-    n = placed.count()
+    counts = _bucket_counts(placed)
+    n = sum(rows for _, rows in counts)
     if n == 0:
         return [None for _ in shares]
     spots = [share * (n - 1) for share in shares]
     positions = {int(s) for s in spots} | {min(int(s) + 1, n - 1) for s in spots}
-    rows = _rows_at(placed, sorted(positions))
+    rows = _rows_at(placed, counts, sorted(positions))
     result: list[float | None] = []
     for spot in spots:
         low = rows[int(spot)]["_key0"]

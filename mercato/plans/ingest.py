@@ -40,6 +40,7 @@ def ingest_table(
     out_dir: str,
     partitioned: bool = False,
     file_name: str = "{table}.csv",
+    multi_line: bool = True,
 ) -> IngestReport:
     """Clean one table and write it. ``file_name`` is the pattern of the raw files' names.
 
@@ -47,7 +48,7 @@ def ingest_table(
     write would be cheaper, but repeats rows when an executor is lost and its task runs again.
     """
     spec = spec_of(table)
-    raw = read_csv(spark, f"{raw_dir.rstrip('/')}/{file_name.format(table=table)}", spec)
+    raw = read_csv(spark, f"{raw_dir.rstrip('/')}/{file_name.format(table=table)}", multi_line)
     path = f"{out_dir.rstrip('/')}/{table}.parquet"
     cleaned = clean(raw, spec)
     if partitioned and table in PARTITIONED:

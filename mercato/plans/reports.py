@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.functions.columns import (
     all_of,
@@ -26,8 +26,8 @@ from mercato.plans.registry import query
 from mercato.plans.warehouse import Warehouse
 
 
-def month_label(column: str = "order_month"):
-    return F.date_format(column, "yyyy-MM")
+def month_label(column: str = "order_month") -> Column:
+    return F.date_format(F.to_date(column), "yyyy-MM")
 
 
 # ---- API ------------------------------------------------------------------------------------
@@ -136,9 +136,7 @@ def order_summary(wh: Warehouse) -> DataFrame:
         "order_id",
         "customer_id",
         "order_status",
-        F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss").alias(
-            "purchase_timestamp"
-        ),
+        F.col("order_purchase_timestamp").cast("string").alias("purchase_timestamp"),
         rounded("payment_value").alias("payment_value"),
         "delivery_days",
     )

@@ -15,7 +15,6 @@ from mercato.functions.columns import (
     share_where,
     whole,
 )
-from mercato.operators.abc import abc_classes
 from mercato.operators.rolling import (
     rolling_distinct,
     rolling_mean,
@@ -27,19 +26,13 @@ from mercato.plans.basics import down, paid, up
 from mercato.plans.registry import query
 from mercato.plans.spines import first_orders
 from mercato.plans.warehouse import Warehouse
-from mercato.session import materialise
 from mercato.specs import PAYMENT_TYPES
 
 
-def classified_products(wh: Warehouse) -> DataFrame:
-    products = wh.fact_order_items.groupBy("product_id").agg(F.sum("price").alias("revenue"))
-    return abc_classes(materialise(products, "product-revenue"), "product_id", "revenue")
-
-
 @query("q67_abc_products", n=40)
 @query("q67_abc_products_all", n=None)
 def abc_products(wh: Warehouse, n: int | None = 40) -> DataFrame:
-    frame = classified_products(wh).select(
+    frame = wh.product_classes.select(
         "product_id",
         rounded("revenue").alias("revenue"),
         rounded(percent(F.col("running"), F.col("total"))).alias("cum_pct"),
@@ -51,7 +44,7 @@ def abc_products(wh: Warehouse, n: int | None = 40) -> DataFrame:
 @query("q68_abc_summary")
 def abc_summary(wh: Warehouse) -> DataFrame:
     return (
-        classified_products(wh)
+        wh.product_classes
         .groupBy("abc_class")
         .agg(
             F.count(F.lit(1)).alias("products"),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from mercato.functions.columns import bands, mean, money, percent, ratio, rounded
 from mercato.operators import ordered
 from mercato.operators.affinity import pair_counts
-from mercato.operators.rfm import rfm_metrics, rfm_scores, rfm_segment
+from mercato.operators.rfm import rfm_metrics, rfm_segment
 from mercato.operators.topn import share_of_total, top
 from mercato.plans.basics import down, paid_by_known, up
 from mercato.plans.registry import query
@@ -15,25 +15,22 @@ from mercato.plans.warehouse import Warehouse
 from mercato.plans.windows import spenders
 
 
-def metrics(wh: Warehouse) -> DataFrame:
-    return rfm_metrics(wh.buyers, wh.latest_purchase())
-
-
 @query("q58_rfm_raw")
 def rfm_raw(wh: Warehouse, n: int | None = 25) -> DataFrame:
-    frame = metrics(wh).withColumn("monetary", rounded("monetary"))
+    metrics = rfm_metrics(wh.buyers, wh.latest_purchase())
+    frame = metrics.withColumn("monetary", rounded("monetary"))
     return top(frame, [down("monetary"), up("customer_unique_id")], n)
 
 
 @query("q59_rfm_scores", n=25)
 @query("q59_rfm_scores_all", n=None)
 def scores(wh: Warehouse, n: int | None = 25) -> DataFrame:
-    frame = rfm_scores(metrics(wh)).withColumn("monetary", rounded("monetary"))
+    frame = wh.rfm.withColumn("monetary", rounded("monetary"))
     return top(frame, [down("monetary"), up("customer_unique_id")], n)
 
 
 def segmented(wh: Warehouse) -> DataFrame:
-    return rfm_scores(metrics(wh)).withColumn("segment", rfm_segment())
+    return wh.rfm.withColumn("segment", rfm_segment())
 
 
 @query("q60_rfm_segments")
@@ -48,11 +45,14 @@ def segment_sizes(wh: Warehouse) -> DataFrame:
 
 @query("q61_quintile_revenue")
 def quintile_revenue(wh: Warehouse, tiles: int = 5) -> DataFrame:
+    """The monetary score of the RFM mart is the quintile when five tiles are asked for."""
     by_spend = [F.col("spent"), F.col("customer_unique_id")]
-    summary = (
-        ordered.ntiles(spenders(wh), {"m_quintile": (tiles, by_spend)})
-        .groupBy("m_quintile")
-        .agg(F.count(F.lit(1)).alias("customers"), F.sum("spent").alias("total"))
+    if tiles == 5:
+        tiled = wh.rfm.select(F.col("m_score").alias("m_quintile"), F.col("monetary").alias("spent"))
+    else:
+        tiled = ordered.ntiles(spenders(wh), {"m_quintile": (tiles, by_spend)})
+    summary = tiled.groupBy("m_quintile").agg(
+        F.count(F.lit(1)).alias("customers"), F.sum("spent").alias("total")
     )
     return summary.select(
         "m_quintile",

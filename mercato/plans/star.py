@@ -64,7 +64,8 @@ def dim_geography(geolocation: DataFrame) -> DataFrame:
 
 
 def date_key(column: Column | str) -> Column:
-    return F.date_format(column, "yyyyMMdd").cast("int")
+    """YYYYMMDD as a number, from the calendar fields (no session time zone involved)."""
+    return F.year(column) * 10000 + F.month(column) * 100 + F.dayofmonth(column)
 
 
 def dim_dates(orders: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ The marts hold what almost every query would otherwise join and shuffle again:
 
 * ``sales``: one row per order with its customer and its payment, item and review totals;
 * ``lines``: one row per order item with its category, customer and month;
-* ``buyers``: one row per person; ``buyer_months``: one row per person and active month.
+* ``buyers``: one row per person; ``buyer_months``: one row per person and active month;
+* ``rfm``: one row per paying person with scores; ``product_classes``: ABC class per product.
 
 Each is written to the shared folder when first used and read from there afterwards, so a
 query is a pruned scan of one mart plus its own aggregation. Aggregation to the order comes
@@ -18,6 +19,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mercato.functions.columns import month_start
+from mercato.operators.abc import abc_classes
+from mercato.operators.rfm import rfm_metrics, rfm_scores
 from mercato.operators.skew import hot_keys, salted_join
 from mercato.plans import star
 from mercato.session import materialise
@@ -51,7 +54,7 @@ class Warehouse:
     @property
     def dim_customers(self) -> DataFrame:
         return self._once(
-            "dim_customers", lambda: star.dim_customers(self.source("customers")), keep=True
+            "dim_customers", lambda: star.dim_customers(self.source("customers")), keep=False
         )
 
     @property
@@ -237,6 +240,23 @@ class Warehouse:
 
         return self._once("buyer_months", build, keep=True)
 
+    @property
+    def rfm(self) -> DataFrame:
+        """One row per paying person: RFM metrics and scores. Six reports read it."""
+        return self._once(
+            "rfm", lambda: rfm_scores(rfm_metrics(self.buyers, self.latest_purchase())), keep=True
+        )
+
+    @property
+    def product_classes(self) -> DataFrame:
+        """One row per sold product: revenue, running revenue, ABC class."""
+
+        def build() -> DataFrame:
+            sold = self.fact_order_items.groupBy("product_id").agg(F.sum("price").alias("revenue"))
+            return abc_classes(materialise(sold, "product-revenue"), "product_id", "revenue")
+
+        return self._once("product_classes", build, keep=True)
+
     def latest_purchase(self) -> DataFrame:
         """One row: the newest purchase timestamp of the data."""
         return self.fact_orders.agg(F.max("order_purchase_timestamp").alias("latest"))

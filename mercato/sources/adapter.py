@@ -19,14 +19,14 @@ class SourceTables:
     def __init__(self, spark: SparkSession, base_dir: str) -> None:
         self._spark = spark
         self._dir = base_dir.rstrip("/")
-        self._lines: DataFrame | None = None
+        self._kept: dict[str, DataFrame] = {}
 
     def raw(self, table: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._dir}/{table}.parquet")
 
     def _clean_lines(self) -> DataFrame:
         """Line items with one row per (order, line); both items and payments come from it."""
-        if self._lines is None:
+        if "lines" not in self._kept:
             lines = self.raw("lineitem").select(
                 "l_orderkey",
                 "l_linenumber",
@@ -41,11 +41,16 @@ class SourceTables:
                 "l_linestatus",
             )
             deduped = distinct_on(lines, ["l_orderkey", "l_linenumber"])
-            self._lines = materialise(deduped, "clean-lines")
-        return self._lines
+            self._kept["lines"] = materialise(deduped, "clean-lines")
+        return self._kept["lines"]
 
     def customers(self) -> DataFrame:
         """One customer row per order; the person is customer and order priority together."""
+        if "customers" not in self._kept:
+            self._kept["customers"] = materialise(self._join_customers(), "customers")
+        return self._kept["customers"]
+
+    def _join_customers(self) -> DataFrame:
         customer = self.raw("customer").select(
             F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment"
         )

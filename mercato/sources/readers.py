@@ -6,23 +6,21 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.specs import CATALOG, TableSpec
+from mercato.specs import CATALOG
 
 
-def read_csv(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """Raw table as text columns.
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Raw table as text columns named by the header.
 
-    Quotes are escaped by doubling and fields may span lines. Nothing is inferred, so the
-    files are read once. Columns are matched by the header, so files may differ in order.
-    Multi-line files cannot be split: keep raw files at a size one task can read, or turn
-    ``multiLine`` off for tables without line breaks.
+    Quotes are escaped by doubling and fields may span lines. No types are inferred, so only
+    the header is read ahead, and no digit of a code is lost before cleaning. A multi-line
+    file is read by one task; pass ``multi_line=False`` for tables without line breaks in
+    their fields, and large files are split among tasks.
     """
     return (
-        spark.read.schema(spec.text_schema())
-        .option("header", True)
-        .option("multiLine", True)
+        spark.read.option("header", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
-        .option("enforceSchema", False)
         .csv(path)
     )
 

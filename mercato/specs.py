@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import types as T
-
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -23,10 +21,6 @@ class TableSpec:
     ranges: dict[str, tuple[int, int | None]] = field(default_factory=dict)
     accepted: dict[str, tuple[object, ...]] = field(default_factory=dict)
 
-    def text_schema(self) -> T.StructType:
-        """Every column as text: no inference pass, and nothing is lost before cleaning."""
-        return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
-
 
 # Names, keys and domains of the data model.
 ORDER_STATUSES = (

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from mercato.functions.columns import ratio
 
-_BY_DAY = Window.partitionBy(F.lit(1)).orderBy("d")
+def _by_day() -> WindowSpec:
+    """One row per day reaches this window, so its single task holds a calendar."""
+    return Window.partitionBy(F.lit(1)).orderBy("d")
 
 
 def rolling_mean(value: str, rows: int) -> Column:
     """Mean of this and the previous rows (days that have data)."""
-    frame = _BY_DAY.rowsBetween(1 - rows, 0)
+    frame = _by_day().rowsBetween(1 - rows, 0)
     return ratio(F.sum(value).over(frame), F.count(value).over(frame))
 
 
 def rolling_sum(value: str, rows: int) -> Column:
-    return F.sum(value).over(_BY_DAY.rowsBetween(1 - rows, 0))
+    return F.sum(value).over(_by_day().rowsBetween(1 - rows, 0))
 
 
 def rolling_mean_calendar(value: str, days: int) -> Column:
@@ -51,7 +53,7 @@ def rolling_distinct(visits: DataFrame, who: str, day: str, days: int) -> DataFr
     ).select("e.*")
     daily = changes.groupBy("d").agg(F.sum("change").alias("change"), F.sum("visits").alias("active"))
     return (
-        daily.withColumn("distinct_active", F.sum("change").over(_BY_DAY))
+        daily.withColumn("distinct_active", F.sum("change").over(_by_day()))
         .filter("active > 0")
         .select("d", "active", "distinct_active")
     )

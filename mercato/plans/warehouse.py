@@ -25,6 +25,7 @@ from mercato.operators.skew import hot_keys, salted_join
 from mercato.plans import star
 from mercato.session import materialise
 from mercato.sources.adapter import source_tables
+from mercato.sources.regions import state_regions
 
 
 class Warehouse:
@@ -111,7 +112,10 @@ class Warehouse:
 
     @property
     def state_regions(self) -> DataFrame:
-        return self.source("state_regions")
+        """The source's own lookup, else the built-in one."""
+        if "state_regions" in self._sources:
+            return self.source("state_regions")
+        return state_regions(self.spark)
 
     def star_tables(self) -> dict[str, DataFrame]:
         names = (
@@ -257,6 +261,11 @@ class Warehouse:
 
         return self._once("product_classes", build, keep=True)
 
+    def build_marts(self) -> None:
+        """Build every mart now; otherwise each is built when a query first needs it."""
+        for mart in ("sales", "lines", "buyers", "buyer_months", "rfm", "product_classes"):
+            getattr(self, mart)
+
     def latest_purchase(self) -> DataFrame:
         """One row: the newest purchase timestamp of the data."""
         return self.fact_orders.agg(F.max("order_purchase_timestamp").alias("latest"))

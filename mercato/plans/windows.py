@@ -6,7 +6,7 @@ orders or customers, a globally ordered operator or a prefix argument takes thei
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from mercato.functions.columns import (
     as_timestamp,
@@ -48,7 +48,9 @@ def spenders(wh: Warehouse) -> DataFrame:
     return wh.buyers.filter("spent is not null")
 
 
-_BY_MONTH = Window.partitionBy(F.lit(1)).orderBy("month")
+def by_month() -> WindowSpec:
+    """One row per month reaches this window, so its single task holds a calendar."""
+    return Window.partitionBy(F.lit(1)).orderBy("month")
 
 
 @query("q13_cumulative_revenue")
@@ -58,7 +60,7 @@ def cumulative_revenue(wh: Warehouse) -> DataFrame:
         .select(
             as_timestamp("month").alias("month"),
             rounded("total").alias("revenue"),
-            rounded(F.sum("total").over(_BY_MONTH)).alias("cumulative_revenue"),
+            rounded(F.sum("total").over(by_month())).alias("cumulative_revenue"),
         )
         .orderBy("month")
     )
@@ -66,7 +68,7 @@ def cumulative_revenue(wh: Warehouse) -> DataFrame:
 
 @query("q14_mom_growth")
 def month_over_month(wh: Warehouse) -> DataFrame:
-    before = F.lag("total").over(_BY_MONTH)
+    before = F.lag("total").over(by_month())
     change = F.col("total") - before
     return (
         monthly_revenue(wh, delivered_only=True)
@@ -82,7 +84,7 @@ def month_over_month(wh: Warehouse) -> DataFrame:
 
 @query("q15_moving_avg_3m")
 def moving_average(wh: Warehouse, months: int = 3) -> DataFrame:
-    frame = _BY_MONTH.rowsBetween(1 - months, 0)
+    frame = by_month().rowsBetween(1 - months, 0)
     average = ratio(F.sum("total").over(frame), F.count("total").over(frame))
     return (
         monthly_revenue(wh, delivered_only=False)

@@ -15,7 +15,7 @@ def abc_classes(
     ``df`` holds one row per item and should be materialised.
     """
     total = F.broadcast(df.agg(F.sum(value).alias("total")))
-    with_running = ordered.with_running(df, -F.col(value), {"running": F.col(value)}, [item])
+    with_running = ordered.tied(df, -F.col(value), [F.col(item)], {"running": F.col(value)})
     running = F.col("running_through").cast("double")
     whole = F.col("total").cast("double")
     return (
@@ -27,4 +27,5 @@ def abc_classes(
             .otherwise("C"),
         )
         .withColumnRenamed("running_through", "running")
+        .select(*df.columns, "running", "total", "abc_class")
     )

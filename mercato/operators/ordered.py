@@ -17,7 +17,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mercato.operators.skew import salted_join
 from mercato.session import materialise
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row within its partition in the low 33 bits
@@ -111,26 +110,36 @@ def ntiles(
 
     Only the keys at the n-1 tile borders are needed: they are looked up exactly, and each row
     is classified against them in one narrow pass. No row is moved back or joined.
-    ``df`` should be materialised, since it is read once per column and once for the result.
+    All orders are placed in one range-partitioned table, headed by the number of the order.
+    ``df`` should be materialised, since it is read for the placement and for the result.
     """
+    depth = max(len(order) for _, order in tiles.values())
+    orders = [
+        [F.lit(i), *order, *[F.lit(None).cast("int")] * (depth - len(order))]
+        for i, (_, order) in enumerate(tiles.values())
+    ]
+    stacked = df.select(
+        F.explode(
+            F.array(
+                *[F.struct(*[c.alias(f"o{j}") for j, c in enumerate(order)]) for order in orders]
+            )
+        ).alias("o")
+    ).select("o.*")
+    placed = place(stacked, [F.col(c) for c in stacked.columns], (), buckets)
+    counts = _bucket_counts(placed)
+    size = sum(n for _, n in counts) // len(orders)
+    starts = {
+        name: [i * size + s for s in _tile_starts(size, n)]
+        for i, (name, (n, _)) in enumerate(tiles.items())
+    }
+    rows = _rows_at(placed, counts, [p for ps in starts.values() for p in ps])
+    types = {f.name: f.dataType for f in placed.schema if f.name.startswith(("_null", "_key"))}
     columns: dict[str, Column] = {}
-    for name, (n, order) in tiles.items():
-        placed = place(df, order, (), buckets)
-        counts = _bucket_counts(placed)
-        starts = _tile_starts(sum(rows for _, rows in counts), n)
-        rows = _rows_at(placed, counts, starts)
-        types = {f.name: f.dataType for f in placed.schema}
-        here = F.struct(*_keys(order))
+    for order, (name, positions) in zip(orders, starts.items()):
+        here = F.struct(*[k.cast(types[n]).alias(n) for k, n in zip(_keys(order), types)])
         passed = [
-            here
-            >= F.struct(
-                *[
-                    F.lit(rows[s][c]).cast(types[c]).alias(c)
-                    for c in placed.columns
-                    if c.startswith(("_null", "_key"))
-                ]
-            )
-            for s in starts
+            here >= F.struct(*[F.lit(rows[p][n]).cast(t).alias(n) for n, t in types.items()])
+            for p in positions
         ]
         columns[name] = reduce(
             lambda acc, p: acc + p.cast("bigint"), passed, F.lit(1).cast("bigint")
@@ -163,78 +172,126 @@ def percentile(
     return result
 
 
-def running_by_key(
-    df: DataFrame, key: Column, measures: Mapping[str, Column], buckets: int | None = None
+def tied(
+    df: DataFrame,
+    key: Column,
+    tie_breaker: Sequence[Column],
+    measures: Mapping[str, Column] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Cumulative totals per distinct key value, in key order.
+    """Rank figures and running sums over an ascending key, equal keys treated alike.
 
-    One row per value: ``_key``, ``peers`` (rows with it), ``rows_through`` (rows up to and
-    including it), ``dense`` (its place among values), and for every measure
-    ``<name>_through``. This is the default RANGE frame: equal keys share one total.
+    Adds ``row_number``, ``rank``, ``dense_rank``, ``rows_through`` (rows up to and including
+    the key) and ``<name>_through`` for every measure (the default RANGE frame).
+
+    Rows with one key may span many buckets, because buckets are cut on key and tie-breaker.
+    Figures are computed inside the bucket and completed from one summary row per bucket: what
+    came before it, whether its first key began earlier, and where its last key ends.
     """
-    per_value = df.groupBy(key.alias("_key")).agg(
-        F.count(F.lit(1)).alias("peers"), *[F.sum(c).alias(n) for n, c in measures.items()]
+    measures = dict(measures or {})
+    frame = df.select("*", *[c.alias(f"_m_{n}") for n, c in measures.items()])
+    placed = place(frame, [key, *tie_breaker], frame.columns, buckets)
+    value = F.struct("_null0", "_key0")
+    in_bucket = Window.partitionBy("_bucket").orderBy("_null0", "_key0")
+    sums = {"rows": F.lit(1)} | {n: F.col(f"_m_{n}") for n in measures}
+    local = placed.select(
+        *df.columns,
+        "_bucket",
+        "_row",
+        value.alias("_value"),
+        *[c.alias(f"_m_{n}") for n, c in sums.items()],
+        F.rank().over(in_bucket).alias("_rank"),
+        F.dense_rank().over(in_bucket).alias("_dense"),
+        *[F.sum(c).over(in_bucket).alias(f"_in_{n}") for n, c in sums.items()],
     )
-    placed = place(per_value, [F.col("_key")], ["_key", "peers", *measures], buckets)
-    sums = {"rows": F.sum("peers"), "values": F.count(F.lit(1))} | {
-        n: F.sum(n) for n in measures
+    edges = F.broadcast(_bucket_edges(local, list(sums)))
+    continued = F.col("_continues") & (F.col("_value") == F.col("_first"))
+    continuing = F.col("_goes_on") & (F.col("_value") == F.col("_last"))
+    through = {
+        n: F.when(continuing, F.col(f"_end_{n}")).otherwise(F.col(f"_before_{n}") + F.col(f"_in_{n}"))
+        for n in sums
     }
-    offsets = _bucket_totals(placed, sums)
-    local = Window.partitionBy("_bucket").orderBy("_row")
-    through = {n: F.sum(n).over(local) + F.col(f"_before_{n}") for n in measures}
-    return placed.join(F.broadcast(offsets), "_bucket").select(
-        "_key",
-        "peers",
-        (F.sum("peers").over(local) + F.col("_before_rows")).alias("rows_through"),
-        (F.col("_row") + 1 + F.col("_before_values")).alias("dense"),
+    before = F.col("_before_rows")
+    return local.join(edges, "_bucket").select(
+        *df.columns,
+        (before + F.col("_row") + 1).alias("row_number"),
+        F.when(continued, F.col("_began") + 1).otherwise(before + F.col("_rank")).alias("rank"),
+        (F.col("_before_values") + F.col("_dense") - F.col("_continues").cast("int")).alias("dense_rank"),
         *[c.alias(f"{n}_through") for n, c in through.items()],
     )
 
 
+def _bucket_edges(local: DataFrame, sums: Sequence[str]) -> DataFrame:
+    """One row per bucket; the windows below run over buckets, not over rows."""
+    per_bucket = local.groupBy("_bucket").agg(
+        F.max("_dense").alias("_values"),
+        F.max("_rank").alias("_last_rank"),
+        F.min("_value").alias("_first"),
+        F.max("_value").alias("_last"),
+        *[F.sum(f"_m_{n}").alias(f"_all_{n}") for n in sums],
+        *[F.min_by(f"_in_{n}", "_value").alias(f"_head_{n}") for n in sums],
+    )
+    order = Window.orderBy("_bucket")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    from_here = order.rowsBetween(0, Window.unboundedFollowing)
+    linked = per_bucket.select(
+        "*",
+        F.coalesce(F.lag("_last").over(order) == F.col("_first"), F.lit(False)).alias("_continues"),
+        F.coalesce(F.lead("_first").over(order) == F.col("_last"), F.lit(False)).alias("_goes_on"),
+        *[F.coalesce(F.sum(f"_all_{n}").over(earlier), F.lit(0)).alias(f"_before_{n}") for n in sums],
+    )
+    one_key = F.col("_first") == F.col("_last")
+    # Rows before the last key of a bucket; a bucket inside a run takes over the run's start.
+    start = F.when(
+        ~(one_key & F.col("_continues")), F.col("_before_rows") + F.col("_last_rank") - 1
+    )
+    # Totals through the first key of a bucket; a bucket inside a run takes over the run's end.
+    ends = {
+        n: F.when(~(one_key & F.col("_goes_on")), F.col(f"_before_{n}") + F.col(f"_head_{n}"))
+        for n in sums
+    }
+    runs = linked.select(
+        "*",
+        F.last(start, ignorenulls=True).over(so_far).alias("_start"),
+        *[F.first(c, ignorenulls=True).over(from_here).alias(f"_close_{n}") for n, c in ends.items()],
+    )
+    new_values = F.col("_values") - F.col("_continues").cast("int")
+    return runs.select(
+        "_bucket",
+        "_first",
+        "_last",
+        "_continues",
+        "_goes_on",
+        F.coalesce(F.sum(new_values).over(earlier), F.lit(0)).alias("_before_values"),
+        F.lag("_start").over(order).alias("_began"),
+        *[f"_before_{n}" for n in sums],
+        *[F.lead(f"_close_{n}").over(order).alias(f"_end_{n}") for n in sums],
+    )
+
+
 def ranks(
     df: DataFrame, key: Column, tie_breaker: Sequence[Column], buckets: int | None = None
 ) -> DataFrame:
     """row_number, rank, dense_rank, percent_rank and cume_dist of every row by an ascending key."""
     total = F.broadcast(df.agg(F.count(F.lit(1)).alias("_total")))
-    numbered = row_numbers(df.withColumn("_key", key), [F.col("_key"), *tie_breaker], "row_number", buckets)
-    by_value = materialise(running_by_key(df, key, {}, buckets), "ranked-values")
-    hot = _hot_values(by_value)
-    joined = salted_join(numbered, by_value, "_key", ["row_number"], hot=hot).crossJoin(total)
-    rank = F.col("rows_through") - F.col("peers") + 1
-    return joined.select(
-        *df.columns,
-        "row_number",
-        rank.alias("rank"),
-        F.col("dense").alias("dense_rank"),
-        F.when(F.col("_total") == 1, F.lit(0.0))
-        .otherwise(F.try_divide((rank - 1).cast("double"), (F.col("_total") - 1).cast("double")))
-        .alias("percent_rank"),
-        (F.col("rows_through").cast("double") / F.col("_total").cast("double")).alias("cume_dist"),
+    rows = F.col("_total").cast("double")
+    return (
+        tied(df, key, tie_breaker, buckets=buckets)
+        .crossJoin(total)
+        .select(
+            *df.columns,
+            "row_number",
+            "rank",
+            "dense_rank",
+            F.coalesce(F.try_divide((F.col("rank") - 1).cast("double"), rows - 1), F.lit(0.0)).alias(
+                "percent_rank"
+            ),
+            (F.col("rows_through").cast("double") / rows).alias("cume_dist"),
+        )
     )
 
 
-def with_running(
-    df: DataFrame,
-    key: Column,
-    measures: Mapping[str, Column],
-    salt_by: Sequence[str],
-    buckets: int | None = None,
-) -> DataFrame:
-    """Every row of ``df`` with ``<name>_through`` for its key (RANGE running sums)."""
-    by_value = materialise(running_by_key(df, key, measures, buckets), "running")
-    wanted = by_value.select("_key", *[f"{n}_through" for n in measures])
-    return salted_join(
-        df.withColumn("_key", key), wanted, "_key", salt_by, hot=_hot_values(by_value)
-    ).drop("_key")
-
-
-def _hot_values(by_value: DataFrame, share: float = 0.01) -> list[object]:
-    """Values that hold at least ``share`` of all rows: at most ``1 / share`` of them."""
-    total = by_value.agg(F.sum("peers")).first()[0] or 0
-    rows = by_value.filter((F.col("peers") > 1) & (F.col("peers") >= F.lit(share * total)))
-    return [r["_key"] for r in rows.select("_key").collect()]
-
-
 def lag_within(
     df: DataFrame,
     group: str,

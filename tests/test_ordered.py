@@ -67,7 +67,7 @@ def test_ranks(values, buckets):
 @pytest.mark.parametrize("buckets", [1, 6])
 def test_running_sum_shares_ties(values, buckets):
     known = values.filter("v is not null")
-    mine = ordered.with_running(known, F.col("v"), {"s": F.col("id")}, ["id"], buckets)
+    mine = ordered.tied(known, F.col("v"), [F.col("id")], {"s": F.col("id")}, buckets)
     plain = F.sum("id").over(W.orderBy("v"))
     assert mine.withColumn("p", plain).filter("s_through <> p").count() == 0
     assert mine.count() == known.count()

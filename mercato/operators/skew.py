@@ -7,13 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01, fraction: float = 0.01) -> list[object]:
+def hot_keys(
+    df: DataFrame, key: str, share: float = 0.01, fraction: float | None = None
+) -> list[object]:
     """Keys that hold at least ``share`` of a sample of ``df``.
 
+    Only the key column is scanned. The sampled fraction is 0.01, or what the setting
+    ``spark.mercato.skewSampleFraction`` says: very large tables need far less.
+
     There can be at most ``1 / share`` of them, which bounds what reaches the driver. The
     list decides only how rows are spread, never which rows match, so a sampling error
     costs balance and not correctness.
     """
+    if fraction is None:
+        fraction = float(df.sparkSession.conf.get("spark.mercato.skewSampleFraction", "0.01"))
     size = Observation()
     sampled = df.select(key).filter(F.col(key).isNotNull()).sample(fraction, seed=7)
     top = (

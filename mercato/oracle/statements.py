@@ -690,6 +690,10 @@ def _marts() -> dict[str, str]:
             f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source} t"
             for name, source in star_counts.items()
         ),
+        "star_views_sql": """
+            SELECT dayname(v.order_purchase_timestamp) AS day_name, v.state AS customer_state, count(*) AS orders,
+                   CAST(sum(p.amount) AS DOUBLE) AS revenue
+            FROM visits v LEFT JOIN paid p USING (order_id) GROUP BY ALL""",
         "seed_csv": f"""
             SELECT region, count(*) AS orders, {money('amount')} AS revenue
             FROM sales JOIN state_regions ON state = customer_state GROUP BY region""",

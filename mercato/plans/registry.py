@@ -39,6 +39,7 @@ def load_all() -> dict[str, Query]:
         rolling,
         segments,
         spines,
+        views,
         windows,
     )
 

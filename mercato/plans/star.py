@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from mercato.functions.columns import day_of_week, mean, whole
+from mercato.operators.skew import salted_join
 
 
 def _exact(df: DataFrame, column: str) -> Column:
@@ -34,7 +35,8 @@ def dim_sellers(sellers: DataFrame) -> DataFrame:
 def dim_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with the English category; an untranslated category keeps its own name.
 
-    Spark broadcasts the translation when its measured size allows it.
+    Spark broadcasts the translation when its measured size allows it. Otherwise a category
+    with very many products, or none at all, is spread by product.
     """
     measures = (
         "product_weight_g",
@@ -43,7 +45,8 @@ def dim_products(products: DataFrame, translation: DataFrame) -> DataFrame:
         "product_width_cm",
         "product_photos_qty",
     )
-    return products.join(translation, "product_category_name", "left").select(
+    named = salted_join(products, translation, "product_category_name", ["product_id"], "left")
+    return named.select(
         "product_id",
         "product_category_name",
         F.coalesce("product_category_name_english", "product_category_name").alias(

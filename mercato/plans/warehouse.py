@@ -164,7 +164,7 @@ class Warehouse:
         def build() -> DataFrame:
             customers = self.dim_customers.drop("customer_zip_code_prefix")
             return (
-                self.fact_orders.join(customers, "customer_id", "left")
+                salted_join(self.fact_orders, customers, "customer_id", ["order_id"], "left")
                 .join(self.payments_per_order(), "order_id", "left")
                 .join(self.items_per_order(), "order_id", "left")
                 .join(self.reviews_per_order(), "order_id", "left")

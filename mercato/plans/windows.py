@@ -18,6 +18,7 @@ from mercato.functions.columns import (
     whole,
 )
 from mercato.operators import ordered
+from mercato.operators.skew import salted_join
 from mercato.operators.topn import share_of_total, top, top_n_per_group
 from mercato.plans.basics import down, paid, paid_by_known, up
 from mercato.plans.registry import query
@@ -292,7 +293,7 @@ def difference_from_average(wh: Warehouse, limit: int | None = None) -> DataFram
     means = wh.buyers.select(
         "customer_unique_id", ratio(F.col("spent"), F.col("paid_orders")).alias("average")
     )
-    joined = page.join(means, "customer_unique_id").select(
+    joined = salted_join(page, means, "customer_unique_id", ["order_id"]).select(
         "customer_unique_id",
         "order_id",
         rounded("payment_value").alias("order_value"),

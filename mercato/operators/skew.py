@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def hot_keys(
@@ -21,18 +21,11 @@ def hot_keys(
     """
     if fraction is None:
         fraction = float(df.sparkSession.conf.get("spark.mercato.skewSampleFraction", "0.01"))
-    size = Observation()
     sampled = df.select(key).filter(F.col(key).isNotNull()).sample(fraction, seed=7)
-    top = (
-        sampled.observe(size, F.count(F.lit(1)).alias("n"))
-        .groupBy(key)
-        .count()
-        .filter("count > 1")
-        .orderBy(F.desc("count"))
-        .limit(int(1 / share))
-        .collect()
-    )
-    floor = share * (size.get["n"] or 0)
+    # The row with the NULL key is the grand total, so it sorts first.
+    counts = sampled.rollup(key).count().orderBy(F.desc("count"), F.col(key).asc_nulls_first())
+    total, *top = counts.limit(int(1 / share) + 1).collect() or [None]
+    floor = max(share * total["count"], 2) if total else 0
     return [row[key] for row in top if row["count"] >= floor]
 
 

@@ -2,32 +2,16 @@
 
 from __future__ import annotations
 
-import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import DATA
-
-TABLES = "region nation customer supplier part orders lineitem events".split()
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-TYPES = {
-    "bigint": "BIGINT",
-    "int": "INTEGER",
-    "double": "DOUBLE",
-    "string": "VARCHAR",
-    "timestamp_ntz": "TIMESTAMP",
-    "date": "DATE",
-    "boolean": "BOOLEAN",
-}
+from tests.oracle_check import ORACLES, QUERIES, assert_same, connect
 
 
 @pytest.fixture(scope="module")
 def database():
-    connection = duckdb.connect()
-    for table in TABLES:
-        connection.execute(f"create view {table} as select * from '{DATA}/{table}.parquet'")
-    return connection
+    return connect(DATA)
 
 
 def test_every_query_has_an_oracle():
@@ -36,17 +20,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    frame = QUERIES[name](spark, DATA)
-    columns = sorted(frame.columns)
-    got = sorted((tuple(str(r[c]) for c in columns) for r in frame.collect()))
-    relation = database.execute(ORACLES[name])
-    names = [c[0] for c in relation.description]
-    types = {c[0]: str(c[1]) for c in relation.description}
-    assert sorted(names) == columns
-    assert {c: TYPES[frame.schema[c].dataType.simpleString()] for c in columns} == types
-    at = [names.index(c) for c in columns]
-    expected = sorted(tuple(str(r[i]) for i in at) for r in relation.fetchall())
-    assert got == expected
+    assert_same(spark, database, name, DATA)
 
 
 def test_entry(spark):

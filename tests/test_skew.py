@@ -80,3 +80,9 @@ def test_adaptive_execution_splits_what_is_not_salted(spark, sides):
 
 def test_tiny_rows_helper(spark):
     assert rows(spark.createDataFrame([(2,), (1,)], "a int")) == [(1,), (2,)]
+
+
+def test_no_hot_key_in_an_empty_or_tiny_table(spark):
+    assert hot_keys(spark.createDataFrame([], "k int"), "k") == []
+    assert hot_keys(spark.createDataFrame([(1,), (2,)], "k int"), "k", fraction=1.0) == []
+    assert hot_keys(spark.createDataFrame([(1,), (1,)], "k int"), "k", fraction=1.0) == [1]

@@ -656,8 +656,9 @@ def _marts() -> dict[str, str]:
             FROM fact_orders o LEFT JOIN ({payments}) p USING (order_id) LEFT JOIN ({items}) i USING (order_id)
             LEFT JOIN ({reviews}) r USING (order_id)""",
         "fact_orders_enriched": f"""
-            SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp, i.distinct_products,
-                   i.item_count, ROUND(i.items_value, 2) AS items_value, ROUND(i.freight_value, 2) AS freight_value,
+            SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp, o.order_approved_at,
+                   o.order_delivered_carrier_date, o.order_delivered_customer_date,
+                   o.order_estimated_delivery_date, i.distinct_products, i.item_count, ROUND(i.items_value, 2) AS items_value, ROUND(i.freight_value, 2) AS freight_value,
                    ROUND(p.payment_value, 2) AS payment_value, p.max_installments, o.delivery_days,
                    c.primary_category, year(o.order_purchase_timestamp) AS purchase_year,
                    month(o.order_purchase_timestamp) AS purchase_month
@@ -756,6 +757,28 @@ def _reports() -> dict[str, str]:
         "fact_payments": ("fact_payments", 5, "0"),
         "fact_reviews": ("fact_reviews", 6, "0"),
     }
+    order_nulls = """count(*) FILTER (WHERE order_approved_at IS NULL)
+        + count(*) FILTER (WHERE order_delivered_carrier_date IS NULL)
+        + count(*) FILTER (WHERE order_delivered_customer_date IS NULL)"""
+    sources = {
+        "customers": ("dim_customers", 5, "0"),
+        "sellers": ("dim_sellers", 4, "0"),
+        "products": ("dim_products", 3, "count(*) FILTER (WHERE product_category_name IS NULL)"),
+        "product_category_translation": ("category_translation", 2, "0"),
+        "geolocation": ("geo", 5, "0"),
+        "orders": ("fact_orders", 8, order_nulls),
+        "order_items": ("fact_order_items", 7, "0"),
+        "order_payments": ("fact_payments", 5, "0"),
+        "order_reviews": ("fact_reviews", 5, "0"),
+    }
+
+    def profile(frames: dict[str, tuple[str, int, str]]) -> str:
+        return " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST({columns} AS BIGINT) AS col_count,"
+            f" CAST({nulls} AS BIGINT) AS null_cells FROM {source} t"
+            for name, (source, columns, nulls) in frames.items()
+        )
+
     month_figures = f"""
         SELECT v.month, {money('p.amount')} AS total_revenue, count(*) AS total_orders,
                ROUND(CAST(sum(p.amount) AS DOUBLE) / count(*), 2) AS avg_order_value,
@@ -819,11 +842,8 @@ def _reports() -> dict[str, str]:
         "ui_aov": f"SELECT {mean('amount')} AS aov FROM paid",
         "extract_monthly_orders": per_month.format("month"),
         "export_csv": per_month.format("month"),
-        "eda_profile": " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST({columns} AS BIGINT) AS col_count,"
-            f" CAST({nulls} AS BIGINT) AS null_cells FROM {source} t"
-            for name, (source, columns, nulls) in tables.items()
-        ),
+        "eda_profile": profile(sources),
+        "star_profile": profile(tables),
         "eda_monthly_delivered": delivered_month,
         "bi_pivot_monthly": delivered_month,
         "eda_delivery_stats": f"""
@@ -971,6 +991,8 @@ def _checks() -> dict[str, str]:
     score_check = bad(
         "order_reviews", "between[review_score]", "review_score NOT BETWEEN 1 AND 5", "fact_reviews"
     )
+    months = """(SELECT month AS order_month, sum(amount) AS revenue FROM sales
+                 WHERE order_status = 'delivered' GROUP BY month)"""
     orders_columns = ("order_id", "customer_id", "order_status", *stamps)
 
     def every(rows: list[str]) -> str:
@@ -1039,6 +1061,35 @@ def _checks() -> dict[str, str]:
             "(SELECT sum(amount) AS total FROM sales WHERE order_status = 'delivered' GROUP BY month)",
         ),
         "suite_from_spec": every([*orders, status_check, *reviews, score_check]),
+        "mart_checks": every(
+            [
+                *[null("dim_customers", c, "dim_customers") for c in ("customer_id", "customer_unique_id")],
+                unique("dim_customers", "customer_id", "dim_customers"),
+                null("dim_products", "product_id", "dim_products"),
+                unique("dim_products", "product_id", "dim_products"),
+                null("dim_sellers", "seller_id", "dim_sellers"),
+                unique("dim_sellers", "seller_id", "dim_sellers"),
+                *[null("fact_orders", c, "fact_orders") for c in ("order_id", "customer_id")],
+                unique("fact_orders", "order_id", "fact_orders"),
+                bad(
+                    "fact_orders",
+                    "fk[customer_id->dim_customers.customer_id]",
+                    "NOT EXISTS (SELECT 1 FROM dim_customers q WHERE q.customer_id = s.customer_id)",
+                    "fact_orders",
+                ),
+                bad("fact_orders", "accepted_values[order_status]", f"order_status NOT IN {statuses}", "fact_orders"),
+                null("mart_monthly_revenue", "order_month", months),
+                unique("mart_monthly_revenue", "order_month", months),
+                bad("mart_monthly_revenue", "positive_revenue", "revenue < 0", months),
+                null("mart_customer_rfm", "person", "first_month", "customer_unique_id"),
+                row(
+                    "mart_customer_rfm",
+                    "pk_unique[customer_unique_id]",
+                    "(SELECT count(person) - count(DISTINCT person) FROM first_month)",
+                ),
+                bad("mart_customer_rfm", "accepted_values[r_score]", "r NOT BETWEEN 1 AND 5", "scored"),
+            ]
+        ),
     }
 
 

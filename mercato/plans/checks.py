@@ -10,7 +10,8 @@ from mercato.operators import quality
 from mercato.plans.marts import customer_rfm_mart, monthly_revenue_mart
 from mercato.plans.registry import query
 from mercato.plans.warehouse import Warehouse
-from mercato.specs import CATALOG, spec_of
+from mercato.session import materialise
+from mercato.specs import CATALOG, ORDER_STATUSES, spec_of
 
 
 def _tables(wh: Warehouse, **replaced: str) -> dict:
@@ -126,6 +127,34 @@ def check_singular(wh: Warehouse) -> DataFrame:
     )
 
 
+@query("mart_checks")
+def mart_checks(wh: Warehouse) -> DataFrame:
+    """What the star and the marts promise: keys, references, accepted values."""
+    rfm = materialise(customer_rfm_mart(wh), "rfm-mart")
+    keyed = {
+        "dim_customers": (wh.dim_customers, ["customer_id"], ["customer_id", "customer_unique_id"]),
+        "dim_products": (wh.dim_products, ["product_id"], ["product_id"]),
+        "dim_sellers": (wh.dim_sellers, ["seller_id"], ["seller_id"]),
+        "fact_orders": (wh.fact_orders, ["order_id"], ["order_id", "customer_id"]),
+        "mart_monthly_revenue": (monthly_revenue_mart(wh), ["order_month"], ["order_month"]),
+        "mart_customer_rfm": (rfm, ["customer_unique_id"], ["customer_unique_id"]),
+    }
+    extra = {
+        "fact_orders": quality.accepted_rules({"order_status": ORDER_STATUSES}),
+        "mart_monthly_revenue": {"positive_revenue": F.col("revenue") < 0},
+        "mart_customer_rfm": quality.accepted_rules({"r_score": (1, 2, 3, 4, 5)}),
+    }
+    parts = []
+    for name, (frame, key, required) in keyed.items():
+        rules = quality.not_null_rules(required) | extra.get(name, {})
+        parts += [quality.check_columns(frame, name, rules), quality.check_pk_unique(frame, name, key)]
+    target = "dim_customers.customer_id"
+    parts.append(
+        quality.check_fk(wh.fact_orders, "fact_orders", "customer_id", wh.dim_customers, target)
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("suite_from_spec")
 def suite_with_contract(wh: Warehouse) -> DataFrame:
     """Reviews and orders with their value contracts, generated from the spec."""

@@ -65,9 +65,11 @@ def ingest_all(
     tables: Iterable[str] = tuple(CATALOG),
     partitioned: bool = False,
     file_name: str = "{table}.csv",
+    multi_line: bool = True,
 ) -> list[IngestReport]:
     return [
-        ingest_table(spark, table, raw_dir, out_dir, partitioned, file_name) for table in tables
+        ingest_table(spark, table, raw_dir, out_dir, partitioned, file_name, multi_line)
+        for table in tables
     ]
 
 

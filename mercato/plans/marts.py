@@ -127,8 +127,8 @@ def orders_wide(wh: Warehouse) -> DataFrame:
 def primary_categories(wh: Warehouse) -> DataFrame:
     """Category of an order's first item that has one (by item number, so reruns agree).
 
-    ``item_facts`` already carries categories; the minimum of (item, category) per order is
-    found by map-side aggregation, with no list of an order's items.
+    The category of the smallest item number is found by map-side aggregation, with no list
+    of an order's items.
     """
     names = wh.dim_products.select("product_id", "product_category_name")
     labelled = salted_join(
@@ -149,6 +149,10 @@ def orders_enriched(wh: Warehouse) -> DataFrame:
         "customer_id",
         "order_status",
         "order_purchase_timestamp",
+        "order_approved_at",
+        "order_delivered_carrier_date",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
         "distinct_products",
         "item_count",
         rounded("items_value").alias("items_value"),

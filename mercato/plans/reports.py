@@ -24,6 +24,7 @@ from mercato.operators.topn import top, top_by_metric
 from mercato.plans.basics import category_revenue, down, paid, paid_by_known, review_mean, up
 from mercato.plans.registry import query
 from mercato.plans.warehouse import Warehouse
+from mercato.specs import CATALOG
 
 
 def month_label(column: str = "order_month") -> Column:
@@ -315,7 +316,13 @@ def profile(frame: DataFrame, name: str) -> DataFrame:
 
 
 @query("eda_profile")
-def profile_all(wh: Warehouse) -> DataFrame:
+def profile_sources(wh: Warehouse) -> DataFrame:
+    """The nine processed tables."""
+    return reduce(DataFrame.unionByName, [profile(wh.source(name), name) for name in CATALOG])
+
+
+@query("star_profile")
+def profile_star(wh: Warehouse) -> DataFrame:
     """The star facts and dimensions."""
     return reduce(
         DataFrame.unionByName, [profile(frame, name) for name, frame in wh.star_tables().items()]

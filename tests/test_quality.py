@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercato.operators import quality
+from mercato.plans.run import build_warehouse, store_enriched_orders
 from mercato.specs import CATALOG, spec_of
-from tests.conftest import rows
+from tests.conftest import RAW, rows, write_csv
 
 
 def tables_of(spark, ingested, **replaced):
@@ -83,3 +84,20 @@ def test_suite_holds_the_contract():
     assert suite["between"] == {"review_score": (1, 5)}
     assert suite["unique"] == ["review_id"] and suite["not_null"] == ["review_id", "order_id"]
     assert quality.suite(spec_of("order_reviews"))["between"] == {}
+
+
+def test_pipeline_checks_before_it_builds(spark, raw_dir, tmp_path):
+    wh, reports = build_warehouse(spark, raw_dir, str(tmp_path / "good"))
+    assert len(reports) == 9 and wh.sales.count() == 3
+    path = store_enriched_orders(wh, str(tmp_path / "enriched"))
+    assert spark.read.parquet(path).filter("purchase_month = 2").count() == 2
+
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    for table, content in RAW.items():
+        extra = [("o9", "1", "p1", "s1", "2018-01-08", "-1.0", "0")] if table == "order_items" else []
+        write_csv(bad, table, [*content, *extra])
+    with pytest.raises(quality.QualityError) as failure:
+        build_warehouse(spark, str(bad), str(tmp_path / "worse"))
+    assert "non_negative[price]: 1" in str(failure.value)
+    assert "fk[order_id->orders.order_id]: 1" in str(failure.value)

@@ -148,15 +148,20 @@ def ntiles(
 
 
 def percentile(
-    df: DataFrame, column: str, shares: Sequence[float], buckets: int | None = None
+    df: DataFrame,
+    column: str,
+    shares: Sequence[float],
+    tie_breaker: Sequence[Column] = (),
+    buckets: int | None = None,
 ) -> list[float | None]:
     """Exact interpolated percentiles of a column with many distinct values.
 
     The built-in exact percentile gathers all distinct values in one task; this one ranks
-    them in a range-partitioned table and looks up the two neighbours of each share.
+    them in a range-partitioned table and looks up the two neighbours of each share. A value
+    that very many rows share is split over buckets if ``tie_breaker`` tells its rows apart.
     """
-    values = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    placed = place(values, [F.col("_v")], (), buckets)
+    known = df.filter(F.col(column).isNotNull())
+    placed = place(known, [F.col(column).cast("double"), *tie_breaker], (), buckets)
     counts = _bucket_counts(placed)
     n = sum(rows for _, rows in counts)
     if n == 0:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.operators import ordered
@@ -40,19 +42,29 @@ def rfm_scores(metrics: DataFrame, tiles: int = 5) -> DataFrame:
     return tiled.withColumn("r_score", F.lit(tiles + 1) - F.col("_r")).drop("_r")
 
 
-def rfm_segment() -> Column:
-    """Segment of a scored person; the first matching rule decides."""
-    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    # Segment names and score limits.
-    return (
-        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
-        .when((r >= 4) & (f >= 3), "Loyal")
-        .when((r >= 4) & (f <= 2), "New / Promising")
-        .when(r == 3, "Needs Attention")
-        .when((r <= 2) & (f >= 4), "At Risk")
-        .when((r <= 2) & (m >= 4), "Cannot Lose Them")
-        .otherwise("Hibernating")
-    )
+# Segment, recency scores from and to, least frequency score, least monetary score.
+# The first segment that fits is taken; whoever fits none is hibernating.
+SEGMENTS = (
+    ("Champions", 4, 5, 4, 4),
+    ("Loyal", 4, 5, 3, 1),
+    ("New / Promising", 4, 5, 1, 1),
+    ("Needs Attention", 3, 3, 1, 1),
+    ("At Risk", 1, 2, 4, 1),
+    ("Cannot Lose Them", 1, 2, 1, 4),
+)
+OTHERWISE = "Hibernating"
+WIN_BACK_SEGMENTS = ("At Risk", "Cannot Lose Them")
 
 
-WIN_BACK_SEGMENTS = ("At Risk", "Cannot Lose Them")
+def rfm_segment(segments: Sequence[tuple[str, int, int, int, int]] = SEGMENTS) -> Column:
+    """Segment name of a scored person."""
+    names = [
+        F.when(
+            F.col("r_score").between(low, high)
+            & (F.col("f_score") >= frequency)
+            & (F.col("m_score") >= monetary),
+            F.lit(name),
+        )
+        for name, low, high, frequency, monetary in segments
+    ]
+    return F.coalesce(*names, F.lit(OTHERWISE))

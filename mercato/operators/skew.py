@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 def hot_keys(
     df: DataFrame, key: str, share: float = 0.01, fraction: float | None = None
 ) -> list[object]:
-    """Keys that hold at least ``share`` of a sample of ``df``.
+    """Keys (NULL may be one) that hold at least ``share`` of a sample of ``df``.
 
     Only the key column is scanned. The sampled fraction is 0.01, or what the setting
     ``spark.mercato.skewSampleFraction`` says: very large tables need far less.
@@ -21,12 +21,16 @@ def hot_keys(
     """
     if fraction is None:
         fraction = float(df.sparkSession.conf.get("spark.mercato.skewSampleFraction", "0.01"))
-    sampled = df.select(key).filter(F.col(key).isNotNull()).sample(fraction, seed=7)
-    # The row with the NULL key is the grand total, so it sorts first.
-    counts = sampled.rollup(key).count().orderBy(F.desc("count"), F.col(key).asc_nulls_first())
+    counts = (
+        df.select(key)
+        .sample(fraction, seed=7)
+        .rollup(key)
+        .agg(F.count(F.lit(1)).alias("n"), F.grouping(key).alias("is_total"))
+        .orderBy(F.desc("n"), F.desc("is_total"))
+    )
     total, *top = counts.limit(int(1 / share) + 1).collect() or [None]
-    floor = max(share * total["count"], 2) if total else 0
-    return [row[key] for row in top if row["count"] >= floor]
+    floor = max(share * total["n"], 2) if total else 0
+    return [row[key] for row in top if row["n"] >= floor]
 
 
 def salted_join(
@@ -38,27 +42,28 @@ def salted_join(
     spread: int = 64,
     hot: list[object] | None = None,
 ) -> DataFrame:
-    """Join ``left`` with ``right`` on ``key``, spreading the hot keys of ``left``.
+    """Join ``left`` with ``right`` (unique on ``key``), spreading the hot keys of ``left``.
 
-    Rows of a hot key get one of ``spread`` salts from the columns ``salt_by`` (a function
-    of the row, so a retried task repeats it); only the right rows of those few keys are
-    copied ``spread`` times. All other keys keep salt 0 and are not copied. ``how`` is
-    ``inner`` or ``left``. Small right sides still become broadcast joins, because Spark
-    decides that by size.
+    Rows of a hot key get one of ``spread`` salts from the columns ``salt_by`` (a function of
+    the row, so a retried task repeats it); only the right rows of those few keys are copied
+    ``spread`` times. All other keys keep salt 0 and are not copied. Rows without a key are
+    spread too where a left join keeps them. ``how`` is ``inner`` or ``left``. A small right
+    side still becomes a broadcast join, because Spark decides that by size.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     hot = hot_keys(left, key) if hot is None else hot
-    if not hot:
+    keys = [k for k in hot if k is not None]
+    spread_nulls = how == "left" and None in hot
+    if not keys and not spread_nulls:
         return left.join(right, key, how)
 
     def is_hot() -> Column:
-        return F.col(key).isin(hot)
+        return F.coalesce(F.col(key).isin(keys), F.lit(False)) if keys else F.lit(False)
 
     salt = F.pmod(F.xxhash64(*salt_by), F.lit(spread)).cast("int")
-    salted_left = left.withColumn(
-        "_salt", F.when(F.col(key).isNull() | is_hot(), salt).otherwise(F.lit(0))
-    )
+    spread_out = is_hot() | F.col(key).isNull() if spread_nulls else is_hot()
     copies = F.when(is_hot(), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
+    salted_left = left.withColumn("_salt", F.when(spread_out, salt).otherwise(F.lit(0)))
     salted_right = right.withColumn("_salt", F.explode(copies))
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")

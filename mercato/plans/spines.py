@@ -27,7 +27,8 @@ from mercato.plans.windows import monthly_revenue, spenders
 @query("q28_high_value_low_review")
 def high_value_low_review(wh: Warehouse, share: float = 0.9, worst: float = 2.0) -> DataFrame:
     people = spenders(wh)
-    threshold = ordered.percentile(people, "spent", [share])[0]
+    person = F.col("customer_unique_id")
+    threshold = ordered.percentile(people, "spent", [share], [person])[0]
     average = ratio(F.col("review_sum"), F.col("review_scored"))
     return (
         people.filter((F.col("spent").cast("double") >= F.lit(threshold)) & (average <= worst))

@@ -18,7 +18,7 @@ from mercato.specs import CATALOG  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 
-# Rows as a raw export would hold them: a repeated customer, two blank delivery dates.
+# Rows as a raw export holds them, with a repeated customer and blank delivery dates.
 RAW = {
     "customers": [
         ("customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"),

@@ -84,7 +84,7 @@ def test_lag_within_a_large_group(values, buckets):
 
 def test_percentile(values):
     shares = [0.0, 0.1, 0.5, 0.9, 1.0]
-    mine = ordered.percentile(values, "v", shares, 5)
+    mine = ordered.percentile(values, "v", shares, [F.col("id")], 5)
     exact = values.select(F.percentile(F.col("v").cast("double"), F.array(*map(F.lit, shares)))).first()[0]
     assert mine == pytest.approx(exact, rel=1e-12)
 
@@ -110,3 +110,10 @@ def test_abc_classes(spark):
     classes = {r.item: (r.running, r.abc_class) for r in abc_classes(df, "item", "v").collect()}
     # Equal values share one running total.
     assert classes == {"a": (70, "A"), "b": (90, "B"), "c": (90, "B"), "d": (96, "C"), "e": (100, "C")}
+
+
+def test_a_value_with_a_third_of_the_rows_fills_several_buckets(values):
+    placed = ordered.place(values, [F.col("v"), F.col("id")], ["v"], 9)
+    sizes = [r["count"] for r in placed.groupBy("_bucket").count().collect()]
+    assert len(sizes) == 9 and max(sizes) < 2000 / 9 * 2
+    assert placed.filter("v = 50").select("_bucket").distinct().count() >= 3

@@ -29,7 +29,7 @@ def test_the_hot_key_is_found(sides):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot", [None, [], [0], [0, 17, 1999]])
+@pytest.mark.parametrize("hot", [None, [], [0], [None], [0, None], [0, 17, 1999]])
 def test_result_equals_the_plain_join(sides, how, hot):
     left, right = sides
     mine = salted_join(left, right, "k", ["id"], how, hot=hot).select("k", "id", "w")
@@ -86,3 +86,4 @@ def test_no_hot_key_in_an_empty_or_tiny_table(spark):
     assert hot_keys(spark.createDataFrame([], "k int"), "k") == []
     assert hot_keys(spark.createDataFrame([(1,), (2,)], "k int"), "k", fraction=1.0) == []
     assert hot_keys(spark.createDataFrame([(1,), (1,)], "k int"), "k", fraction=1.0) == [1]
+    assert hot_keys(spark.createDataFrame([(None,), (None,), (3,)], "k int"), "k", fraction=1.0) == [None]

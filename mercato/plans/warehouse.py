@@ -43,7 +43,8 @@ class Warehouse:
     def source(self, name: str, *args: str) -> DataFrame:
         if name not in self._sources:
             raise KeyError(f"source table missing: {name}")
-        return self._sources[name](*args)
+        label = ":".join(("source", name, *args))
+        return self._once(label, lambda: self._sources[name](*args), keep=False)
 
     def _once(self, name: str, build: Callable[[], DataFrame], keep: bool) -> DataFrame:
         if name not in self._built:

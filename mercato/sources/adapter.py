@@ -22,11 +22,13 @@ class SourceTables:
         self._kept: dict[str, DataFrame] = {}
 
     def raw(self, table: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{table}.parquet")
+        if table not in self._kept:
+            self._kept[table] = self._spark.read.parquet(f"{self._dir}/{table}.parquet")
+        return self._kept[table]
 
     def _clean_lines(self) -> DataFrame:
         """Line items with one row per (order, line); both items and payments come from it."""
-        if "lines" not in self._kept:
+        if "clean lines" not in self._kept:
             lines = self.raw("lineitem").select(
                 "l_orderkey",
                 "l_linenumber",
@@ -41,8 +43,8 @@ class SourceTables:
                 "l_linestatus",
             )
             deduped = distinct_on(lines, ["l_orderkey", "l_linenumber"])
-            self._kept["lines"] = materialise(deduped, "clean-lines")
-        return self._kept["lines"]
+            self._kept["clean lines"] = materialise(deduped, "clean-lines")
+        return self._kept["clean lines"]
 
     def customers(self) -> DataFrame:
         """One customer row per order; the person is customer and order priority together."""

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from mercato.llm.merging import PairTable, merge_all
 from mercato.llm.ragged import blocks, mix
@@ -125,7 +125,7 @@ def encode(
     pieces = Pieces(model)
     kept = [c for c in docs.columns if c not in ("piece_ids", "n_pieces", "same")]
     slim = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"), F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("0"))).alias("_key"))
-    schema = slim.drop("_text", "_key").schema.add("piece_ids", "array<int>", False).add("n_pieces", "long", False)
+    schema = slim.drop("_text", "_key").schema.add("piece_ids", T.ArrayType(T.IntegerType(), False), False).add("n_pieces", "long", False)
     if check:
         schema = schema.add("same", "boolean", False)
 

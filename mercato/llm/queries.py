@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.llm import bpe_count, pieces
-from mercato.llm.tables import load
+from mercato.llm import bpe_count, language, pieces, toxicity
+from mercato.llm.tables import fold, load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,21 @@ def tokenizer(name: str) -> str:
     return os.path.join(TOKENIZERS, name)
 
 
+def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels, fold(parts=5) != 0)
+    scored = toxicity.score(docs.withColumn("held_out", fold(parts=5) == 0), model)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, fold(parts=4) != 2)
+    told = language.predict(docs.drop("lang").withColumn("held_out", fold(parts=4) == 2), model)
+    return told.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op5_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     made = pieces.encode(docs, tokenizer("piece_bpe_32k.model"), DROPOUT, SEED, check=True)
@@ -35,6 +50,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_compression_toxicity": op3_compression_toxicity,
+    "op4_output_codes": op4_output_codes,
     "op5_piece_dropout": op5_piece_dropout,
     "op10_token_counts": op10_token_counts,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.llm import bpe_count, language, pieces, toxicity
+from mercato.llm import bpe_count, fingerprints, language, oracle, pieces, toxicity, url_rules
 from mercato.llm.tables import fold, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,19 @@ def tokenizer(name: str) -> str:
     return os.path.join(TOKENIZERS, name)
 
 
+# The written policy of op1.
+URL_POLICY = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
+
+
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of its id in ``labels``: bad if toxic or of low quality."""
+    pages = load(spark, sf_dir, "pages").select("page_id", "url")
+    marked = load(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    bad = ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int")
+    labelled = pages.join(marked, "page_id").select("url", F.coalesce(bad, F.lit(0)).alias("bad"))
+    return url_rules.judge(pages, URL_POLICY, labelled).drop("url")
+
+
 def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -43,6 +56,10 @@ def op5_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_pieces", F.sha2(F.array_join("piece_ids", " "), 256).alias("pieces_sha256"), F.col("same").alias("lossless"))
 
 
+def op9_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_neighbours(load(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     made = bpe_count.count_tokens(docs, tokenizer("word_bpe_49k.json"), limit=2048)
@@ -50,9 +67,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_rules": op1_url_rules,
     "op3_compression_toxicity": op3_compression_toxicity,
     "op4_output_codes": op4_output_codes,
     "op5_piece_dropout": op5_piece_dropout,
+    "op9_weighted_sampling": op9_weighted_sampling,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_url_rules": oracle.OP1}

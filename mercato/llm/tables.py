@@ -10,7 +10,12 @@ from mercato.session import materialise
 BROADCAST_ROWS = 400_000
 
 
+# Batches that go to Python hold at most so many bytes (or one row), whatever rows hold.
+BATCH_BYTES = 4 << 20
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 

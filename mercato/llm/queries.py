@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.llm import bpe_count, fingerprints, language, oracle, pieces, toxicity, url_rules
+from mercato.llm import bpe_count, fingerprints, jaccard, language, oracle, pieces, toxicity, url_rules
 from mercato.llm.tables import fold, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op5_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_pieces", F.sha2(F.array_join("piece_ids", " "), 256).alias("pieces_sha256"), F.col("same").alias("lossless"))
 
 
+def op6_fragment_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_components(load(spark, sf_dir, "documents"))
+
+
 def op9_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_neighbours(load(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op3_compression_toxicity": op3_compression_toxicity,
     "op4_output_codes": op4_output_codes,
     "op5_piece_dropout": op5_piece_dropout,
+    "op6_fragment_jaccard": op6_fragment_jaccard,
     "op9_weighted_sampling": op9_weighted_sampling,
     "op10_token_counts": op10_token_counts,
 }

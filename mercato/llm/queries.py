@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.llm import bpe_count, fingerprints, jaccard, language, oracle, pieces, toxicity, url_rules
+from mercato.llm import bpe_count, fingerprints, jaccard, language, oracle, pieces, repeats, toxicity, url_rules
 from mercato.llm.tables import fold, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op6_fragment_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_components(load(spark, sf_dir, "documents"))
 
 
+def op7_repeat_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(load(spark, sf_dir, "documents"))
+
+
 def op9_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_neighbours(load(spark, sf_dir, "documents"))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op4_output_codes": op4_output_codes,
     "op5_piece_dropout": op5_piece_dropout,
     "op6_fragment_jaccard": op6_fragment_jaccard,
+    "op7_repeat_intervals": op7_repeat_intervals,
     "op9_weighted_sampling": op9_weighted_sampling,
     "op10_token_counts": op10_token_counts,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.llm import bpe_count, fingerprints, jaccard, language, oracle, pieces, repeats, toxicity, url_rules
+from mercato.llm import bpe_count, fingerprints, gru, jaccard, language, oracle, pieces, repeats, toxicity, url_rules
 from mercato.llm.tables import fold, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op7_repeat_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(load(spark, sf_dir, "documents"))
 
 
+def op8_recurrent_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru.log_likelihood(load(spark, sf_dir, "documents"), fold(parts=7) == 2)
+
+
 def op9_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_neighbours(load(spark, sf_dir, "documents"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op5_piece_dropout": op5_piece_dropout,
     "op6_fragment_jaccard": op6_fragment_jaccard,
     "op7_repeat_intervals": op7_repeat_intervals,
+    "op8_recurrent_likelihood": op8_recurrent_likelihood,
     "op9_weighted_sampling": op9_weighted_sampling,
     "op10_token_counts": op10_token_counts,
 }

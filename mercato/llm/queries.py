@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.llm import bpe_count, fingerprints, gru, jaccard, language, oracle, pieces, repeats, toxicity, url_rules
+from mercato.llm import bpe_count, contamination, fingerprints, gru, jaccard, language, oracle, pieces, repeats, toxicity, url_rules
 from mercato.llm.tables import fold, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, URL_POLICY, labelled).drop("url")
 
 
+def op2_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination.mark(docs, load(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -80,6 +85,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_rules": op1_url_rules,
+    "op2_latent_retrieval": op2_latent_retrieval,
     "op3_compression_toxicity": op3_compression_toxicity,
     "op4_output_codes": op4_output_codes,
     "op5_piece_dropout": op5_piece_dropout,

@@ -14,8 +14,12 @@ BROADCAST_ROWS = 400_000
 BATCH_BYTES = 4 << 20
 
 
-def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 

@@ -15,17 +15,18 @@ def components(links: DataFrame) -> DataFrame:
     written to the shared folder. Nothing but counts comes to the driver. Links with a null end
     and loops are left out; repeated links change nothing.
     """
-    edges = stage(_tidy(links.select("a", "b")), "links")
+    pairs = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    edges = stage(pairs.distinct(), "links")
     state = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = _tidy(large)
+        edges = both.join(least, "a").where("b > a and b <> m").select(F.col("m").alias("a"), "b").distinct()
         least = edges.groupBy("b").agg(F.min("a").alias("m"))
         small = edges.join(least, "b")
-        small = small.select(F.col("a"), F.col("m").alias("b")).unionByName(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
-        edges = stage(_tidy(small), "links")
+        # Every neighbour below a node, and the node itself, now point at the least of them.
+        small = small.select(F.explode(F.array("a", "b")).alias("b"), F.col("m").alias("a")).where("a <> b")
+        edges = stage(small.select("a", "b").distinct(), "links")
         now = _state(edges)
         if now == state:
             break
@@ -34,11 +35,6 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(roots.select("node", "component"))
 
 
-def _tidy(pairs: DataFrame) -> DataFrame:
-    """Smaller end first, once each, no loops."""
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     return row[0], row[1]

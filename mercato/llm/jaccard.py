@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.llm.components import components
@@ -42,12 +43,12 @@ def set_ids(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def summarise(docs: DataFrame, fragments: int) -> DataFrame:
-    """Rows of two kinds: one per text (fragment null), and per chunk and fragment its shingles.
+    """Rows of two kinds: one per text (fragment null), and per chunk (cid is its number) and fragment its shingles.
 
     A chunk ships each shingle once: with its owner, or as common if two of its classes hold it.
     """
 
-    def chunk(held: list) -> Iterator[pa.RecordBatch]:
+    def chunk(held: list, number: int) -> Iterator[pa.RecordBatch]:
         values, counts, ids = (np.concatenate([h[k] for h in held]) for k in range(3))
         _, first = np.unique(ids, return_index=True)
         once = np.zeros(len(ids), dtype=bool)
@@ -78,12 +79,12 @@ def summarise(docs: DataFrame, fragments: int) -> DataFrame:
         cols = list(zip(*rows, strict=True))
         n = len(rows)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(cols[0], pa.int32()), *map(binary, cols[1:])] if n else [],
+            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([number] * n, pa.int64()), pa.array(cols[0], pa.int32()), *map(binary, cols[1:])],
             names=NAMES,
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, held, size = Powers(), [], 0
+        powers, held, size, number = Powers(), [], 0, TaskContext.get().partitionId() << 32
         for batch in blocks(batches):
             data, offsets = flat(batch.column("text"))
             words, counts, _, _ = word_hashes(data, offsets, powers)
@@ -94,10 +95,10 @@ def summarise(docs: DataFrame, fragments: int) -> DataFrame:
             held.append((values, counts, ids))
             size += len(data)
             if size >= CHUNK:
-                yield from chunk(held) if sum(len(h[0]) for h in held) else ()
-                held, size = [], 0
+                yield from chunk(held, number) if sum(len(h[0]) for h in held) else ()
+                held, size, number = [], 0, number + 1
         if held and sum(len(h[0]) for h in held):
-            yield from chunk(held)
+            yield from chunk(held, number)
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, cid long, fragment int, ids binary, alone binary, shared binary, tokens binary, common binary")
 
@@ -106,7 +107,10 @@ NAMES = ["doc_id", "n_shingles", "cid", "fragment", "ids", "alone", "shared", "t
 
 
 def shared_counts(table: pa.Table) -> pa.Table:
-    """Of one fragment: how many of its shingles each class shares with another class."""
+    """Of one fragment: how many of its shingles each class of each chunk shares with another class.
+
+    The counts go back as one row per chunk, so their number does not grow with the texts.
+    """
     take = lambda name, kind: [np.frombuffer(x.as_py(), dtype=kind) for x in table.column(name)]
     ids = np.concatenate(take("ids", np.int64))
     alone = np.concatenate(take("alone", np.int32))
@@ -126,10 +130,20 @@ def shared_counts(table: pa.Table) -> pa.Table:
             hit |= common[at] == t[begin]
         hit = np.repeat(hit, np.diff(np.append(begin, len(t))))
         shared = shared + np.bincount(row[order][hit], minlength=len(ids))
-    total = np.zeros(len(classes), dtype=np.int64)
-    np.maximum.at(total, cls, shared)  # copies of a class in other chunks give the same count
-    full = np.flatnonzero(total)
-    return pa.table({"cid": pa.array(classes[full], pa.int64()), "n": pa.array(total[full], pa.int64())})
+    edges = np.cumsum([0, *map(len, take("ids", np.int64))])
+    full = [np.flatnonzero(shared[a:b]) + a for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return pa.table({"chunk": table.column("cid"), "ids": binary([ids[x] for x in full]), "n": binary([shared[x] for x in full])})
+
+
+def summed():
+    """Of one chunk: its classes that share enough shingles, by the sum over all fragments."""
+
+    def run(table: pa.Table) -> pa.Table:
+        take = lambda name: np.concatenate([np.frombuffer(x.as_py(), dtype=np.int64) for x in table.column(name)])
+        cid, back = np.unique(take("ids"), return_inverse=True)
+        return pa.table({"cid": pa.array(cid), "k": pa.array(np.bincount(back, weights=take("n"), minlength=len(cid)).astype(np.int64))})
+
+    return run
 
 
 def linked(overlap: Column, a: Column, b: Column, percent: int) -> Column:
@@ -167,11 +181,11 @@ def near_components(docs: DataFrame, percent: int = 75, key: str = "doc_id", tex
     made = stage(summarise(slim, fragments), "shingles")
     rows = made.where("fragment is null").select("doc_id", "n_shingles", "cid")
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"))
-    counted = made.where("fragment is not null").select("fragment", "ids", "alone", "shared", "tokens", "common")
-    counted = counted.groupBy("fragment").applyInArrow(shared_counts, "cid long, n long").groupBy("cid").agg(F.sum("n").alias("k"))
+    counted = made.where("fragment is not null").select("cid", "fragment", "ids", "alone", "shared", "tokens", "common")
+    counted = counted.groupBy("fragment").applyInArrow(shared_counts, "chunk long, ids binary, n binary")
+    counted = counted.groupBy("chunk").applyInArrow(summed(), "cid long, k long").groupBy("cid").agg(F.max("k").alias("k"))
     kept = stage(classes.join(counted, "cid").where(F.col("k") >= least(F.col("n"), percent)).select("cid", "rep", "n"), "classes")
-    links = stage(_links(slim, kept, percent), "near-links")
-    comp = components(links)
+    comp = _components(slim, kept, percent)
     named = comp.join(classes.select(F.col("cid").alias("node"), "rep"), "node")
     named = named.join(named.groupBy("component").agg(F.min("rep").alias("least")), "component").select(F.col("node").alias("cid"), "least")
     named = stage(named, "near-components")
@@ -181,8 +195,8 @@ def near_components(docs: DataFrame, percent: int = 75, key: str = "doc_id", tex
     return out.select(F.col("doc_id").alias(key), "n_shingles", component.alias("component_id"))
 
 
-def _links(slim: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
-    """Links among the kept classes that connect all that is connected."""
+def _components(slim: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of all kept classes that link with another."""
     n_kept = kept.count()
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,14 +242,24 @@ def _links(slim: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
         pairs = pairs.unionByName(stars)
     found = stage(verified(stage(pairs.distinct(), "pairs"), sets, percent), "verified")
     if not heavy:
-        return found
-    return found.unionByName(_in_blocks(stars, found, sets, percent))
-
-
-def _in_blocks(stars: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one bundle of long posting lists that are not connected yet."""
-    bundle = components(stars).select(F.col("node").alias("cid"), F.col("component").alias("bundle"))
-    comp = components(found).select(F.col("node").alias("cid"), F.col("component").alias("comp"))
+        return components(found)
+    # Verified links and bundles of long lists in one run.
+    of = lambda kind, pairs: pairs.select(*[F.struct(F.lit(kind).alias("kind"), F.col(c).alias("cid")).alias(c) for c in ("a", "b")])
+    both = stage(components(of(0, found).unionByName(of(1, stars))).select("node.kind", "node.cid", F.col("component.cid").alias("component")), "both-components")
+    comp = both.where("kind = 0").select(F.col("cid").alias("node"), "component")
+    extra = stage(_in_blocks(both, sets, percent), "links-in-blocks")
+    if extra.isEmpty():
+        return comp
+    joined = components(extra).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    known = comp.join(joined, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    single = joined.select(F.col("component").alias("node"), F.col("root").alias("component")).join(comp.select("node"), "node", "left_anti")
+    return known.unionByName(single)
+
+
+def _in_blocks(both: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components within one bundle of long posting lists."""
+    bundle = both.where("kind = 1").select("cid", F.col("component").alias("bundle"))
+    comp = both.where("kind = 0").select("cid", F.col("component").alias("comp"))
     member = bundle.join(comp, "cid", "left").select("cid", "bundle", F.coalesce("comp", "cid").alias("comp"))
     size = member.groupBy("bundle", "comp").agg(F.count("*").alias("size"))
     torn = size.groupBy("bundle").agg(F.count("*").alias("comps"), F.sum(F.when(F.col("size") < BLOCK_ROWS, F.col("size")).otherwise(0)).alias("loose")).where("comps > 1")
@@ -260,7 +284,7 @@ def _in_blocks(stars: DataFrame, found: DataFrame, sets: DataFrame, percent: int
 
 
 def block_links(table: pa.Table, percent: int) -> tuple[list[int], list[int]]:
-    """Links between the two sides that connect what is not connected, overlaps cut by cut."""
+    """Pairs of components of the two sides that a link connects, overlaps counted cut by cut."""
     table = table.combine_chunks()
     side = table.column("side").to_numpy()
     cid, comp, n = (table.column(c).to_numpy() for c in ("cid", "comp", "n"))
@@ -297,6 +321,6 @@ def block_links(table: pa.Table, percent: int) -> tuple[list[int], list[int]]:
         p, q = root(int(comp[left[i]])), root(int(comp[right[j]]))
         if p != q:
             parent[p] = q
-            out_a.append(int(cid[left[i]]))
-            out_b.append(int(cid[right[j]]))
+            out_a.append(int(comp[left[i]]))
+            out_b.append(int(comp[right[j]]))
     return out_a, out_b

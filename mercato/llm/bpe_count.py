@@ -33,6 +33,7 @@ class Vocabulary:
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.keys = np.array([ids[a] * 65536 + ids[b] for a, b in pairs], dtype=np.uint32)
         self.joined = np.array([ids[a + b] for a, b in pairs], dtype=np.int32)
+        self.classes = _classes()
         self.special = [t["content"] for t in spec["added_tokens"]]
 
 
@@ -47,14 +48,15 @@ def _shown_bytes() -> list[str]:
 
 
 def _classes() -> np.ndarray:
-    """Class of every code point: letter, digit, other or blank."""
+    """Class of every code point: letter, digit, other or blank, by the library's own tables."""
+    from tokenizers import Regex, pre_tokenizers
+
     out = np.full(0x110000, OTHER, dtype=np.uint8)
-    text = "".join(map(chr, (c for c in range(0x110000) if not 0xD800 <= c < 0xE000)))
-    for kind, pattern in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+"), (BLANK, r"[\s\x85]+")):
-        for found in regex.finditer(pattern, text):
-            a, b = (x + 0x800 * (x >= 0xD800) for x in found.span())
-            out[a:b] = kind
-    out[0x1C:0x20] = OTHER  # blank to Python only
+    points = np.array([c for c in range(0x110000) if not 0xD800 <= c < 0xE000])
+    text = "".join(map(chr, points))
+    for kind, pattern in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+"), (BLANK, r"\s+")):
+        for _, (a, b) in pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(text):
+            out[points[a:b]] = kind
     return out
 
 
@@ -110,11 +112,11 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = PairTable(words.keys, np.arange(len(words.keys), dtype=np.int32), words.joined)
-        classes, powers = _classes(), Powers()
+        powers = Powers()
         marks = regex.compile("|".join(map(regex.escape, words.special))) if special and words.special else None
         for batch in blocks(batches, 1 << 20, "_text"):
             texts = batch.column("_text").to_pylist()
-            tokens = counts_of(texts, words, table, classes, powers, marks)
+            tokens = counts_of(texts, words, table, powers, marks)
             size = [len(t.encode("utf-8", "surrogatepass")) for t in texts]
             added = [pa.array(size, pa.int64()), pa.array(tokens, pa.int64()), pa.array(tokens > limit, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *added], names=[*kept, "n_bytes", "n_tokens", "over_limit"])
@@ -122,7 +124,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int, text: str = "text
     return slim.mapInArrow(run, schema)
 
 
-def counts_of(texts: list[str], words: Vocabulary, table: PairTable, classes: np.ndarray, powers: Powers, marks) -> np.ndarray:
+def counts_of(texts: list[str], words: Vocabulary, table: PairTable, powers: Powers, marks) -> np.ndarray:
     extra = np.zeros(len(texts), dtype=np.int64)
     parts, owner = [], []
     for i, t in enumerate(texts):
@@ -142,7 +144,7 @@ def counts_of(texts: list[str], words: Vocabulary, table: PairTable, classes: np
     begin = np.cumsum([0, *map(len, parts)])
     edge = np.zeros(len(points) + 1, dtype=bool)
     edge[begin[:-1]] = True
-    starts, ends = split_words(points, edge, classes)
+    starts, ends = split_words(points, edge, words.classes)
     if not len(starts):
         return extra
     width = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)

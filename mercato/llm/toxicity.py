@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mercato.llm.ragged import LOWER, Powers, Rolling, blocks, flat
+from mercato.llm.ragged import LOWER, Powers, Rolling, blocks, flat, mix
 from mercato.llm.tables import stage
 
 HEAD = 9
@@ -31,6 +31,11 @@ WORDY = np.zeros(256, dtype=bool)
 WORDY[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
+def wide(codes: np.ndarray) -> bytes:
+    """16 bytes a word, so that a match pays in a window that holds nothing else known."""
+    return np.stack([codes, mix(codes ^ np.uint64(0xA0761D6478BD642F))], 1).tobytes()
+
+
 def codes_of(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
     """64-bit code of the head of each word (ASCII letters, digits and all beyond ASCII), words per text."""
     n = len(data)
@@ -93,8 +98,8 @@ def distances(texts: pa.Array, ordinary: Lengths, toxic: Lengths, powers: Powers
     first, end, owner = windows_of(counts, WINDOW)
     if not len(first):
         return np.zeros(len(counts)), np.zeros(len(counts), np.int64)
-    data = codes.tobytes()
-    gap = ordinary.of(data, first * 8, end * 8) - toxic.of(data, first * 8, end * 8)
+    data = wide(codes)
+    gap = ordinary.of(data, first * 16, end * 16) - toxic.of(data, first * 16, end * 16)
     total = np.bincount(owner, weights=np.maximum(gap, 0), minlength=len(counts))
     return total, np.bincount(owner, minlength=len(counts))
 
@@ -161,13 +166,14 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id",
             hit = np.flatnonzero(bad & (known[np.searchsorted(known, codes).clip(0, max(0, len(known) - 1))] == codes)) if len(known) and len(codes) else np.zeros(0, int)
             first, end, owner = windows_of(counts, WINDOW)
             fine = np.flatnonzero(~bad[first]) if len(first) else first
-            made = [codes[i : i + 1].tobytes() for i in hit] + [codes[first[i] : end[i]].tobytes() for i in fine]
+            raw = wide(codes)
+            made = [raw[16 * i : 16 * i + 16] for i in hit] + [raw[16 * first[i] : 16 * end[i]] for i in fine]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), pa.array([1] * len(hit) + [0] * len(fine), pa.int32())], names=["window", "bad"])
 
     cut = sample.mapInArrow(windows, "window binary, bad int").withColumn("_at", F.xxhash64("window", F.monotonically_increasing_id()))
     some = {v: [bytes(r["window"]) for r in cut.where(F.col("bad") == v).orderBy("_at", "window").limit(SAMPLE_WINDOWS).collect()] for v in (0, 1)}
-    ordinary = trained(some[0], 8192)
-    toxic = ordinary + trained([w * 2 for w in some[1]], max(1024, 10 * len(contrast)))
+    ordinary = trained(some[0], 16384)
+    toxic = ordinary + trained([w * 2 for w in some[1]], max(1024, 20 * len(contrast)))
     return calibrated(Model(ordinary, toxic, np.array([0.0]), np.array([0.0])), sample, spark)
 
 

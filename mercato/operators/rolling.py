@@ -8,7 +8,7 @@ from mercato.functions.columns import ratio
 
 def _by_day() -> WindowSpec:
     """One row per day reaches this window, so its single task holds a calendar."""
-    return Window.partitionBy(F.lit(1)).orderBy("d")
+    return Window.partitionBy(F.lit(1)).orderBy(F.asc_nulls_last("d"))
 
 
 def rolling_mean(value: str, rows: int) -> Column:
@@ -37,7 +37,7 @@ def rolling_distinct(visits: DataFrame, who: str, day: str, days: int) -> DataFr
     figure is a running sum: no row is repeated per day of the window. The lead runs over
     the distinct days of one visitor.
     """
-    seen = visits.select(who, F.col(day).alias("d")).distinct()
+    seen = visits.select(who, F.col(day).alias("d")).where("d is not null").distinct()
     following = F.lead("d").over(Window.partitionBy(who).orderBy("d"))
     end = F.date_add("d", days)
     spans = seen.withColumn("next", following).select(

@@ -90,9 +90,11 @@ WITH raw_items AS (
 ), spend AS (
   SELECT person, count(*) AS orders, sum(amount) AS spent, max(order_purchase_timestamp) AS last_ts
   FROM sales GROUP BY person
+), all_goods AS (
+  SELECT i.*, d.product_id AS known_product_id, d.product_category_english AS category
+  FROM fact_order_items i LEFT JOIN dim_products d ON i.product_id = d.product_id
 ), goods AS (
-  SELECT i.*, d.product_category_english AS category
-  FROM fact_order_items i JOIN dim_products d USING (product_id)
+  SELECT * FROM all_goods WHERE known_product_id IS NOT NULL
 ), opinions AS (
   SELECT v.person, v.state, v.order_id, r.review_score FROM fact_reviews r JOIN visits v USING (order_id)
 ), cat_month AS (

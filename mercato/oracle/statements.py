@@ -50,11 +50,11 @@ def _basics() -> dict[str, str]:
         "q07_category_top10": f"""
             SELECT coalesce(category, 'unknown') AS category, {money('price')} AS revenue,
                    count(DISTINCT order_id) AS orders
-            FROM goods GROUP BY 1 ORDER BY revenue DESC, 1 LIMIT 10""",
+            FROM all_goods GROUP BY 1 ORDER BY revenue DESC, 1 LIMIT 10""",
         "q08_freight_pct": f"""
             SELECT coalesce(category, 'unknown') AS category,
                    ROUND({pct('sum(freight_value)', 'sum(price)')}, 2) AS freight_pct
-            FROM goods GROUP BY 1 ORDER BY freight_pct DESC, 1 LIMIT 15""",
+            FROM all_goods GROUP BY 1 ORDER BY freight_pct DESC, 1 LIMIT 15""",
         "q09_review_by_state": f"""
             SELECT state AS customer_state, ROUND({mean('review_score')}, 3) AS avg_review
             FROM opinions GROUP BY state""",
@@ -494,10 +494,10 @@ def _advanced() -> dict[str, str]:
                    ROUND(100.0 * ({mean('freight_value')}) / NULLIF({mean('price')}, 0), 2) AS freight_pct_of_price
             FROM {source} GROUP BY ALL HAVING count(*) >= 20"""
 
-    national = freight("coalesce(category, 'unknown') AS category", "goods")
+    national = freight("coalesce(category, 'unknown') AS category", "all_goods")
     cell = freight(
         "coalesce(g.category, 'unknown') AS category, v.state AS customer_state",
-        "goods g JOIN visits v USING (order_id)",
+        "all_goods g JOIN visits v USING (order_id)",
     )
     geo = f"""
         SELECT s.state AS customer_state, count(DISTINCT s.person) AS customers,
@@ -678,15 +678,15 @@ def _marts() -> dict[str, str]:
         "mart_category_performance": f"""
             SELECT category, count(DISTINCT order_id) AS orders, {money('price')} AS revenue,
                    ROUND({mean('price')}, 2) AS avg_item_price, {money('freight_value')} AS freight
-            FROM goods GROUP BY category""",
+            FROM all_goods GROUP BY category""",
         "vw_order_facts": order_facts,
         "vw_monthly_revenue": f"""
             SELECT CAST(month AS DATE) AS order_month, count(*) AS orders, {money('p.amount')} AS revenue
             FROM visits LEFT JOIN paid p USING (order_id) WHERE order_status = 'delivered' GROUP BY 1""",
         "vw_product_performance": f"""
-            SELECT product_id, category, count(DISTINCT order_id) AS orders, {money('price')} AS revenue,
-                   ROUND({mean('price')}, 2) AS avg_price
-            FROM goods GROUP BY ALL""",
+            SELECT known_product_id AS product_id, category, count(DISTINCT order_id) AS orders,
+                   {money('price')} AS revenue, ROUND({mean('price')}, 2) AS avg_price
+            FROM all_goods GROUP BY ALL""",
         "star_row_counts": " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source} t"
             for name, source in star_counts.items()
@@ -708,7 +708,7 @@ def _reports() -> dict[str, str]:
     category = f"""
         SELECT coalesce(category, 'unknown') AS category, {money('price')} AS revenue,
                count(DISTINCT order_id) AS orders
-        FROM goods GROUP BY 1"""
+        FROM all_goods GROUP BY 1"""
     by_month = f"""
         SELECT strftime(order_purchase_timestamp, '%Y-%m') AS period, {money('amount')} AS revenue, count(*) AS orders
         FROM fact_orders JOIN paid USING (order_id)"""
@@ -819,11 +819,11 @@ def _reports() -> dict[str, str]:
         "eda_status_counts": statuses.format("count"),
         "api_top_products": f"""
             SELECT product_id, category, count(DISTINCT order_id) AS orders, {money('price')} AS revenue
-            FROM goods GROUP BY ALL ORDER BY revenue DESC, product_id LIMIT 10""",
+            FROM all_goods GROUP BY ALL ORDER BY revenue DESC, product_id LIMIT 10""",
         "api_categories": f"""
             SELECT coalesce(category, 'unknown') AS category, count(DISTINCT order_id) AS orders,
                    {money('price')} AS revenue, ROUND({mean('price')}, 2) AS avg_item_price
-            FROM goods GROUP BY 1 ORDER BY revenue DESC, 1 LIMIT 15""",
+            FROM all_goods GROUP BY 1 ORDER BY revenue DESC, 1 LIMIT 15""",
         "api_dashboard": f"""
             SELECT 'kpis' AS section, 'total_orders' AS label, CAST(count(*) AS DOUBLE) AS value FROM fact_orders
             UNION ALL SELECT 'kpis', 'unique_customers', CAST(count(DISTINCT customer_id) AS DOUBLE) FROM fact_orders
@@ -833,9 +833,10 @@ def _reports() -> dict[str, str]:
                       FROM (SELECT * FROM ({category}) c ORDER BY revenue DESC, category LIMIT 5) t""",
         "ui_kpis": f"""
             SELECT count(*) AS total_orders, count(DISTINCT customer_id) AS unique_customers,
-                   {money('amount')} AS total_revenue,
-                   ROUND(CAST(sum(amount) AS DOUBLE) / count(*), 2) AS avg_order_value, {score} AS avg_review
-            FROM fact_orders LEFT JOIN paid USING (order_id)""",
+                   (SELECT {money('amount')} FROM paid) AS total_revenue,
+                   ROUND((SELECT CAST(sum(amount) AS DOUBLE) FROM paid) / count(*), 2) AS avg_order_value,
+                   {score} AS avg_review
+            FROM fact_orders""",
         "ui_category_revenue": category,
         "ui_top_n_by_metric": category + " ORDER BY orders DESC, category LIMIT 15",
         "ui_states": "SELECT DISTINCT customer_state FROM dim_customers",

@@ -22,7 +22,7 @@ from mercato.plans.warehouse import Warehouse
 @query("q48_cohort_sizes")
 def cohort_sizes(wh: Warehouse) -> DataFrame:
     return (
-        wh.buyer_months.filter("order_month = cohort_month")
+        wh.buyer_months.filter("order_month <=> cohort_month")
         .groupBy(as_timestamp("cohort_month").alias("cohort_month"))
         .agg(F.count(F.lit(1)).alias("new_customers"))
         .orderBy("cohort_month")
@@ -150,7 +150,7 @@ def orders_in_first_days(wh: Warehouse, days: int = 90) -> DataFrame:
         daily.withColumn("first_day", first_day)
         .agg(
             F.sum(early).alias("early"),
-            F.count_if(F.col("order_date") == F.col("first_day")).alias("people"),
+            F.count_if(F.col("order_date").eqNullSafe(F.col("first_day"))).alias("people"),
         )
         .select(
             rounded(F.try_divide(F.col("early").cast("double"), F.col("people").cast("double")), 3)

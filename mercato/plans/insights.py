@@ -145,7 +145,9 @@ def cohort_revenue_matrix(wh: Warehouse) -> DataFrame:
 @query("ui_payback_curve")
 def payback_curve(wh: Warehouse) -> DataFrame:
     people = F.broadcast(wh.buyers.agg(F.count(F.lit(1)).alias("people")))
-    by_offset = Window.partitionBy(F.lit(1)).orderBy("months_since_first_order")
+    by_offset = Window.partitionBy(F.lit(1)).orderBy(
+        F.asc_nulls_last("months_since_first_order")
+    )
     return (
         wh.buyer_months.filter("revenue is not null")
         .groupBy(month_offset().alias("months_since_first_order"))

@@ -235,7 +235,9 @@ def monthly_revenue_view(wh: Warehouse) -> DataFrame:
 
 @query("vw_product_performance")
 def product_performance_view(wh: Warehouse) -> DataFrame:
-    return wh.lines.filter("known_product").groupBy("product_id", "category").agg(
+    """Items of unknown products make one row without product and category."""
+    product = F.when(F.col("known_product"), F.col("product_id"))
+    return wh.lines.groupBy(product.alias("product_id"), "category").agg(
         F.count_distinct("order_id").alias("orders"),
         money("price").alias("revenue"),
         rounded(mean("price")).alias("avg_price"),

@@ -191,8 +191,7 @@ def dashboard(wh: Warehouse) -> dict[str, DataFrame]:
         "kpis": wh.sales.agg(
             F.count(F.lit(1)).alias("total_orders"),
             F.count_distinct("customer_id").alias("unique_customers"),
-            money("payment_value").alias("total_revenue"),
-        ),
+        ).crossJoin(F.broadcast(wh.order_payments.agg(money("payment_value").alias("total_revenue")))),
         "monthly_orders": orders_by_month(wh, "period"),
         "top_categories": category_revenue(wh, 5).select("category", "revenue"),
     }
@@ -236,16 +235,24 @@ def dashboard_rows(wh: Warehouse) -> DataFrame:
 
 @query("ui_kpis")
 def ui_kpis(wh: Warehouse) -> DataFrame:
-    """Here the average order value is over all orders."""
+    """All payments, also those of unknown orders; the average order value is over all orders."""
     rows = F.count(F.lit(1))
     reviews = F.broadcast(wh.fact_reviews.agg(rounded(mean("review_score"), 3).alias("avg_review")))
     totals = wh.sales.agg(
-        rows.alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        money("payment_value").alias("total_revenue"),
-        rounded(ratio(F.sum("payment_value"), rows)).alias("avg_order_value"),
+        rows.alias("total_orders"), F.count_distinct("customer_id").alias("unique_customers")
+    )
+    revenue = F.broadcast(wh.order_payments.agg(F.sum("payment_value").alias("paid")))
+    return (
+        totals.crossJoin(revenue)
+        .crossJoin(reviews)
+        .select(
+            "total_orders",
+            "unique_customers",
+            rounded("paid").alias("total_revenue"),
+            rounded(ratio(F.col("paid"), F.col("total_orders"))).alias("avg_order_value"),
+            "avg_review",
+        )
     )
-    return totals.crossJoin(reviews)
 
 
 @query("ui_monthly_revenue")
@@ -272,7 +279,7 @@ def ui_states(wh: Warehouse) -> DataFrame:
 @query("ui_aov")
 def ui_average_order_value(wh: Warehouse) -> DataFrame:
     """Not rounded."""
-    return paid(wh).agg(mean("payment_value").alias("aov"))
+    return wh.order_payments.agg(mean("payment_value").alias("aov"))
 
 
 @query("ui_customer_search", state="NATION_7", min_spent=150_000.0)

@@ -153,7 +153,7 @@ def basket_histogram(
     wh: Warehouse, edges: list[tuple[float, str]] = BASKETS, top_label: str = TOP_BASKET
 ) -> DataFrame:
     return (
-        paid(wh)
+        wh.order_payments
         .groupBy(bands(F.col("payment_value"), edges, top_label).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("orders"), money("payment_value").alias("revenue"))
         .orderBy("bucket")
@@ -239,7 +239,7 @@ def seller_scorecard(wh: Warehouse, n: int = 25, min_orders: int = 5) -> DataFra
     weight = F.greatest(F.coalesce("review_count", F.lit(0)), F.lit(1))
     timed = F.col("delivery_days").isNotNull()
     scored = (
-        wh.lines.filter("order_month is not null")
+        wh.lines.filter("known_order")
         .groupBy("seller_id")
         .agg(
             F.count_distinct("order_id").alias("orders"),

@@ -163,7 +163,7 @@ def active_month_streak(wh: Warehouse) -> DataFrame:
     return active_months(wh).agg(
         as_timestamp(F.min("month")).alias("streak_start"),
         as_timestamp(F.max("month")).alias("streak_end"),
-        F.count(F.lit(1)).alias("months"),
+        F.count("month").alias("months"),
     )
 
 

@@ -2,6 +2,7 @@
 
 The marts hold what almost every query would otherwise join and shuffle again:
 
+* ``order_payments``: one row per paid order id, whether the order is known or not;
 * ``sales``: one row per order with its customer and its payment, item and review totals;
 * ``lines``: one row per order item with its category, customer and month;
 * ``buyers``: one row per person; ``buyer_months``: one row per person and active month;
@@ -157,6 +158,11 @@ class Warehouse:
             F.max("answer_latency_days").alias("answer_latency_days"),
         )
 
+    @property
+    def order_payments(self) -> DataFrame:
+        """Payment totals of every order id that was paid, known as an order or not."""
+        return self._once("order_payments", self.payments_per_order, keep=True)
+
     # ---- marts ------------------------------------------------------------------------------
     @property
     def sales(self) -> DataFrame:
@@ -166,7 +172,7 @@ class Warehouse:
             customers = self.dim_customers.drop("customer_zip_code_prefix")
             return (
                 salted_join(self.fact_orders, customers, "customer_id", ["order_id"], "left")
-                .join(self.payments_per_order(), "order_id", "left")
+                .join(self.order_payments, "order_id", "left")
                 .join(self.items_per_order(), "order_id", "left")
                 .join(self.reviews_per_order(), "order_id", "left")
                 .withColumn("order_date", F.to_date("order_purchase_timestamp"))
@@ -187,6 +193,7 @@ class Warehouse:
             )
             orders = self.sales.select(
                 "order_id",
+                F.lit(True).alias("known_order"),
                 "customer_unique_id",
                 "customer_state",
                 "order_month",
@@ -264,7 +271,7 @@ class Warehouse:
 
     def build_marts(self) -> None:
         """Build every mart now; otherwise each is built when a query first needs it."""
-        for mart in ("sales", "lines", "buyers", "buyer_months", "rfm", "product_classes"):
+        for mart in ("order_payments", "sales", "lines", "buyers", "buyer_months", "rfm", "product_classes"):
             getattr(self, mart)
 
     def latest_purchase(self) -> DataFrame:

@@ -38,7 +38,7 @@ def monthly_revenue(wh: Warehouse, delivered_only: bool) -> DataFrame:
 def category_months(wh: Warehouse) -> DataFrame:
     """Revenue per category (NULL kept as its own group) and month, known products only."""
     return (
-        wh.lines.filter("known_product and order_month is not null")
+        wh.lines.filter("known_product and known_order")
         .groupBy(F.col("order_month").alias("month"), "category")
         .agg(F.sum("price").alias("total"))
     )
@@ -51,7 +51,7 @@ def spenders(wh: Warehouse) -> DataFrame:
 
 def by_month() -> WindowSpec:
     """One row per month reaches this window, so its single task holds a calendar."""
-    return Window.partitionBy(F.lit(1)).orderBy("month")
+    return Window.partitionBy(F.lit(1)).orderBy(up("month"))
 
 
 @query("q13_cumulative_revenue")
@@ -240,7 +240,7 @@ def order_gap(wh: Warehouse, limit: int | None = None) -> DataFrame:
 @query("q23_cume_dist_orders")
 def order_value_distribution(wh: Warehouse, n: int = 25) -> DataFrame:
     """Only larger orders precede a row of the top n, so its CUME_DIST is 1 - (rank - 1) / N."""
-    orders = paid(wh).select("order_id", "payment_value")
+    orders = wh.order_payments.select("order_id", "payment_value")
     leaders = top(orders, [down("payment_value"), up("order_id")], n)
     by_value = Window.partitionBy(F.lit(1)).orderBy(F.desc("payment_value"))
     total = F.broadcast(orders.agg(F.count(F.lit(1)).alias("total")))
@@ -274,7 +274,7 @@ def best_product_per_state(wh: Warehouse) -> DataFrame:
 @query("q25_running_peak", limit=50)
 @query("q25_running_peak_all")
 def running_peak(wh: Warehouse, limit: int | None = None) -> DataFrame:
-    peak = F.max("total").over(Window.partitionBy("category").orderBy("month"))
+    peak = F.max("total").over(Window.partitionBy("category").orderBy(up("month")))
     frame = category_months(wh).select(
         "category",
         as_timestamp("month").alias("month"),
@@ -289,7 +289,7 @@ def running_peak(wh: Warehouse, limit: int | None = None) -> DataFrame:
 def difference_from_average(wh: Warehouse, limit: int | None = None) -> DataFrame:
     """The customer mean comes from the person mart, not from a window over a person's orders."""
     orders = paid_by_known(wh).select("customer_unique_id", "order_id", "payment_value")
-    page = top(orders, [up("customer_unique_id"), up("order_id")], limit) if limit else orders
+    page = top(orders, [up("customer_unique_id"), up("order_id")], limit) if limit is not None else orders
     means = wh.buyers.select(
         "customer_unique_id", ratio(F.col("spent"), F.col("paid_orders")).alias("average")
     )

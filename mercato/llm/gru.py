@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mercato.llm.ragged import Powers, binary, blocks, flat, word_hashes
 from mercato.llm.tables import stage
 
-CLASSES, PER_CLASS = 32, 32
+CLASSES, PER_CLASS = 20, 20
 VOCABULARY = CLASSES * PER_CLASS  # the end, the unknown, and the most frequent words
 WIDTH = 16
 WINDOW = 16  # steps of truncated backpropagation
@@ -27,7 +27,8 @@ STRETCH = 256  # tokens of a text that training takes at a time
 ROUNDS = 3
 RATE = 0.01
 CHUNK = 4 << 20
-PART_BYTES = 48 << 20  # of text whose words share one part of the count
+TOGETHER = 1_500_000  # tokens that run side by side when texts are scored
+PART_BYTES = 24 << 20  # of text whose words share one part of the count
 END, UNKNOWN = 0, 1
 
 
@@ -212,7 +213,7 @@ def train(p: dict[str, np.ndarray], chunks: Iterator[list[np.ndarray]]) -> tuple
 
 def likelihood(p: dict[str, np.ndarray], tokens: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each whole text; the state runs through all its windows."""
-    y, fresh, owner, running = laid_out(tokens)
+    y, fresh, owner, running = laid_out(tokens, 2 * STREAMS)
     out = np.zeros(len(tokens))
     h = np.zeros((y.shape[1], WIDTH), np.float32)
     for a, b, n, x, t, f, live in windows(y, fresh, running, 2 * WINDOW):
@@ -292,43 +293,53 @@ def dealt(parts: int):
                     at = np.flatnonzero(mine[word])
                     rows, size = np.unique(text[at], return_counts=True)
                     made = [rids[rows]], [size.astype(np.int32)], [place[word[at]].astype(np.uint32)], [times[at].astype(np.uint32)], [words[mine]], [trained[mine]]
-                    yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), *map(binary, made)], names=["part", "rids", "sizes", "word", "times", "words", "trained"])
+                    yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), batch.column("chunk").slice(i, 1), *map(binary, made)], names=["part", "chunk", "rids", "sizes", "word", "times", "words", "trained"])
 
     return run
 
 
 def count_part(table: pa.Table) -> pa.Table:
-    """Sums of one part: per text (rid), the most frequent words (word), and the totals (neither)."""
+    """Sums of one part: a row per chunk with its texts, the most frequent words, and the totals."""
     take = lambda name, kind: [np.frombuffer(x.as_py(), kind) for x in table.column(name)]
     words = take("words", np.uint64)
     value, back = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(back, weights=np.concatenate(take("trained", np.int64)), minlength=len(value)).astype(np.int64)
-    rids, logs, known = [], [], []
+    chunks, rids, logs, known = [], [], [], []
     edges = np.cumsum([0, *map(len, words)])
     log = np.log10(total + 1.0)
-    for i, (r, size, word, times) in enumerate(zip(take("rids", np.int64), take("sizes", np.int32), take("word", np.uint32), take("times", np.uint32), strict=True)):
+    for i, (chunk, r, size, word, times) in enumerate(zip(table.column("chunk").to_pylist(), take("rids", np.int64), take("sizes", np.int32), take("word", np.uint32), take("times", np.uint32), strict=True)):
         if not len(r):
             continue
         at = back[edges[i] : edges[i + 1]][word]
         begin = np.cumsum(size) - size
+        chunks.append(chunk)
         rids.append(r)
         logs.append(np.add.reduceat(log[at] * times, begin))
         known.append(np.add.reduceat(np.where(total[at] > 0, times, 0).astype(np.int64), begin))
     best = np.lexsort((value, -total))[:VOCABULARY]
     best = best[total[best] > 0]
-    n, m = sum(map(len, rids)), len(best)
-    wide = lambda x, kind, a, b: pa.concat_arrays([pa.nulls(a, kind), pa.array(x, kind), pa.nulls(b, kind)])
-    cat = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
+    n, m = len(rids), len(best)
+    wide = lambda x, kind, a, b: pa.concat_arrays([pa.nulls(a, kind), x if isinstance(x, pa.Array) else pa.array(x, kind), pa.nulls(b, kind)])
     return pa.table({
-        "rid": wide(cat(rids, np.int64), pa.int64(), 0, m + 1),
-        "logs": wide(cat(logs, np.float64), pa.float64(), 0, m + 1),
-        "known": wide(cat(known, np.int64), pa.int64(), 0, m + 1),
+        "chunk": wide(chunks, pa.int64(), 0, m + 1),
+        "rids": wide(binary(rids), pa.binary(), 0, m + 1),
+        "logs": wide(binary(logs), pa.binary(), 0, m + 1),
+        "known": wide(binary(known), pa.binary(), 0, m + 1),
         "word": wide(value[best].view(np.int64), pa.int64(), n, 1),
         "n": wide([*total[best].tolist(), int(total.sum())], pa.int64(), n, 0),
         "types": wide([int((total > 0).sum())], pa.int64(), n + m, 0),
     })
 
 
+def summed(table: pa.Table) -> pa.Table:
+    """Of one chunk: the sums over all parts for each of its texts."""
+    take = lambda name, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
+    rid, at = np.unique(take("rids", np.int64), return_inverse=True)
+    logs = np.bincount(at, weights=take("logs", np.float64), minlength=len(rid))
+    known = np.bincount(at, weights=take("known", np.int64), minlength=len(rid)).astype(np.int64)
+    return pa.table({"rid": pa.array(rid), "logs": pa.array(logs), "known": pa.array(known)})
+
+
 def log_likelihood(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Key, held_out, n_tokens, n_known, train_tokens, base_score and score of every whole text.
 
@@ -346,9 +357,9 @@ def log_likelihood(docs: DataFrame, held_out: Column, key: str = "doc_id", text:
     for name in NAMES[2:]:
         kind = kind.add(name, "binary")
     chunks = stage(slim.select("_id", "held_out", "text").mapInArrow(summarise, kind), "lm-chunks")
-    counted = chunks.drop("ids").mapInArrow(dealt(parts), "part int, rids binary, sizes binary, word binary, times binary, words binary, trained binary")
-    counted = stage(counted.groupBy("part").applyInArrow(count_part, "rid long, logs double, known long, word long, n long, types long"), "lm-counts")
-    sums = counted.where("rid is not null").groupBy("rid").agg(F.sum("logs").alias("logs"), F.sum("known").alias("known"))
+    counted = chunks.drop("ids").mapInArrow(dealt(parts), "part int, chunk long, rids binary, sizes binary, word binary, times binary, words binary, trained binary")
+    counted = stage(counted.groupBy("part").applyInArrow(count_part, "chunk long, rids binary, logs binary, known binary, word long, n long, types long"), "lm-counts")
+    sums = counted.where("chunk is not null").groupBy("chunk").applyInArrow(summed, "rid long, logs double, known long")
     model = fit(chunks, counted, slim.where(~F.col("held_out")).count(), rounds)
     oov = model.tokens - int(model.counts[:UNKNOWN].sum() + model.counts[UNKNOWN + 1 :].sum())
     spare = model.types - int((np.delete(model.counts, UNKNOWN) > 0).sum())
@@ -356,17 +367,29 @@ def log_likelihood(docs: DataFrame, held_out: Column, key: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside = np.log10(model.counts + 1.0)
         inside[[END, UNKNOWN]] = 0
+
+        def scored_rows(rows: list[tuple]) -> pa.RecordBatch:
+            tokens = [t for row in rows for t in row[0]]
+            score = likelihood(model.weights, tokens) / np.log(10)
+            unknown = np.array([int((t == UNKNOWN).sum()) for t in tokens])
+            known = np.array([float(inside[t].sum()) for t in tokens])
+            ids = pa.concat_arrays([row[1] for row in rows])
+            made = [np.concatenate([row[k] for row in rows]) for k in (2, 3)]
+            made += [np.array([len(t) for t in tokens]), score - unknown * np.log10(oov + spare + 1.0) - known]
+            return pa.RecordBatch.from_arrays([ids, *map(pa.array, made)], names=["_id", "rid", "held_out", "n_tokens", "part"])
+
+        rows, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
                 tokens = texts_of(batch, i, model)
-                rids = np.frombuffer(batch.column("rids")[i].as_py(), np.int64)
-                score = likelihood(model.weights, tokens) / np.log(10)
-                unknown = np.array([int((t == UNKNOWN).sum()) for t in tokens])
-                known = np.array([float(inside[t].sum()) for t in tokens])
-                held = np.frombuffer(batch.column("held")[i].as_py(), bool)
-                made = [rids, held, np.array([len(t) for t in tokens]), score - unknown * np.log10(oov + spare + 1.0) - known]
-                ids = batch.column("ids").slice(i, 1).flatten()
-                yield pa.RecordBatch.from_arrays([ids, *map(pa.array, made)], names=["_id", "rid", "held_out", "n_tokens", "part"])
+                take = lambda name, kind: np.frombuffer(batch.column(name)[i].as_py(), kind)  # noqa: B023, E731
+                rows.append((tokens, batch.column("ids").slice(i, 1).flatten(), take("rids", np.int64), take("held", bool)))
+                size += sum(map(len, tokens))
+                if size >= TOGETHER:
+                    yield scored_rows(rows)
+                    rows, size = [], 0
+        if rows:
+            yield scored_rows(rows)
 
     scored = chunks.drop("trained").mapInArrow(run, slim.select("_id").schema.add("rid", "long").add("held_out", "boolean").add("n_tokens", "long").add("part", "double"))
     ends = int(model.counts[END])

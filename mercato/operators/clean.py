@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from mercato.functions.columns import clean_text, parse_timestamp
-from mercato.specs import TableSpec
+from mercato.specs import Table
 
 
 def clean_strings(df: DataFrame) -> DataFrame:
@@ -20,15 +20,15 @@ def clean_strings(df: DataFrame) -> DataFrame:
     )
 
 
-def coerce_timestamps(df: DataFrame, spec: TableSpec) -> DataFrame:
+def coerce_timestamps(df: DataFrame, spec: Table) -> DataFrame:
     """Text to timestamp for the columns the table has; unparsable values become NULL."""
-    return _recast(df, spec.timestamps, lambda c: parse_timestamp(c))
+    return _recast(df, spec.named(type="timestamp"), lambda c: parse_timestamp(c))
 
 
-def coerce_numeric(df: DataFrame, spec: TableSpec, number_type: str = "double") -> DataFrame:
+def coerce_numeric(df: DataFrame, spec: Table, number_type: str = "double") -> DataFrame:
     """Text to number for the columns the table has; unparsable values become NULL."""
-    df = _recast(df, spec.numbers, lambda c: F.col(c).try_cast(number_type))
-    return _recast(df, spec.integers, lambda c: F.col(c).try_cast("int"))
+    df = _recast(df, spec.named(type="double"), lambda c: F.col(c).try_cast(number_type))
+    return _recast(df, spec.named(type="int"), lambda c: F.col(c).try_cast("int"))
 
 
 def _recast(df: DataFrame, names: Sequence[str], cast) -> DataFrame:
@@ -48,18 +48,19 @@ def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
-def dedupe(df: DataFrame, spec: TableSpec) -> DataFrame:
+def dedupe(df: DataFrame, spec: Table) -> DataFrame:
     """Drop exact copies; with a key, keep one row per key.
 
     Copies share their key, so for a keyed table both steps are the one shuffle of
     :func:`distinct_on`. Rows whose key is NULL are compared like any other.
     """
-    if spec.key and set(spec.key) <= set(df.columns):
-        return distinct_on(df, spec.key)
+    key = spec.named(in_key=True)
+    if key and set(key) <= set(df.columns):
+        return distinct_on(df, key)
     return df.dropDuplicates()
 
 
-def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
+def clean(df: DataFrame, spec: Table) -> DataFrame:
     """All cleaning steps of one table."""
     return dedupe(coerce_numeric(coerce_timestamps(clean_strings(df), spec), spec), spec)
 

@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from mercato.specs import MONEY_COLUMNS, TableSpec
+from mercato.specs import MONEY_COLUMNS, Table
 
 RESULT = "table_name string, check_name string, passed boolean, violations bigint"
 
@@ -107,27 +107,27 @@ def check_singular(df: DataFrame, table: str, name: str, bad: Column) -> DataFra
     return _result(df.agg(F.count_if(bad).alias("violations")), table, name)
 
 
-def suite(spec: TableSpec, contract: bool = False) -> dict[str, object]:
+def suite(spec: Table, contract: bool = False) -> dict[str, object]:
     """The checks of a table as plain data.
 
     With ``contract``, value ranges and accepted values of the spec are checked too.
     """
     return {
         "table": spec.name,
-        "not_null": list(spec.required),
-        "unique": list(spec.key),
-        "references": dict(spec.parents),
-        "timestamps": list(spec.timestamps),
-        "non_negative": [c for c in spec.numbers if c in MONEY_COLUMNS],
-        "between": {c: r for c, r in spec.ranges.items() if r[1] is not None} if contract else {},
-        "accepted": dict(spec.accepted) if contract else {},
+        "not_null": spec.named(required=True),
+        "unique": spec.named(in_key=True),
+        "references": {f.name: f.refers_to for f in spec if f.refers_to},
+        "timestamps": spec.named(type="timestamp"),
+        "non_negative": [c for c in spec.named(type="double") if c in MONEY_COLUMNS],
+        "between": {f.name: (f.low, f.high) for f in spec if f.high is not None} if contract else {},
+        "accepted": {f.name: f.values for f in spec if f.values} if contract else {},
     }
 
 
 def validate(
     spark: SparkSession,
     tables: Mapping[str, Callable[[], DataFrame]],
-    specs: Sequence[TableSpec],
+    specs: Sequence[Table],
     contract: bool = False,
 ) -> DataFrame:
     """All checks of all given specs as one DataFrame."""
@@ -143,14 +143,14 @@ def validate(
         rules |= accepted_rules({c: v for c, v in checks["accepted"].items() if c in have})
         if rules:
             parts.append(check_columns(frame, spec.name, rules))
-        if spec.key:
-            parts.append(check_pk_unique(frame, spec.name, spec.key))
-        for column, target in spec.parents.items():
+        if checks["unique"]:
+            parts.append(check_pk_unique(frame, spec.name, checks["unique"]))
+        for column, target in checks["references"].items():
             parent = tables.get(target.split(".")[0])
             parts.append(
                 check_fk(frame, spec.name, column, parent() if parent else None, target)
             )
-        schema_rows += timestamp_types(frame, spec.name, spec.timestamps)
+        schema_rows += timestamp_types(frame, spec.name, checks["timestamps"])
     if schema_rows:
         parts.append(spark.createDataFrame(schema_rows, RESULT))
     return reduce(DataFrame.unionByName, parts)

@@ -1139,21 +1139,48 @@ def _pipelines() -> dict[str, str]:
                    (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM raw_items) AS duplicates_removed,
                    (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM raw_items) AS rows_dropped
             UNION ALL
-            SELECT 'sellers', count(*), count(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM dim_sellers""",
+            SELECT name, n, out_rows, n - out_rows, n - out_rows FROM (""" + " UNION ALL ".join(
+            f"SELECT '{name}' AS name, count(*) AS n, {kept} AS out_rows FROM {source} t"
+            for name, source, kept in (
+                ("customers", "dim_customers", "count(*)"),
+                ("sellers", "dim_sellers", "count(*)"),
+                ("products", "part", "count(*)"),
+                ("product_category_translation", "category_translation", "count(*)"),
+                ("geolocation", "geo", "count(DISTINCT (zip, lat, city, state))"),
+                ("orders", "fact_orders", "count(*)"),
+                ("order_payments", "fact_payments", "count(*)"),
+                ("order_reviews", "fact_reviews", "count(*)"),
+            )
+        ) + ") r",
         "read_parquet": f"""
-            SELECT l_orderkey, {whole('l_linenumber')} AS l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 45""",
+            SELECT l_orderkey, {whole('l_linenumber')} AS l_linenumber, l_quantity FROM lineitem""",
         "external_parquet_source": "SELECT * FROM dim_sellers",
         "register_staging": """
-            SELECT s.seller_state, o.order_status, count(*) AS items, CAST(sum(i.price) AS DOUBLE) AS revenue
+            SELECT concat(s.seller_state, ' ', o.order_status) AS label, count(*) AS items,
+                   CAST(sum(i.price) AS DOUBLE) AS revenue
             FROM fact_order_items i, fact_orders o, dim_sellers s
-            WHERE i.order_id = o.order_id AND i.seller_id = s.seller_id GROUP BY ALL""",
+            WHERE i.order_id = o.order_id AND i.seller_id = s.seller_id GROUP BY ALL
+            UNION ALL """ + " UNION ALL ".join(
+            f"SELECT '{name}', count(*), CAST(NULL AS DOUBLE) FROM {source} t"
+            for name, source in (
+                ("customers", "dim_customers"),
+                ("sellers", "dim_sellers"),
+                ("products", "part"),
+                ("product_category_translation", "category_translation"),
+                ("geolocation", "geo"),
+                ("orders", "fact_orders"),
+                ("order_items", "fact_order_items"),
+                ("order_payments", "fact_payments"),
+                ("order_reviews", "fact_reviews"),
+            )
+        ),
         "write_parquet": f"""
             SELECT order_id, {whole('payment_sequential')} AS payment_sequential,
                    CAST(payment_value AS DOUBLE) AS payment_value
             FROM fact_payments""",
         "write_partitioned": """
             SELECT year(day) AS purchase_year, month(day) AS purchase_month, order_status, count(*) AS orders
-            FROM fact_orders WHERE day >= DATE '1997-01-01' GROUP BY ALL""",
+            FROM fact_orders GROUP BY ALL""",
         "clean_strings": """
             SELECT c_custkey, c_name, nullif(c_mktsegment, 'MACHINERY') AS c_mktsegment FROM customer""",
         "coerce_timestamps": """

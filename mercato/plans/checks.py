@@ -45,13 +45,13 @@ def _one(wh: Warehouse, table: str, rules: dict) -> DataFrame:
 
 @query("check_not_null")
 def check_not_null(wh: Warehouse) -> DataFrame:
-    return _one(wh, "orders", quality.not_null_rules(spec_of("orders").columns))
+    return _one(wh, "orders", quality.not_null_rules(spec_of("orders").named()))
 
 
 @query("check_pk_unique")
 def check_pk_unique(wh: Warehouse) -> DataFrame:
     """Before and after cleaning."""
-    keys = spec_of("order_items").key
+    keys = spec_of("order_items").named(in_key=True)
     return quality.check_pk_unique(
         wh.source("order_items_uncleaned"), "order_items_uncleaned", keys
     ).unionByName(quality.check_pk_unique(wh.source("order_items"), "order_items", keys))
@@ -81,7 +81,7 @@ def check_timestamp_type(wh: Warehouse) -> DataFrame:
     parts = []
     for name in ("orders", "order_items", "order_reviews"):
         frame, spec = wh.source(name), spec_of(name)
-        rows = quality.timestamp_types(frame, name, spec.timestamps)
+        rows = quality.timestamp_types(frame, name, spec.named(type="timestamp"))
         counted = frame.agg(F.count(F.lit(1)).alias("row_count"))
         results = F.array(
             *[F.struct(F.lit(r[1]).alias("check_name"), F.lit(r[2]).alias("passed")) for r in rows]
@@ -111,7 +111,7 @@ def check_between(wh: Warehouse) -> DataFrame:
 
 @query("check_accepted_values")
 def check_accepted_values(wh: Warehouse) -> DataFrame:
-    statuses = _one(wh, "orders", quality.accepted_rules(spec_of("orders").accepted))
+    statuses = _one(wh, "orders", quality.accepted_rules({f.name: f.values for f in spec_of("orders") if f.values}))
     scores = quality.check_columns(
         customer_rfm_mart(wh),
         "mart_customer_rfm",

@@ -40,15 +40,15 @@ def ingest_table(
     out_dir: str,
     partitioned: bool = False,
     file_name: str = "{table}.csv",
-    multi_line: bool = True,
 ) -> IngestReport:
-    """Clean one table and write it. ``file_name`` is the pattern of the raw files' names.
+    """Clean one table and write it in place of the old one. ``file_name`` is the pattern of the
+    raw files' names. Only a table whose cells may hold line breaks is read whole by one task.
 
     Rows are counted from the raw files and from the written footers. A counter inside the
     write would be cheaper, but repeats rows when an executor is lost and its task runs again.
     """
     spec = spec_of(table)
-    raw = read_csv(spark, f"{raw_dir.rstrip('/')}/{file_name.format(table=table)}", multi_line)
+    raw = read_csv(spark, f"{raw_dir.rstrip('/')}/{file_name.format(table=table)}", spec.multi_line)
     path = f"{out_dir.rstrip('/')}/{table}.parquet"
     cleaned = clean(raw, spec)
     if partitioned and table in PARTITIONED:
@@ -65,10 +65,9 @@ def ingest_all(
     tables: Iterable[str] = tuple(CATALOG),
     partitioned: bool = False,
     file_name: str = "{table}.csv",
-    multi_line: bool = True,
 ) -> list[IngestReport]:
     return [
-        ingest_table(spark, table, raw_dir, out_dir, partitioned, file_name, multi_line)
+        ingest_table(spark, table, raw_dir, out_dir, partitioned, file_name)
         for table in tables
     ]
 

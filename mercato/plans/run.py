@@ -19,20 +19,15 @@ def build_warehouse(
     raw_dir: str,
     processed_dir: str,
     file_name: str = "{table}.csv",
-    multi_line: bool = True,
 ) -> tuple[Warehouse, list[IngestReport]]:
     """Ingest, check, and only then shape: a failed check raises before any mart is built."""
-    reports = ingest_all(
-        spark, raw_dir, processed_dir, file_name=file_name, multi_line=multi_line
-    )
+    reports = ingest_all(spark, raw_dir, processed_dir, file_name=file_name)
     frames = {table: read_table(spark, table, processed_dir) for table in CATALOG}
     tables = {table: (lambda f=frame: f) for table, frame in frames.items()}
     quality_gate(materialise(validate(spark, tables, list(CATALOG.values())), "quality"))
     return Warehouse.from_frames(spark, frames), reports
 
 
-def store_enriched_orders(wh: Warehouse, path: str, files_per_month: int = 1) -> str:
+def store_enriched_orders(wh: Warehouse, path: str) -> str:
     """The wide order fact, partitioned by purchase year and month."""
-    return write_partitioned(
-        orders_enriched(wh), path, ["purchase_year", "purchase_month"], files_per_month
-    )
+    return write_partitioned(orders_enriched(wh), path, ["purchase_year", "purchase_month"])

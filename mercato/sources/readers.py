@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 from mercato.specs import CATALOG
 
@@ -13,16 +13,20 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     """Raw table as text columns named by the header.
 
     Quotes are escaped by doubling and fields may span lines. No types are inferred, so only
-    the header is read ahead, and no digit of a code is lost before cleaning. A multi-line
-    file is read by one task; pass ``multi_line=False`` for tables without line breaks in
-    their fields, and large files are split among tasks.
+    the header is read ahead, and no digit of a code is lost before cleaning. A file of
+    ``path`` whose header differs from the first one's is an error when it is read, because
+    columns are found by their place. A multi-line file is read by one task; pass
+    ``multi_line=False`` for tables without line breaks in their fields (the catalog knows
+    which), and large files are split among tasks.
     """
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
+
+    def reader() -> DataFrameReader:
+        return (
+            spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+        )
+
+    names = reader().csv(path).schema
+    return reader().schema(names).option("enforceSchema", False).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

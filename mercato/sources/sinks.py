@@ -13,21 +13,19 @@ def write_parquet(df: DataFrame, path: str) -> str:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, columns: Sequence[str], files_per_value: int = 1
+    df: DataFrame, path: str, columns: Sequence[str], replace: str = "all"
 ) -> str:
-    """Parquet partitioned by ``columns``; only partitions present in ``df`` are replaced.
+    """Parquet partitioned by ``columns``, in place of the whole table.
 
-    Rows are gathered by partition value, so a value gets few files. Spread a very large
-    value over several tasks and files with ``files_per_value``.
+    With ``replace="present"`` only the partitions that ``df`` has are replaced. Rows are
+    gathered by partition value, so a value gets few files; adaptive execution spreads a
+    large value over several tasks and files by its size.
     """
-    if files_per_value > 1:
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
-        df = df.withColumn("_part", part).repartition(*columns, "_part").drop("_part")
-    else:
-        df = df.repartition(*columns)
+    modes = {"all": "static", "present": "dynamic"}
     (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", *columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", modes[replace])
         .partitionBy(*columns)
         .parquet(path)
     )
@@ -63,7 +61,7 @@ def jdbc_load(
     for name, frame in frames.items():
         table = f"{schema}.{name}" if schema else name
         (
-            frame.coalesce(connections)
+            frame.repartition(connections)
             .write.format("jdbc")
             .mode("overwrite" if truncate else "append")
             .option("truncate", truncate)

@@ -18,16 +18,16 @@ from mercato.operators.clean import (
 from mercato.plans.ingest import ingest_table
 from mercato.sources.readers import read_csv, register_staging
 from mercato.sources.sinks import export_csv, refresh_snapshot, write_partitioned
-from mercato.specs import CATALOG, TableSpec, spec_of
+from mercato.specs import CATALOG, spec_of, table as table_of
 from tests.conftest import RAW, rows, write_csv
 
 
 def test_every_parent_is_a_known_earlier_table_and_column():
     seen = []
     for name, spec in CATALOG.items():
-        for target in spec.parents.values():
+        for target in (f.refers_to for f in spec if f.refers_to):
             table, column = target.split(".")
-            assert table in seen and column in CATALOG[table].key
+            assert table in seen and column in CATALOG[table].named(in_key=True)
         seen.append(name)
     assert len(seen) == 9
 
@@ -51,7 +51,7 @@ def test_all_tables_are_written_with_row_accounting(spark, ingested):
 def test_types_and_blanks(spark, ingested):
     out, _ = ingested
     orders = spark.read.parquet(f"{out}/orders.parquet")
-    for column in spec_of("orders").timestamps:
+    for column in spec_of("orders").named(type="timestamp"):
         assert isinstance(orders.schema[column].dataType, T.TimestampNTZType)
     o3 = orders.filter("order_id = 'o3'").first()
     assert o3.order_delivered_customer_date is None and o3.order_delivered_carrier_date is None
@@ -120,14 +120,14 @@ def test_one_key_with_most_rows_is_reduced_before_the_shuffle(spark):
 
 def test_dedupe_without_a_key_drops_exact_copies_only(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "x int, y string")
-    assert rows(dedupe(df, TableSpec("t", ("x", "y")))) == [(1, "a"), (1, "b")]
+    assert rows(dedupe(df, table_of("t", "x", "y"))) == [(1, "a"), (1, "b")]
 
 
 def test_partitioned_write_replaces_only_its_own_partitions(spark, tmp_path):
     path = str(tmp_path / "p")
     first = spark.createDataFrame([(1, 2020), (2, 2021)], "v int, y int")
     write_partitioned(first, path, ["y"])
-    write_partitioned(spark.createDataFrame([(9, 2021)], "v int, y int"), path, ["y"], files_per_value=3)
+    write_partitioned(spark.createDataFrame([(9, 2021)], "v int, y int"), path, ["y"], replace="present")
     assert rows(spark.read.parquet(path), "v", "y") == [(1, 2020), (9, 2021)]
 
 
@@ -148,3 +148,39 @@ def test_staging_views(spark, ingested, tmp_path):
     assert spark.table("stg_orders").count() == 3
     with pytest.raises(AnalysisException):
         register_staging(spark, str(tmp_path))
+
+
+def test_ingesting_again_replaces_the_whole_table(spark, raw_dir, tmp_path):
+    ingest_table(spark, "orders", raw_dir, str(tmp_path / "out"), partitioned=True)
+    fewer = tmp_path / "fewer"
+    fewer.mkdir()
+    write_csv(fewer, "orders", RAW["orders"][:1] + RAW["orders"][2:3])
+    report = ingest_table(spark, "orders", str(fewer), str(tmp_path / "out"), partitioned=True)
+    assert (report.rows_in, report.rows_out, report.duplicates_removed) == (1, 1, 0)
+    assert rows(spark.read.parquet(report.path), "order_id") == [("o2",)]
+
+
+def test_files_with_different_headers_are_an_error(spark, tmp_path):
+    folder = tmp_path / "sellers.csv"
+    folder.mkdir()
+    write_csv(folder, "a", [RAW["sellers"][0], RAW["sellers"][1]])
+    head = RAW["sellers"][0]
+    write_csv(folder, "b", [(head[1], head[0], *head[2:]), ("2002", "s2", "x", "SP")])
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, str(folder), multi_line=False).collect()
+
+
+def test_only_reviews_are_read_whole(spark):
+    assert [name for name, spec in CATALOG.items() if spec.multi_line] == ["order_reviews"]
+
+
+def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        df = spark.range(200_000).select("id", F.when(F.col("id") % 10 == 0, 1).otherwise(2).alias("m"))
+        path = write_partitioned(df, str(tmp_path / "p"), ["m"])
+    finally:
+        spark.conf.unset(size)
+    assert len(list((tmp_path / "p" / "m=2").glob("*.parquet"))) > 1
+    assert spark.read.parquet(path).count() == 200_000

@@ -73,7 +73,7 @@ def test_faults_are_counted(spark):
 def test_timestamp_type_and_singular(spark, ingested):
     orders = tables_of(spark, ingested)["orders"]()
     broken = orders.withColumn("order_approved_at", F.col("order_approved_at").cast("string"))
-    results = {r[1]: r[2] for r in quality.timestamp_types(broken, "orders", spec_of("orders").timestamps)}
+    results = {r[1]: r[2] for r in quality.timestamp_types(broken, "orders", spec_of("orders").named(type="timestamp"))}
     assert [c for c, ok in results.items() if not ok] == ["timestamp_type[order_approved_at]"]
     bad = quality.check_singular(orders, "orders", "none_shipped", F.col("order_status") == "shipped")
     assert rows(bad, "passed", "violations") == [(False, 1)]

@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, functions as F
 
 
 class UnknownKeysError(Exception):
-    """A batch update names keys that the table does not have."""
+    """Raised for ids that do not exist; ``missing`` is a DataFrame of all of them."""
+
+    def __init__(self, message: str, missing: DataFrame) -> None:
+        super().__init__(message)
+        self.missing = missing
 
 
 def change_audit(
@@ -44,9 +48,11 @@ def cancel_orders(orders: DataFrame, ids: DataFrame, status: str = "canceled") -
 
     Write the result to a new path and swap it in, so readers see all updates or none.
     """
-    missing = unknown_keys(orders, ids, "order_id").limit(5).collect()
-    if missing:
-        raise UnknownKeysError(f"orders not found: {[r.order_id for r in missing]}")
+    missing = unknown_keys(orders, ids, "order_id")
+    count = missing.count()
+    if count:
+        first = [r.order_id for r in missing.orderBy("order_id").take(5)]
+        raise UnknownKeysError(f"{count} orders not found, the first ones: {first}", missing)
     marked = ids.select("order_id").distinct().withColumn("_cancel", F.lit(True))
     updated = F.when(F.col("_cancel"), F.lit(status)).otherwise(F.col("order_status"))
     return (

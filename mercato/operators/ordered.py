@@ -49,6 +49,15 @@ def place(
     )
 
 
+def _together(placed: DataFrame) -> DataFrame:
+    """Buckets spread evenly over tasks by their number, each in one task.
+
+    A window over ``_bucket`` takes this placement as it is; by the hash of their numbers some
+    tasks would get several buckets and others none.
+    """
+    return placed.repartitionByRange("_bucket")
+
+
 def _bucket_totals(placed: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
     """Per bucket, the totals of all buckets before it: at most one row per range bucket."""
     per_bucket = placed.groupBy("_bucket").agg(*[c.alias(f"_own_{n}") for n, c in totals.items()])
@@ -195,7 +204,7 @@ def tied(
     """
     measures = dict(measures or {})
     frame = df.select("*", *[c.alias(f"_m_{n}") for n, c in measures.items()])
-    placed = place(frame, [key, *tie_breaker], frame.columns, buckets)
+    placed = _together(place(frame, [key, *tie_breaker], frame.columns, buckets))
     value = F.struct("_null0", "_key0")
     in_bucket = Window.partitionBy("_bucket").orderBy("_null0", "_key0")
     sums = {"rows": F.lit(1)} | {n: F.col(f"_m_{n}") for n in measures}
@@ -310,7 +319,7 @@ def lag_within(
     Rows are range-partitioned on (group, order), so a large group spans several buckets. The
     predecessor of a bucket's first row is the last row of the nearest bucket before it.
     """
-    placed = place(df, [F.col(group), *order], df.columns, buckets)
+    placed = _together(place(df, [F.col(group), *order], df.columns, buckets))
     local = Window.partitionBy("_bucket").orderBy("_row")
     last = placed.groupBy("_bucket").agg(F.max("_row").alias("_row"))
     tails = (

@@ -934,7 +934,8 @@ def _checks() -> dict[str, str]:
         )
 
     def typed(table: str, column: str) -> str:
-        return row(table, f"timestamp_type[{column}]", "0")
+        wrong = f"(SELECT CASE WHEN max(typeof({column})) = 'TIMESTAMP' THEN 0 ELSE 1 END FROM {sources[table]} s)"
+        return row(table, f"timestamp_type[{column}]", wrong)
 
     def items(table_source: str) -> list[str]:
         t = "order_items"

@@ -10,15 +10,19 @@ from mercato.plans.warehouse import Warehouse
 from mercato.sources.readers import register_views
 
 
-def register_star(wh: Warehouse) -> list[str]:
-    """Register dimensions, facts and the three reusable views; returns their names."""
+def register_star(wh: Warehouse, prefix: str = "") -> list[str]:
+    """Register dimensions, facts and the three reusable views; returns their names.
+
+    Give each warehouse of a session its own ``prefix``: temporary views share one name space.
+    """
     frames = wh.star_tables() | {
         "vw_order_facts": marts.order_facts_view(wh),
         "vw_monthly_revenue": marts.monthly_revenue_view(wh),
         "vw_product_performance": marts.product_performance_view(wh),
     }
-    register_views(frames)
-    return list(frames)
+    named = {prefix + name: frame for name, frame in frames.items()}
+    register_views(named)
+    return list(named)
 
 
 @query("star_views_sql")

@@ -24,7 +24,7 @@ from mercato.operators.abc import abc_classes
 from mercato.operators.rfm import rfm_metrics, rfm_scores
 from mercato.operators.skew import hot_keys, salted_join
 from mercato.plans import star
-from mercato.session import materialise
+from mercato.session import drop_staged, materialise
 from mercato.sources.adapter import source_tables
 from mercato.sources.regions import state_regions
 
@@ -274,6 +274,15 @@ class Warehouse:
         for mart in ("order_payments", "sales", "lines", "buyers", "buyer_months", "rfm", "product_classes"):
             getattr(self, mart)
 
+    def refresh(self) -> None:
+        """Forget every table and mart, so that the next query reads the sources anew."""
+        self._built.clear()
+
+    def close(self) -> None:
+        """Delete what this application has staged; marts are built again when asked for."""
+        self.refresh()
+        drop_staged(self.spark)
+
     def latest_purchase(self) -> DataFrame:
         """One row: the newest purchase timestamp of the data."""
         return self.fact_orders.agg(F.max("order_purchase_timestamp").alias("latest"))
@@ -282,9 +291,13 @@ class Warehouse:
 _OPEN: dict[tuple[str, str], Warehouse] = {}
 
 
-def open_warehouse(spark: SparkSession, base_dir: str) -> Warehouse:
-    """Warehouse over a folder of Parquet tables, shared within one Spark application."""
+def open_warehouse(spark: SparkSession, base_dir: str, refresh: bool = False) -> Warehouse:
+    """Warehouse over a folder of Parquet tables, shared within one Spark application.
+
+    Its marts are kept for the life of the application; pass ``refresh`` after the files of the
+    folder have been replaced.
+    """
     key = (spark.sparkContext.applicationId, base_dir.rstrip("/"))
-    if key not in _OPEN:
+    if refresh or key not in _OPEN:
         _OPEN[key] = Warehouse(spark, source_tables(spark, base_dir))
     return _OPEN[key]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        local = spark.sparkContext.master.startswith("local")
+        if not local and (configured.startswith("file:") or "://" not in configured):
+            warnings.warn(
+                f"spark.checkpoint.dir is {configured}: without a scheme, or with file:, it is shared"
+                " only if every executor mounts the same folder there",
+                stacklevel=2,
+            )
         return configured.rstrip("/")
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -51,6 +59,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/mercato/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Delete everything this application has staged in the shared folder."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark)}/mercato/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

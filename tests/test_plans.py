@@ -16,7 +16,7 @@ def plan_of(frame) -> str:
 
 
 def test_filters_and_columns_reach_the_scan(wh):
-    plan = plan_of(QUERIES["read_parquet"](wh))
+    plan = plan_of(QUERIES["read_parquet"](wh).where("l_quantity >= 45"))
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThanOrEqual(l_quantity,45.0)]" in plan
     assert re.search(r"ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>", plan)
 

@@ -99,3 +99,21 @@ def test_segments_and_late_deliveries(tiny):
 
 def test_pages_agree_with_whole_results(tiny):
     assert rows(windows.order_gap(tiny, limit=2)) == rows(windows.order_gap(tiny))[:2]
+
+
+def test_replaced_files_are_seen_after_a_refresh(spark, tmp_path):
+    import shutil
+
+    from mercato.plans.basics import average_order_value
+    from mercato.plans.warehouse import open_warehouse
+    from tests.conftest import DATA
+
+    folder = tmp_path / "data"
+    shutil.copytree(DATA, folder)
+    before = average_order_value(open_warehouse(spark, str(folder))).first().aov
+    lines = spark.read.parquet(f"{DATA}/lineitem.parquet").where("l_orderkey % 2 = 0")
+    lines.write.parquet(str(tmp_path / "half"))
+    (folder / "lineitem.parquet").unlink()
+    shutil.copytree(tmp_path / "half", folder / "lineitem.parquet")
+    assert average_order_value(open_warehouse(spark, str(folder))).first().aov == before
+    assert average_order_value(open_warehouse(spark, str(folder), refresh=True)).first().aov != before

@@ -36,8 +36,9 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item whose passage it holds."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return contamination.mark(docs, load(spark, sf_dir, "benchmark")).drop("text")
+    return contamination.find(docs, load(spark, sf_dir, "benchmark"))
 
 
 def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.llm.components import components
 from mercato.llm.ragged import Powers, binary, blocks, flat, mix, shingles, word_hashes
-from mercato.llm.tables import attach, stage
+from mercato.llm.tables import attach, drop, stage, stage_kinds
 
 WORDS = 5
 FRAGMENT_BYTES = 16 << 20  # of text whose shingles share one fragment
@@ -178,13 +178,15 @@ def near_components(docs: DataFrame, percent: int = 75, key: str = "doc_id", tex
     slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = int(total // FRAGMENT_BYTES) + 1
-    made = stage(summarise(slim, fragments), "shingles")
-    rows = made.where("fragment is null").select("doc_id", "n_shingles", "cid")
+    made = summarise(slim, fragments).withColumn("kind", F.col("fragment").isNotNull().cast("int"))
+    rows, pieces = stage_kinds(made, "shingles", "kind", (0, 1))
+    rows = rows.select("doc_id", "n_shingles", "cid")
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"))
-    counted = made.where("fragment is not null").select("cid", "fragment", "ids", "alone", "shared", "tokens", "common")
+    counted = pieces.select("cid", "fragment", "ids", "alone", "shared", "tokens", "common")
     counted = counted.groupBy("fragment").applyInArrow(shared_counts, "chunk long, ids binary, n binary")
     counted = counted.groupBy("chunk").applyInArrow(summed(), "cid long, k long").groupBy("cid").agg(F.max("k").alias("k"))
     kept = stage(classes.join(counted, "cid").where(F.col("k") >= least(F.col("n"), percent)).select("cid", "rep", "n"), "classes")
+    drop(pieces)
     comp = _components(slim, kept, percent)
     named = comp.join(classes.select(F.col("cid").alias("node"), "rep"), "node")
     named = named.join(named.groupBy("component").agg(F.min("rep").alias("least")), "component").select(F.col("node").alias("cid"), "least")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.session import materialise
+from mercato.session import scratch_path
 
 # A side is broadcast only if it has been counted and has at most this many rows.
 BROADCAST_ROWS = 400_000
@@ -25,7 +25,36 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Written once to the shared folder and read back, so a lost executor costs one read."""
-    return materialise(df, f"llm-{name}")
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{name}")
+    df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.staged_at = path
+    return back
+
+
+def stage_kinds(df: DataFrame, name: str, column: str, kinds: tuple[int, ...]) -> list[DataFrame]:
+    """One staged table per value of ``column``, from one pass over ``df``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{name}")
+    df.write.partitionBy(column).parquet(path)
+    out = []
+    for kind in kinds:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={kind}")
+        there = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+        schema = df.drop(column).schema
+        back = spark.read.schema(schema).parquet(folder.toString()) if there else spark.createDataFrame([], schema)
+        back.staged_at = folder.toString()
+        out.append(back)
+    return out
+
+
+def drop(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more, because what came of them is staged too."""
+    for df in staged:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def fold(column: str = "doc_id", parts: int = 1) -> object:

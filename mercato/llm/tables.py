@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mercato.session import scratch_path
 
@@ -57,7 +57,7 @@ def drop(*staged: DataFrame) -> None:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def fold(column: str = "doc_id", parts: int = 1) -> object:
+def fold(column: str = "doc_id", parts: int = 1) -> Column:
     """The fold of a row: crc32 of the id as text modulo ``parts`` (null counts as empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts
 

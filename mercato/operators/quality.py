@@ -164,9 +164,13 @@ def summary(report: DataFrame) -> DataFrame:
     )
 
 
+def failures(report: DataFrame) -> DataFrame:
+    return report.filter(~F.col("passed"))
+
+
 def quality_gate(report: DataFrame) -> None:
     """Raise if any check failed. The report has one row per check, so it is small."""
-    failed = report.filter(~F.col("passed")).collect()
+    failed = failures(report).collect()
     if failed:
         lines = [f"{r.table_name}.{r.check_name}: {r.violations}" for r in failed]
         raise QualityError("failed checks:\n" + "\n".join(lines))

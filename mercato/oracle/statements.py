@@ -1014,6 +1014,7 @@ def _checks() -> dict[str, str]:
                    count(*) FILTER (WHERE NOT passed) AS failed
             FROM ({every(everything)}) r""",
         "validation_report_uncleaned": every(items(items_raw)),
+        "quality_gate": f"SELECT * FROM ({every(items(items_raw))}) g WHERE NOT passed",
         "check_not_null": every([null("orders", c, "fact_orders") for c in orders_columns]),
         "check_pk_unique": every(
             [

@@ -34,6 +34,12 @@ def validation_report_uncleaned(wh: Warehouse) -> DataFrame:
     return quality.validate(wh.spark, tables, [spec_of("order_items")])
 
 
+@query("quality_gate")
+def failed_checks(wh: Warehouse) -> DataFrame:
+    """What stops the gate on rows before cleaning."""
+    return quality.failures(validation_report_uncleaned(wh))
+
+
 @query("validation_summary")
 def validation_summary(wh: Warehouse) -> DataFrame:
     return quality.summary(validation_report(wh))

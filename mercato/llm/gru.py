@@ -27,8 +27,8 @@ STRETCH = 256  # tokens of a text that training takes at a time
 ROUNDS = 3
 RATE = 0.01
 CHUNK = 4 << 20
-TOGETHER = 1_500_000  # tokens that run side by side when texts are scored
-PART_BYTES = 24 << 20  # of text whose words share one part of the count
+TOGETHER = 800_000  # tokens that run side by side when texts are scored
+PART_BYTES = 12 << 20  # of text whose words share one part of the count
 END, UNKNOWN = 0, 1
 
 
@@ -155,7 +155,8 @@ def laid_out(tokens: list[np.ndarray], most: int = STREAMS) -> tuple[np.ndarray,
     are always the first ones.
     """
     size = np.array([len(t) for t in tokens])
-    width = min(most, len(tokens))
+    # More streams than this would not end sooner, because the longest text runs in one.
+    width = max(1, min(most, len(tokens), int(1.3 * size.sum() / size.max()) + 1)) if len(size) else 0
     streams: list[list[int]] = [[] for _ in range(width)]
     load = np.zeros(width, dtype=np.int64)
     for i in np.argsort(-size, kind="stable"):

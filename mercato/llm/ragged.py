@@ -6,6 +6,7 @@ or one text if that is longer, so the arrays stay bounded whatever a batch holds
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,16 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK, text: str = "te
                 held, total = [], 0
     if held:
         yield joined(held)
+    give_back()
+
+
+def give_back() -> None:
+    """Return what the task's arrays have freed to the system, because workers live on."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it likes
+        pass
 
 
 def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:

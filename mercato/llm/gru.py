@@ -28,7 +28,7 @@ ROUNDS = 3
 RATE = 0.01
 CHUNK = 4 << 20
 TOGETHER = 800_000  # tokens that run side by side when texts are scored
-PART_BYTES = 12 << 20  # of text whose words share one part of the count
+PART_BYTES = 16 << 20  # of text whose words share one part of the count
 END, UNKNOWN = 0, 1
 
 
@@ -293,8 +293,8 @@ def dealt(parts: int):
                     place = np.cumsum(mine) - 1
                     at = np.flatnonzero(mine[word])
                     rows, size = np.unique(text[at], return_counts=True)
-                    made = [rids[rows]], [size.astype(np.int32)], [place[word[at]].astype(np.uint32)], [times[at].astype(np.uint32)], [words[mine]], [trained[mine]]
-                    yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), batch.column("chunk").slice(i, 1), *map(binary, made)], names=["part", "chunk", "rids", "sizes", "word", "times", "words", "trained"])
+                    made = [rows.astype(np.uint32)], [size.astype(np.int32)], [place[word[at]].astype(np.uint32)], [times[at].astype(np.uint32)], [words[mine]], [trained[mine]]
+                    yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), batch.column("chunk").slice(i, 1), pa.array(rids[:1]), *map(binary, made)], names=["part", "chunk", "base", "rids", "sizes", "word", "times", "words", "trained"])
 
     return run
 
@@ -308,13 +308,13 @@ def count_part(table: pa.Table) -> pa.Table:
     chunks, rids, logs, known = [], [], [], []
     edges = np.cumsum([0, *map(len, words)])
     log = np.log10(total + 1.0)
-    for i, (chunk, r, size, word, times) in enumerate(zip(table.column("chunk").to_pylist(), take("rids", np.int64), take("sizes", np.int32), take("word", np.uint32), take("times", np.uint32), strict=True)):
+    for i, (chunk, base, r, size, word, times) in enumerate(zip(table.column("chunk").to_pylist(), table.column("base").to_pylist(), take("rids", np.uint32), take("sizes", np.int32), take("word", np.uint32), take("times", np.uint32), strict=True)):
         if not len(r):
             continue
         at = back[edges[i] : edges[i + 1]][word]
         begin = np.cumsum(size) - size
         chunks.append(chunk)
-        rids.append(r)
+        rids.append(r.astype(np.int64) + base)  # a chunk numbers its texts in a row
         logs.append(np.add.reduceat(log[at] * times, begin))
         known.append(np.add.reduceat(np.where(total[at] > 0, times, 0).astype(np.int64), begin))
     best = np.lexsort((value, -total))[:VOCABULARY]
@@ -358,7 +358,7 @@ def log_likelihood(docs: DataFrame, held_out: Column, key: str = "doc_id", text:
     for name in NAMES[2:]:
         kind = kind.add(name, "binary")
     chunks = stage(slim.select("_id", "held_out", "text").mapInArrow(summarise, kind), "lm-chunks")
-    counted = chunks.drop("ids").mapInArrow(dealt(parts), "part int, chunk long, rids binary, sizes binary, word binary, times binary, words binary, trained binary")
+    counted = chunks.drop("ids").mapInArrow(dealt(parts), "part int, chunk long, base long, rids binary, sizes binary, word binary, times binary, words binary, trained binary")
     counted = stage(counted.groupBy("part").applyInArrow(count_part, "chunk long, rids binary, logs binary, known binary, word long, n long, types long"), "lm-counts")
     sums = counted.where("chunk is not null").groupBy("chunk").applyInArrow(summed, "rid long, logs double, known long")
     model = fit(chunks, counted, slim.where(~F.col("held_out")).count(), rounds)

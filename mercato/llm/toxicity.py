@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.llm.ragged import LOWER, Powers, Rolling, blocks, flat, mix
-from mercato.llm.tables import stage
+from mercato.llm.tables import attach, stage
 
 HEAD = 9
 WINDOW = 8
@@ -115,21 +115,22 @@ def trained(samples: list[bytes], size: int) -> bytes:
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model | None:
-    """Fit on a bounded sample of labelled rows where ``train`` holds on the key.
-
-    The sample is at most ``SAMPLE_DOCS`` rows of each label with the smallest hashes of their
-    key; their whole texts are used. The contrast of words is counted by Spark over all of the
-    sample; at most ``CONTRAST_WORDS`` words and ``SAMPLE_WINDOWS`` windows of each kind come to
-    the driver, which trains the two dictionaries. A key with both labels counts as toxic. None
-    if one of the two labels is missing.
+    """Fit on the labelled rows where ``train`` holds on the key.
+
+    The dictionaries come from a bounded sample: at most ``SAMPLE_DOCS`` rows of each label with
+    the smallest hashes of their key; their whole texts are used. The contrast of words is counted
+    by Spark over all of the sample; at most ``CONTRAST_WORDS`` words and ``SAMPLE_WINDOWS``
+    windows of each kind come to the driver, which trains the two dictionaries. Thresholds come
+    from all labelled rows, so they don't depend on the sample's mix of labels. A key with both
+    labels counts as toxic. None if one of the two labels is missing.
     """
-    spark = docs.sparkSession
     marked = labels.where(train & F.col(key).isNotNull() & F.col(label).isNotNull())
     marked = marked.groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label).cast("int")).alias("_label"))
+    marked = stage(marked, "toxic-labels")
     order = F.xxhash64("_key"), F.col("_key")
     picked = [marked.where(F.col("_label") == v).orderBy(*order).limit(SAMPLE_DOCS) for v in (1, 0)]
     picked = stage(picked[0].unionByName(picked[1]), "toxic-keys")  # bounded, so it may be broadcast
-    slim = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    slim = docs.where(train & F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     sample = stage(slim.join(F.broadcast(picked), "_key"), "toxic-sample")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,19 +175,21 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id",
     some = {v: [bytes(r["window"]) for r in cut.where(F.col("bad") == v).orderBy("_at", "window").limit(SAMPLE_WINDOWS).collect()] for v in (0, 1)}
     ordinary = trained(some[0], 16384)
     toxic = ordinary + trained([w * 2 for w in some[1]], max(1024, 20 * len(contrast)))
-    return calibrated(Model(ordinary, toxic, np.array([0.0]), np.array([0.0])), sample, spark)
+    return calibrated(Model(ordinary, toxic, np.array([0.0]), np.array([0.0])), slim, marked)
 
 
-def calibrated(model: Model, sample: DataFrame, spark) -> Model:
-    """Chance of the toxic label at each distance, made to rise by pooling neighbours."""
+def calibrated(model: Model, texts: DataFrame, marked: DataFrame) -> Model:
+    """Chance of the toxic label at each distance over all rows of ``marked``, made to rise by pooling neighbours."""
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ordinary, toxic, powers = Lengths(model.ordinary), Lengths(model.toxic), Powers()
         for batch in blocks(batches, text="_text"):
             total, _ = distances(batch.column("_text"), ordinary, toxic, powers)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(total, 400).astype(np.int32)), batch.column("_label")], names=["gap", "label"])
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(np.minimum(total, 400).astype(np.int32))], names=["_key", "gap"])
 
-    rows = sample.mapInArrow(measured, "gap int, label int").groupBy("gap").agg(F.sum("label").alias("bad"), F.count("*").alias("n")).orderBy("gap").collect()
+    # Texts are measured before the join, so that no text is shuffled.
+    gaps = texts.mapInArrow(measured, texts.select("_key").schema.add("gap", "integer"))
+    rows = attach(gaps, marked, ["_key"], "inner").groupBy("gap").agg(F.sum("_label").alias("bad"), F.count("*").alias("n")).orderBy("gap").collect()
     pools: list[list[float]] = []
     for r in rows:
         pools.append([r["bad"], r["n"], r["gap"], r["gap"]])

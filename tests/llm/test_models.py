@@ -165,6 +165,18 @@ def test_toxicity_of_plain_words(spark):
     assert all(got[i][0].predicted == (i % 4 == 0) for i in range(400))
 
 
+def test_toxicity_thresholds_hold_the_true_shares(spark, monkeypatch):
+    """Two thirds of the texts with the word are toxic, however few ordinary ones the sample has."""
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCS", 34)
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    rows = [(i, " ".join(["grobian"] * (i % 20 == 0) + [word() for _ in range(30)])) for i in range(1000)]
+    labels = frame(spark, [(i, int(i % 20 == 0 and i % 60 < 40)) for i in range(1000)], "doc_id long, toxic int")
+    docs = documents(spark, rows)
+    got = toxicity.score(docs, toxicity.fit(docs, labels, F.lit(True))).where("doc_id % 20 = 0").collect()
+    assert abs(np.mean([r.score for r in got]) - 0.68) < 0.05
+
+
 def test_language_of_held_out_texts(spark):
     directory = DATA.replace("0.001", "0.01")
     rows = held_out(queries.op4_output_codes(spark, directory), spark.read.parquet(f"{directory}/documents.parquet").select("doc_id", "lang"))

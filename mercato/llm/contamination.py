@@ -25,7 +25,6 @@ RANK = 192
 OVERSAMPLE = 16
 POWER_STEPS = 2
 BATCH = 2048  # passages searched for in one pass over the corpus
-COMMON = 0.1  # words in more of the units than this span no space
 NEAR = 0.35  # cosine of a candidate
 WEIGHT = 0.35  # of a passage's own length that a candidate reaches in its direction
 SAME = 0.75  # of a passage's words in order: found
@@ -197,7 +196,8 @@ def _search(slim: DataFrame, rows: list, schema) -> DataFrame:
     df = np.zeros(len(words) + 1)
     df[got.column("word").to_numpy()] = got.column("n").to_numpy()
     units = max(1.0, df[-1])
-    idf = np.where(df[:-1] <= max(COMMON * units, 1), np.log((units + 1) / (df[:-1] + 1)) + 1, 0.0)
+    # Never 0: a leak that fills much of the table makes its own words common.
+    idf = np.log((units + 1) / (df[:-1] + 1)) + 1
     groups = np.arange(len(lists)) // GROUP
 
     def spaces(table: pa.Table) -> pa.Table:

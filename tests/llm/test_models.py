@@ -99,6 +99,18 @@ def test_planted_passages_are_found_and_nothing_else(spark):
     assert len(found & want) >= 0.9 * len(want) and not found - want
 
 
+@pytest.mark.parametrize("around, copies, others", [(20, 2, 1), (0, 30, 60), (0, 3, 0)])
+def test_a_leak_that_fills_the_table_is_found(spark, around, copies, others):
+    """Its own words are in over a tenth of all units then, in few long texts or in many short ones."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(7))
+    leak = [word() for _ in range(40)]
+    rows = [(i, " ".join([word() for _ in range(around)] + leak * (i < copies) + [word() for _ in range(around or 8)])) for i in range(copies + others)]
+    bench = frame(spark, [(1, " ".join(leak)), (2, " ".join(word() for _ in range(40)))], "item_id long, text string")
+    got = contamination.find(documents(spark, rows), bench)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, 1) for i in range(copies)}
+
+
 def test_search_recall_against_brute_force(monkeypatch):
     """Latent candidates hold at least nine tenths of what comparing all windows finds."""
     rnd = np.random.default_rng(5)

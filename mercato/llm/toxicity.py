@@ -1,7 +1,7 @@
 """Toxic text by compression distance: which of two dictionaries shortens its windows more.
 
-A text is rewritten before compression: each word becomes a fixed-width code of its head, so a
-dictionary match saves whole words, however they are spelled, and no parts of words. Windows
+A text is rewritten before compression: each word becomes a fixed-width code, so a dictionary
+match saves whole words, however long they are, and no parts of words. Windows
 are runs of codes. The ordinary dictionary is trained on windows of ordinary texts; the toxic
 one is the same with a second one behind it, trained on windows of toxic texts around the words
 that toxic texts hold significantly more often. A window's distance is the ordinary minus the
@@ -10,8 +10,10 @@ toxic compressed length; thresholds on it are calibrated to the labels.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,15 +22,39 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mercato.llm.ragged import LOWER, Powers, Rolling, blocks, flat, mix
 from mercato.llm.tables import attach, stage
 
-HEAD = 9
 WINDOW = 8
 # Bounds of the sample a model is fitted on.
 SAMPLE_DOCS = 12_000
 SAMPLE_WINDOWS = 6_000
 CONTRAST_WORDS = 600
 
-WORDY = np.zeros(256, dtype=bool)
-WORDY[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+# Code points of scripts written without spaces between words.
+UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3041, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
+
+
+@cache
+def kinds() -> np.ndarray:
+    """Of every code point: 1 in a word (letters, marks, digits), 2 a word with the next one of its kind, 0 a break.
+
+    Kind 2 is letters of unspaced scripts, and what else beyond ASCII is neither punctuation nor space.
+    """
+    major = np.array([unicodedata.category(chr(c))[0] for c in range(0x110000)])
+    out = np.isin(major, ["L", "M", "N"]).astype(np.uint8)
+    for low, high in UNSPACED:
+        out[low : high + 1] *= 2
+    other = np.flatnonzero(np.isin(major, ["S", "C"]))
+    out[other[other >= 160]] = 2
+    return out
+
+
+def code_points(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Code points of the characters that begin at the places; what is not UTF-8 is U+FFFD."""
+    byte = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64)
+    b, c, d, e = (byte[at + k] for k in range(4))
+    c, d, e = c & 63, d & 63, e & 63
+    four = (b & 7) << 18 | c << 12 | d << 6 | e
+    out = np.select([b < 0x80, b < 0xC0, b < 0xE0, b < 0xF0], [b, 0xFFFD, (b & 31) << 6 | c, (b & 15) << 12 | d | c << 6], four)
+    return np.where(out < 0x110000, out, 0xFFFD)
 
 
 def wide(codes: np.ndarray) -> bytes:
@@ -37,19 +63,29 @@ def wide(codes: np.ndarray) -> bytes:
 
 
 def codes_of(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit code of the head of each word (ASCII letters, digits and all beyond ASCII), words per text."""
+    """64-bit code of each whole word, words per text.
+
+    Unspaced scripts and symbols give overlapping pairs of characters, so that all of them count.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
-    solid = WORDY[data]
-    edge = np.zeros(n + 1, dtype=bool)
-    edge[offsets] = True
-    start, end = solid.copy(), solid.copy()
-    start[1:] &= ~solid[:-1] | edge[1:n]
-    end[:-1] &= ~solid[1:] | edge[1:n]
-    starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
+    first = (data & 0xC0) != 0x80
+    first[offsets[offsets < n]] = True
+    at = np.flatnonzero(first)
+    kind = kinds()[code_points(data, at)]
+    # Whether a character goes on with the kind of the one before, in the same text.
+    on = np.zeros(len(at) + 1, dtype=bool)
+    on[1:-1] = kind[1:] == kind[:-1]
+    on[np.searchsorted(at, offsets)] = False
+    word, pair = kind == 1, kind == 2
+    last = np.arange(len(at))
+    last[word & ~on[:-1]] = np.flatnonzero(word & ~on[1:])
+    last[pair & on[1:]] += 1
+    begin = np.flatnonzero((word & ~on[:-1]) | (pair & (on[1:] | ~on[:-1])))
+    starts, ends = at[begin], np.append(at, n)[last[begin] + 1]
     counts = np.diff(np.searchsorted(starts, offsets))
-    return Rolling(LOWER[data], powers).of(starts, np.minimum(ends, starts + HEAD)), counts
+    return Rolling(LOWER[data], powers).of(starts, ends), counts
 
 
 def windows_of(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

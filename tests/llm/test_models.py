@@ -189,6 +189,21 @@ def test_toxicity_thresholds_hold_the_true_shares(spark, monkeypatch):
     assert abs(np.mean([r.score for r in got]) - 0.68) < 0.05
 
 
+def test_codes_read_every_word_whole():
+    def codes(*texts):
+        raw = [x.encode() for x in texts]
+        made, counts = toxicity.codes_of(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), toxicity.Powers())
+        return np.split(made, np.cumsum(counts)[:-1])
+
+    long_, other, case = codes("unbearableness ok", "unbearably; OK", "UNBEARABLENESS")
+    assert long_[0] != other[0] and long_[1] == other[1] and long_[0] == case[0]
+    text = "".join(chr(0x4E00 + 37 * i) for i in range(60))
+    whole, tail, mixed, empty, symbol = codes(text, text[-20:], f"что,{text[:2]}—что", "", "🎉")
+    assert len(whole) == 59 and len(set(whole)) == 59 and list(whole[-19:]) == list(tail)
+    assert len(mixed) == 3 and mixed[0] == mixed[2] and mixed[1] == whole[0] and not len(empty) and len(symbol) == 1
+    assert len(codes("слово«слово»")[0]) == 2 and len(codes("ab", "cd")[1]) == 1
+
+
 def test_language_of_held_out_texts(spark):
     directory = DATA.replace("0.001", "0.01")
     rows = held_out(queries.op4_output_codes(spark, directory), spark.read.parquet(f"{directory}/documents.parquet").select("doc_id", "lang"))

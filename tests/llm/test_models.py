@@ -290,6 +290,16 @@ def test_the_recurrent_model_beats_the_base(spark):
     assert r[0] > r[1]
 
 
+def test_a_thousand_words_have_entries_of_their_own(spark, monkeypatch):
+    """No word of a corpus of 1,022 different ones is the unknown symbol."""
+    models = []
+    fit = gru.fit
+    monkeypatch.setattr(gru, "fit", lambda *a: models.append(fit(*a)) or models[0])
+    text = " ".join(f"w{i}" for i in range(1022))
+    assert gru.log_likelihood(documents(spark, [(1, text), (2, text)]), F.lit(False)).count() == 2
+    assert models[0].counts[gru.UNKNOWN] == 0 and (models[0].counts[2:1024] == 2).all()
+
+
 def test_likelihood_without_training_rows(spark, nothing):
     assert gru.log_likelihood(nothing, F.lit(False)).count() == 0
     got = gru.log_likelihood(documents(spark, [(1, "a b"), (None, None)]), F.lit(True)).collect()

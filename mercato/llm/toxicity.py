@@ -3,8 +3,9 @@
 A text is rewritten before compression: each word becomes a fixed-width code, so a dictionary
 match saves whole words, however long they are, and no parts of words. Windows
 are runs of codes. The ordinary dictionary is trained on windows of ordinary texts; the toxic
-one is the same with a second one behind it, trained on windows of toxic texts around the words
-that toxic texts hold significantly more often. A window's distance is the ordinary minus the
+one is the same with a lexicon behind it: the bare codes of the words that toxic texts hold
+significantly more often. What is compressed is codes, not text, so a text without such words
+has no signal. A window's distance is the ordinary minus the
 toxic compressed length; thresholds on it are calibrated to the labels.
 """
 

@@ -5,21 +5,22 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mercato.llm import bpe_count, contamination, fingerprints, gru, jaccard, language, oracle, pieces, repeats, toxicity, url_rules
+from mercato.llm import bpe_count, contamination, fingerprints, gru, jaccard, language, manifest, middle, oracle, pieces, repeats, toxicity, url_rules, weak_quality
 from mercato.llm.tables import fold, load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-TOKENIZERS = os.environ.get("MERCATO_TOKENIZERS", "/opt/tokenizers")
+TOKENIZERS = os.environ.get("MERCATO_TOKENIZERS")
 DROPOUT = 0.1
 SEED = 20240
 
 
 def tokenizer(name: str) -> str:
-    """Place of a vocabulary file; the folder is a parameter (MERCATO_TOKENIZERS)."""
-    return os.path.join(TOKENIZERS, name)
+    """Place of a public vocabulary file; MERCATO_TOKENIZERS names another folder."""
+    return os.path.join(TOKENIZERS, name) if TOKENIZERS else public_tokenizers.path(name)
 
 
 # The written policy of op1.
@@ -84,6 +85,34 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = weak_quality.judge(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middle.transform(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 7 divides the id's crc32, the claimed row has one character more than the listed one."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    rest = F.col("source"), F.col("lang")
+    more = F.when(fold(parts=7) == 0, F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(F.col("n_chars")).cast("decimal(20,0)")
+    leaves = docs.select(
+        "doc_id", "lang",
+        manifest.leaf(F.col("doc_id"), *rest, F.col("n_chars"), F.col("text")).alias("leaf"),
+        manifest.leaf(F.col("doc_id"), *rest, more, F.col("text")).alias("claimed"),
+    )
+    told = manifest.verify(manifest.prove(leaves, "lang", "doc_id", keep=["claimed"]), "claimed")
+    return told.select("doc_id", "leaf", "subroot", "root", F.sha2(manifest.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_rules": op1_url_rules,
     "op2_latent_retrieval": op2_latent_retrieval,
@@ -95,5 +124,8 @@ QUERIES: dict[str, Query] = {
     "op8_recurrent_likelihood": op8_recurrent_likelihood,
     "op9_weighted_sampling": op9_weighted_sampling,
     "op10_token_counts": op10_token_counts,
+    "op11_weak_quality": op11_weak_quality,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
-ORACLE: dict[str, str] = {"op1_url_rules": oracle.OP1}
+ORACLE: dict[str, str] = {"op1_url_rules": oracle.OP1, "op12_fill_in_middle": oracle.OP12, "op13_merkle_manifest": oracle.OP13}

@@ -1,12 +1,14 @@
 """Data-quality checks as DataFrames: one row per check.
 
-All column checks of a table are one aggregation. Key and reference checks aggregate to the
-key before anything is compared, so copies of one key do not gather in one task.
+``check_all`` takes every check of a set of tables from one pass over each. The single checks
+below it are for one-off questions. Keys are aggregated before anything is compared, so copies of
+one key do not gather in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -124,36 +126,130 @@ def suite(spec: Table, contract: bool = False) -> dict[str, object]:
     }
 
 
+@dataclass(frozen=True)
+class Subject:
+    """A table to be checked: row rules, the columns of its key, and column to ``table.column`` references."""
+
+    name: str
+    frame: DataFrame
+    rules: Mapping[str, Column] = field(default_factory=dict)
+    key: Sequence[str] = ()
+    references: Mapping[str, str] = field(default_factory=dict)
+
+
+def _text_key(columns: Sequence[str]) -> Column:
+    """A key as one text: equal for equal keys only, NULL for a single NULL column."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    parts = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[F.when(p.isNull(), F.lit("-")).otherwise(F.concat(F.length(p).cast("string"), F.lit(":"), p)) for p in parts])
+
+
+def _domain(table: str, columns: Sequence[str]) -> str:
+    return f"{table}.{','.join(columns)}"
+
+
+def check_all(
+    spark: SparkSession, subjects: Sequence[Subject], parents: Mapping[str, Callable[[], DataFrame]] | None = None
+) -> DataFrame:
+    """Every check of every subject from one pass over each table.
+
+    A row is exploded into what it contributes: one entry per rule it breaks, one for its key and one
+    per reference. An entry names a domain (a rule, or a key such as ``orders.order_id``), a
+    value and a slot: slot 0 holds the domain's own rows, further slots the tables that refer to
+    it. All tables' entries go through one aggregation by (domain, value), combined before the
+    shuffle, so that copies of a key are one row: uniqueness, and references without a
+    partner, are then read off the counts of the slots. A parent that is not itself a subject is
+    read for its key alone.
+    """
+    parents = parents or {}
+    by_name = {s.name: s for s in subjects}
+    labels: list[tuple[str, int, str, str]] = []  # domain, slot, table, check
+    fixed: list[tuple] = []  # checks that need no row
+    entries: dict[str, list[Column]] = {s.name: [] for s in subjects}
+    extra: dict[str, list[str]] = {}  # key columns to be read of parents that are no subjects
+    known: set[str] = set()
+    slots: dict[str, int] = {}
+
+    def entry(domain: str, slot: int, value: Column, when: Column | None = None) -> Column:
+        made = F.struct(F.lit(domain).alias("domain"), value.alias("value"), F.lit(slot).alias("slot"))
+        return made if when is None else F.when(when, made)
+
+    for s in subjects:
+        for check, bad in s.rules.items():
+            domain = f"{s.name}!{check}"
+            labels.append((domain, 0, s.name, check))
+            entries[s.name].append(entry(domain, 0, F.lit(None).cast("string"), F.coalesce(bad, F.lit(False))))
+        if s.key and set(s.key) <= set(s.frame.columns):
+            domain = _domain(s.name, s.key)
+            known.add(domain)
+            labels.append((domain, 0, s.name, f"pk_unique[{','.join(s.key)}]"))
+            entries[s.name].append(entry(domain, 0, _text_key(s.key)))
+        elif s.key:
+            fixed.append((s.name, f"pk_present[{','.join(s.key)}]", False, 1))
+    for s in subjects:
+        for column, target in s.references.items():
+            check = f"fk[{column}->{target}]"
+            parent, parent_column = target.split(".")
+            if target not in known:
+                if parent in by_name and parent_column in by_name[parent].frame.columns:
+                    entries[parent].append(entry(target, 0, _text_key([parent_column])))
+                elif parent not in by_name and parent in parents:
+                    extra.setdefault(parent, []).append(parent_column)
+                else:
+                    fixed.append((s.name, check, False, 1))
+                    continue
+                known.add(target)
+            slots[target] = slots.get(target, 0) + 1
+            labels.append((target, slots[target], s.name, check))
+            entries[s.name].append(entry(target, slots[target], _text_key([column]), F.col(column).isNotNull()))
+    for parent, columns in extra.items():
+        by_name[parent] = Subject(parent, parents[parent]())
+        entries[parent] = [entry(f"{parent}.{c}", 0, _text_key([c])) for c in columns]
+
+    told = [
+        by_name[name].frame.select(F.explode(F.filter(F.array(*made), lambda e: e.isNotNull())).alias("e")).select("e.*")
+        for name, made in entries.items()
+        if made
+    ]
+    results = spark.createDataFrame(fixed, RESULT)
+    if not told:
+        return results
+    most = max(slots.values(), default=0)
+    counts = reduce(DataFrame.unionAll, told).groupBy("domain", "value").agg(
+        *[F.count_if(F.col("slot") == k).alias(f"n{k}") for k in range(most + 1)]
+    )
+    rule = F.contains("domain", F.lit("!"))
+    broken = [F.sum(F.when(rule, F.col("n0")).otherwise(F.greatest(F.col("n0") - 1, F.lit(0))))]
+    broken += [F.sum(F.when(F.col("n0") == 0, F.col(f"n{k}")).otherwise(0)) for k in range(1, most + 1)]
+    found = counts.groupBy("domain").agg(F.array(*broken).alias("_broken")).select("domain", F.posexplode("_broken").alias("slot", "_n"))
+    named = spark.createDataFrame(labels, "domain string, slot int, table_name string, check_name string")
+    report = named.join(found, ["domain", "slot"], "left").withColumn("violations", F.coalesce("_n", F.lit(0)).cast("bigint"))
+    return results.unionByName(report.select("table_name", "check_name", (F.col("violations") == 0).alias("passed"), "violations"))
+
+
+def subject(spec: Table, frame: DataFrame, contract: bool = False) -> Subject:
+    """What a table's records promise, for the columns that the frame has."""
+    checks, have = suite(spec, contract), set(frame.columns)
+    rules = not_null_rules([c for c in checks["not_null"] if c in have])
+    rules |= non_negative_rules([c for c in checks["non_negative"] if c in have])
+    rules |= between_rules({c: r for c, r in checks["between"].items() if c in have})
+    rules |= accepted_rules({c: v for c, v in checks["accepted"].items() if c in have})
+    return Subject(spec.name, frame, rules, checks["unique"], checks["references"])
+
+
 def validate(
     spark: SparkSession,
     tables: Mapping[str, Callable[[], DataFrame]],
     specs: Sequence[Table],
     contract: bool = False,
 ) -> DataFrame:
-    """All checks of all given specs as one DataFrame."""
-    parts: list[DataFrame] = []
+    """All checks of all given specs as one DataFrame; each table is read once."""
+    subjects = [subject(spec, tables[spec.name](), contract) for spec in specs]
     schema_rows: list[tuple] = []
-    for spec in specs:
-        frame = tables[spec.name]()
-        checks = suite(spec, contract)
-        have = set(frame.columns)
-        rules = not_null_rules([c for c in checks["not_null"] if c in have])
-        rules |= non_negative_rules([c for c in checks["non_negative"] if c in have])
-        rules |= between_rules({c: r for c, r in checks["between"].items() if c in have})
-        rules |= accepted_rules({c: v for c, v in checks["accepted"].items() if c in have})
-        if rules:
-            parts.append(check_columns(frame, spec.name, rules))
-        if checks["unique"]:
-            parts.append(check_pk_unique(frame, spec.name, checks["unique"]))
-        for column, target in checks["references"].items():
-            parent = tables.get(target.split(".")[0])
-            parts.append(
-                check_fk(frame, spec.name, column, parent() if parent else None, target)
-            )
-        schema_rows += timestamp_types(frame, spec.name, checks["timestamps"])
-    if schema_rows:
-        parts.append(spark.createDataFrame(schema_rows, RESULT))
-    return reduce(DataFrame.unionByName, parts)
+    for spec, s in zip(specs, subjects, strict=True):
+        schema_rows += timestamp_types(s.frame, spec.name, suite(spec)["timestamps"])
+    return check_all(spark, subjects, tables).unionByName(spark.createDataFrame(schema_rows, RESULT))
 
 
 def summary(report: DataFrame) -> DataFrame:

@@ -150,15 +150,12 @@ def mart_checks(wh: Warehouse) -> DataFrame:
         "mart_monthly_revenue": {"positive_revenue": F.col("revenue") < 0},
         "mart_customer_rfm": quality.accepted_rules({"r_score": (1, 2, 3, 4, 5)}),
     }
-    parts = []
-    for name, (frame, key, required) in keyed.items():
-        rules = quality.not_null_rules(required) | extra.get(name, {})
-        parts += [quality.check_columns(frame, name, rules), quality.check_pk_unique(frame, name, key)]
-    target = "dim_customers.customer_id"
-    parts.append(
-        quality.check_fk(wh.fact_orders, "fact_orders", "customer_id", wh.dim_customers, target)
-    )
-    return reduce(DataFrame.unionByName, parts)
+    references = {"fact_orders": {"customer_id": "dim_customers.customer_id"}}
+    subjects = [
+        quality.Subject(name, frame, quality.not_null_rules(required) | extra.get(name, {}), key, references.get(name, {}))
+        for name, (frame, key, required) in keyed.items()
+    ]
+    return quality.check_all(wh.spark, subjects)
 
 
 @query("suite_from_spec")

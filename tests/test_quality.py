@@ -101,3 +101,58 @@ def test_pipeline_checks_before_it_builds(spark, raw_dir, tmp_path):
         build_warehouse(spark, str(bad), str(tmp_path / "worse"))
     assert "non_negative[price]: 1" in str(failure.value)
     assert "fk[order_id->orders.order_id]: 1" in str(failure.value)
+
+
+def test_one_scan_per_table(spark, wh):
+    """Nine tables make nine scans of files at most, whatever the number of their checks."""
+    from mercato.plans.checks import validation_report
+
+    def scans(frame):
+        return frame._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        single = sum(scans(wh.source(t)) for t in CATALOG)
+        report = validation_report(wh)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert 9 <= plan.count("FileScan") <= single
+        own = sum(wh.source(t)._jdf.queryExecution().executedPlan().toString().count("Exchange") for t in CATALOG)
+        # One for all keys, one for their totals, and what meets the names of the checks.
+        assert plan.count("Exchange") <= own + 5
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_all_checks_equal_the_single_ones(spark):
+    """Random tables with NULLs, repeated and composite keys, and orphans."""
+    import random
+
+    random.seed(4)
+    pick = lambda n: random.choice([None, *range(n)])
+    parent = spark.createDataFrame([(pick(9), pick(3), random.choice([-1.0, 2.0, None])) for _ in range(40)], "a int, b int, v double")
+    child = spark.createDataFrame([(pick(14), f"{pick(2)}") for _ in range(60)], "a long, c string")
+    rules = quality.not_null_rules(["a", "b"]) | quality.non_negative_rules(["v"])
+    subjects = [
+        quality.Subject("child", child, {}, ["a", "c"], {"a": "parent.a", "c": "other.c"}),
+        quality.Subject("parent", parent, rules, ["a", "b"], {"a": "child.a", "b": "absent.b"}),
+        quality.Subject("keyless", parent, {}, ["zz"], {}),
+    ]
+    other = child.limit(3)
+    got = {(r.table_name, r.check_name): (r.passed, r.violations) for r in quality.check_all(spark, subjects, {"other": lambda: other}).collect()}
+    single = [
+        quality.check_columns(parent, "parent", rules),
+        quality.check_pk_unique(parent, "parent", ["a", "b"]),
+        quality.check_pk_unique(child, "child", ["a", "c"]),
+        quality.check_pk_unique(parent, "keyless", ["zz"]),
+        quality.check_fk(child, "child", "a", parent, "parent.a"),
+        quality.check_fk(child, "child", "c", other, "other.c"),
+        quality.check_fk(parent, "parent", "a", child, "child.a"),
+        quality.check_fk(parent, "parent", "b", None, "absent.b"),
+    ]
+    want = {(r.table_name, r.check_name): (r.passed, r.violations) for part in single for r in part.collect()}
+    assert got == want and any(not p for p, _ in got.values()) and any(p for p, _ in got.values())
+
+
+def test_no_subjects(spark):
+    assert quality.check_all(spark, []).collect() == []

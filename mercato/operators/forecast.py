@@ -62,6 +62,12 @@ def moving_average_forecast(
     )
 
 
+def _neighbours() -> Column:
+    """The eight directions from a point."""
+    steps = (-1.0, 0.0, 1.0)
+    return F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in steps for y in steps if x or y])
+
+
 def holt_forecast(
     df: DataFrame,
     key: str,
@@ -70,57 +76,64 @@ def holt_forecast(
     horizon: int = 3,
     grid: tuple[float, ...] = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9),
     min_points: int = 6,
+    first_step: float = 0.05,
+    tolerance: float = 1e-3,
+    rounds: int = 24,
+    bounds: tuple[float, float] = (0.01, 0.99),
 ) -> DataFrame:
-    """Additive-trend smoothing per series, with the weights of the smallest squared error.
+    """Additive-trend smoothing per series, with weights searched for the smallest squared error.
 
-    Every pair of weights from ``grid`` is one row per series (their number is fixed), folded
-    over the series' values. Series shorter than ``min_points`` get the moving average. The
-    result is never negative.
+    The search is coarse to fine: the best pair of ``grid``, then in each round the best of its
+    eight neighbours, ``first_step`` away to begin with; where none is better the step is
+    halved, until it is below ``tolerance`` or ``rounds`` are over. So the error is never above that of the grid. Everything is folded over the series' array in one expression: the one shuffle is the
+    one that gathers the series. Series shorter than ``min_points`` get the moving
+    average and no weights. The result is never negative.
     """
     series = _series(df, key, month, value)
-    long = series.filter(F.size("_values") >= min_points)
-    weights = F.array(*[F.lit(w) for w in grid])
-    candidates = long.select("*", F.explode(weights).alias("_a")).select(
-        "*", F.explode(weights).alias("_b")
-    )
     first, second = F.element_at("_values", 1), F.element_at("_values", 2)
-    start = F.struct(
-        first.alias("level"), (second - first).alias("trend"), F.lit(0.0).alias("sse")
-    )
-
-    def step(state: Column, v: Column) -> Column:
-        expected = state["level"] + state["trend"]
-        level = F.col("_a") * v + (F.lit(1.0) - F.col("_a")) * expected
-        trend = F.col("_b") * (level - state["level"]) + (F.lit(1.0) - F.col("_b")) * state["trend"]
-        error = v - expected
-        return F.struct(
-            level.alias("level"), trend.alias("trend"), (state["sse"] + error * error).alias("sse")
-        )
-
     rest = F.slice("_values", F.lit(2), F.size("_values") - 1)
-    fitted = candidates.withColumn("_fit", F.aggregate(rest, start, step))
-    best = fitted.groupBy(key).agg(
-        F.min(F.struct(F.col("_fit.sse").alias("sse"), "_a", "_b", "_fit", "_months")).alias("_best")
-    )
-    chosen = best.select(
-        key,
-        F.col("_best._a").alias("alpha"),
-        F.col("_best._b").alias("beta"),
-        F.col("_best._fit").alias("_fit"),
-        F.col("_best._months").alias("_months"),
-    ).select("*", _future_months(horizon))
-    projected = chosen.select(
-        key,
-        "period",
-        rounded(
-            F.greatest(
-                F.col("_fit.level") + (F.col("_step") + 1).cast("double") * F.col("_fit.trend"),
-                F.lit(0.0),
-            )
-        ).alias("forecast_revenue"),
-        "alpha",
-        "beta",
-    )
-    short_keys = series.filter(F.size("_values") < min_points).select(key)
-    fallback = moving_average_forecast(df.join(short_keys, key, "left_semi"), key, month, value, horizon)
-    return projected.unionByName(fallback, allowMissingColumns=True)
+    low, high = F.lit(bounds[0]), F.lit(bounds[1])
+
+    def fold(a: Column, b: Column) -> Column:
+        def step(state: Column, v: Column) -> Column:
+            expected = state["level"] + state["trend"]
+            level = a * v + (F.lit(1.0) - a) * expected
+            trend = b * (level - state["level"]) + (F.lit(1.0) - b) * state["trend"]
+            error = v - expected
+            return F.struct(level.alias("level"), trend.alias("trend"), (state["sse"] + error * error).alias("sse"))
+
+        start = F.struct(first.alias("level"), (second - first).alias("trend"), F.lit(0.0).alias("sse"))
+        return F.aggregate(rest, start, step)
+
+    def tried(a: Column, b: Column) -> Column:
+        return F.struct(fold(a, b)["sse"].alias("sse"), a.alias("a"), b.alias("b"))
+
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in grid for b in grid])
+    coarse = F.array_min(F.transform(pairs, lambda p: tried(p["a"], p["b"])))
+
+    def refine(state: Column, _: Column) -> Column:
+        def near(o: Column) -> Column:
+            moved = lambda at, by: F.least(F.greatest(at + by * state["h"], low), high)
+            return tried(moved(state["a"], o["x"]), moved(state["b"], o["y"]))
+
+        best = F.array_min(F.transform(_neighbours(), near))
+        told = F.array(best)  # bound once: the folds behind it are the costly part
+        moved = F.transform(
+            told,
+            lambda m: F.when(m["sse"] < state["sse"], F.struct(m["sse"].alias("sse"), m["a"].alias("a"), m["b"].alias("b"), state["h"].alias("h"))).otherwise(
+                F.struct(state["sse"].alias("sse"), state["a"].alias("a"), state["b"].alias("b"), (state["h"] / 2).alias("h"))
+            ),
+        )
+        return F.when(state["h"] < tolerance, state).otherwise(F.element_at(moved, 1))
+
+    long = F.size("_values") >= min_points
+    begun = series.withColumn("_coarse", F.when(long, coarse))
+    start = F.struct(F.col("_coarse.sse").alias("sse"), F.col("_coarse.a").alias("a"), F.col("_coarse.b").alias("b"), F.lit(first_step).alias("h"))
+    found = begun.withColumn("_w", F.when(long, F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, refine)))
+    n = F.least(F.lit(3), F.size("_values"))
+    mean = F.aggregate(F.slice("_values", -n, n), F.lit(0.0), lambda acc, v: acc + v) / n.cast("double")
+    flat = F.struct(mean.alias("level"), F.lit(0.0).alias("trend"), F.lit(0.0).alias("sse"))
+    fitted = found.withColumn("_fit", F.when(long, fold(F.col("_w.a"), F.col("_w.b"))).otherwise(flat))
+    steps = fitted.select(key, F.col("_w.a").alias("alpha"), F.col("_w.b").alias("beta"), "_fit", "_months").select("*", _future_months(horizon))
+    told = F.col("_fit.level") + (F.col("_step") + 1).cast("double") * F.col("_fit.trend")
+    return steps.select(key, "period", rounded(F.greatest(told, F.lit(0.0))).alias("forecast_revenue"), "alpha", "beta")

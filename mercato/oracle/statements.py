@@ -1236,12 +1236,27 @@ def _pipelines() -> dict[str, str]:
 
 
 def _holt() -> str:
-    """Level, trend and squared error of every weight pair, step by step, as a recursive CTE."""
-    series = """
-        SELECT customer_state, month, v, row_number() OVER (PARTITION BY customer_state ORDER BY month) AS i,
-               count(*) OVER (PARTITION BY customer_state) AS n
-        FROM kept"""
+    """A fold over each series' list per pair of weights: the grid's best, then its neighbours, round by round."""
+    grid = "[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[]"
+
+    def error(a: str, b: str) -> str:
+        """Squared error of a pair: states and values share one kind of struct."""
+        expected = "(s.level + s.trend)"
+        level = f"({a} * x.v + (1.0::DOUBLE - {a}) * {expected})"
+        return (
+            f"list_reduce(vals, lambda s, x: {{'level': {level}, 'trend': {b} * ({level} - s.level) + (1.0::DOUBLE - {b}) * s.trend,"
+            f" 'sse': s.sse + (x.v - {expected}) * (x.v - {expected}), 'v': x.v}})"
+        )
+
+    def tried(a: str, b: str) -> str:
+        return f"{{'sse': {error(a, b)}.sse, 'a': {a}, 'b': {b}}}"
+
+    def moved(at: str, by: str) -> str:
+        return f"least(greatest({at} + {by} * h, 0.01::DOUBLE), 0.99::DOUBLE)"
+
     prelude = PRELUDE.strip().replace("WITH raw_items", "WITH RECURSIVE raw_items", 1)
+    offsets = ", ".join(f"{{'x': {x}.0::DOUBLE, 'y': {y}.0::DOUBLE}}" for x in (-1, 0, 1) for y in (-1, 0, 1) if x or y)
+    offsets = f"[{offsets}]"
     return f"""{prelude}
         , points AS (
           SELECT state AS customer_state, month, CAST(sum(amount) AS DOUBLE) AS v,
@@ -1254,33 +1269,32 @@ def _holt() -> str:
           SELECT customer_state, month, v
           FROM (SELECT *, max(CASE WHEN collapsed THEN 0 ELSE i END) OVER (PARTITION BY customer_state) AS last_i FROM marked) m
           WHERE i <= last_i
-        ), numbered AS MATERIALIZED ({series}
-        ), weights AS (
-          SELECT CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b
-          FROM (SELECT unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS a) x,
-               (SELECT unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS b) y
-        ), fold AS (
-          SELECT p.customer_state, w.a, w.b, CAST(1 AS BIGINT) AS i, p.n, p.v AS level, q.v - p.v AS trend,
-                 CAST(0 AS DOUBLE) AS sse
-          FROM numbered p JOIN numbered q ON q.customer_state = p.customer_state AND q.i = 2, weights w
-          WHERE p.i = 1 AND p.n >= 6
+        ), series AS MATERIALIZED (
+          SELECT customer_state, max(month) AS last_month, count(*) AS n, list(v ORDER BY month) AS vs FROM kept GROUP BY customer_state
+        ), long AS MATERIALIZED (
+          SELECT customer_state, last_month, list_transform(vs, lambda v, i: {{'level': vs[1], 'trend': vs[2] - vs[1], 'sse': 0.0::DOUBLE, 'v': v}}) AS vals
+          FROM series WHERE n >= 6
+        ), coarse AS (
+          SELECT customer_state, last_month, vals,
+                 list_sort(flatten(list_transform({grid}, lambda a: list_transform({grid}, lambda b: {tried("a", "b")}))))[1] AS w
+          FROM long
+        ), search AS (
+          SELECT customer_state, last_month, vals, 0 AS round, w, 0.05::DOUBLE AS h FROM coarse
           UNION ALL
-          SELECT f.customer_state, f.a, f.b, s.i, f.n,
-                 f.a * s.v + (1.0::DOUBLE - f.a) * (f.level + f.trend) AS level,
-                 f.b * ((f.a * s.v + (1.0::DOUBLE - f.a) * (f.level + f.trend)) - f.level)
-                   + (1.0::DOUBLE - f.b) * f.trend AS trend,
-                 f.sse + (s.v - (f.level + f.trend)) * (s.v - (f.level + f.trend)) AS sse
-          FROM fold f JOIN numbered s ON s.customer_state = f.customer_state AND s.i = f.i + 1
+          SELECT customer_state, last_month, vals, round + 1, CASE WHEN m.sse < w.sse THEN m ELSE w END, CASE WHEN m.sse < w.sse THEN h ELSE h / 2 END
+          FROM (SELECT *, list_sort(list_transform({offsets}, lambda o: {tried(moved("w.a", "o.x"), moved("w.b", "o.y"))}))[1] AS m
+                FROM search WHERE round < 24 AND h >= 0.001) t
         ), best AS (
-          SELECT * FROM fold WHERE i = n
-          QUALIFY row_number() OVER (PARTITION BY customer_state ORDER BY sse, a, b) = 1
+          SELECT customer_state, last_month, w, {error("w.a", "w.b")} AS fit FROM search
+          QUALIFY row_number() OVER (PARTITION BY customer_state ORDER BY round DESC) = 1
+        ), told AS (
+          SELECT customer_state, last_month, fit.level AS level, fit.trend AS trend, w.a AS alpha, w.b AS beta FROM best
+          UNION ALL
+          SELECT customer_state, last_month, list_sum(vs[-3:]) / len(vs[-3:]), 0, NULL, NULL FROM series WHERE n < 6
         )
-        SELECT b.customer_state,
-               strftime((SELECT max(month) FROM numbered s WHERE s.customer_state = b.customer_state)
-                        + to_months(CAST(h AS INTEGER)), '%Y-%m') AS period,
-               ROUND(greatest(b.level + CAST(h AS DOUBLE) * b.trend, 0), 2) AS forecast_revenue,
-               b.a AS alpha, b.b AS beta
-        FROM best b, (SELECT unnest([1, 2, 3]) AS h) g"""
+        SELECT customer_state, strftime(last_month + to_months(CAST(g AS INTEGER)), '%Y-%m') AS period,
+               ROUND(greatest(level + CAST(g AS DOUBLE) * trend, 0), 2) AS forecast_revenue, alpha, beta
+        FROM told, (SELECT unnest([1, 2, 3]) AS g) steps"""
 
 
 def statements() -> dict[str, str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 from collections import Counter, defaultdict
 from datetime import date, datetime, timedelta
 
@@ -154,35 +155,63 @@ def test_moving_average_forecast(spark):
     ]
 
 
+def _holt_fold(values, a, b):
+    level, trend, sse = values[0], values[1] - values[0], 0.0
+    for v in values[1:]:
+        expected = level + trend
+        new = a * v + (1 - a) * expected
+        trend = b * (new - level) + (1 - b) * trend
+        level, sse = new, sse + (v - expected) ** 2
+    return sse, level, trend
+
+
 def _holt(values, horizon):
-    best = None
-    for a, b in itertools.product([i / 10 for i in range(1, 10)], repeat=2):
-        level, trend, sse = values[0], values[1] - values[0], 0.0
-        for v in values[1:]:
-            expected = level + trend
-            new = a * v + (1 - a) * expected
-            trend = b * (new - level) + (1 - b) * trend
-            level, sse = new, sse + (v - expected) ** 2
-        if best is None or sse < best[0]:
-            best = (sse, level, trend)
-    return [max(best[1] + h * best[2], 0.0) for h in range(1, horizon + 1)]
+    """The same search, written as loops."""
+    best = min((_holt_fold(values, i / 10, j / 10)[0], i / 10, j / 10) for i in range(1, 10) for j in range(1, 10))
+    h = 0.05
+    for _ in range(24):
+        if h < 1e-3:
+            break
+        near = [(min(max(best[1] + x * h, 0.01), 0.99), min(max(best[2] + y * h, 0.01), 0.99)) for x in (-1, 0, 1) for y in (-1, 0, 1) if x or y]
+        found = min((_holt_fold(values, a, b)[0], a, b) for a, b in near)
+        if found[0] < best[0]:
+            best = found
+        else:
+            h /= 2
+    _, level, trend = _holt_fold(values, *best[1:])
+    return [max(level + h * trend, 0.0) for h in range(1, horizon + 1)], best
 
 
 def test_holt_forecast(spark):
+    rng = random.Random(8)
     series = {
         "up": [10.0, 12, 13, 15, 16, 19, 20, 23],
         "down": [50.0, 30, 20, 10, 5, 2, 1],
+        "flat": [4.0] * 9,
+        "noise": [rng.uniform(0, 100) for _ in range(60)],
+        "steps": [float(10 * (i // 7)) for i in range(40)],
         "short": [1.0, 2, 3],
+        "one": [6.0],
     }
-    got = defaultdict(dict)
-    for r in holt_forecast(_series(spark, **series), "k", "m", "v", 4).collect():
+    frame = holt_forecast(_series(spark, **series), "k", "m", "v", 4)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    got, weights = defaultdict(dict), {}
+    for r in frame.collect():
         got[r.k][r.period] = r.forecast_revenue
-    for key in ("up", "down"):
-        assert [got[key][p] for p in sorted(got[key])] == pytest.approx(_holt(series[key], 4), abs=0.006)
-    assert set(got["short"].values()) == {2.0}
+        weights[r.k] = (r.alpha, r.beta)
+    for key in ("up", "down", "flat", "noise", "steps"):
+        told, (sse, a, b) = _holt(series[key], 4)
+        assert [got[key][p] for p in sorted(got[key])] == pytest.approx(told, abs=0.006)
+        assert weights[key] == pytest.approx((a, b), abs=1e-9)
+        grid = min(_holt_fold(series[key], i / 10, j / 10)[0] for i in range(1, 10) for j in range(1, 10))
+        assert sse <= grid
+    assert set(got["short"].values()) == {2.0} and set(got["one"].values()) == {6.0}
+    assert weights["short"] == weights["one"] == (None, None)
     assert min(got["down"].values()) >= 0
 
 
+
 def test_change_audit(spark):
     old = spark.createDataFrame([(1, 5), (2, None), (3, 4), (4, 1)], "id int, score int")
     new = spark.createDataFrame([(1, 5), (2, 3), (3, None), (9, 1)], "id int, score int")

@@ -65,3 +65,8 @@ def test_no_python_in_any_plan(wh):
         plan = plan_of(QUERIES[name](wh))
         assert "Python" not in plan and "Pandas" not in plan
         assert "CartesianProduct" not in plan
+
+
+def test_forecast_reads_its_series_once(wh):
+    plan = plan_of(QUERIES["holt_forecast"](wh))
+    assert plan.count("FileScan") == 1

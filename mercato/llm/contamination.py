@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from mercato.llm.ragged import Powers, blocks, flat, word_hashes
 from mercato.llm.tables import attach, stage
+from mercato.operators.ordered import row_numbers
 
 UNIT = 16  # words
 LONGEST = 64  # words of one passage
@@ -93,7 +94,10 @@ class Searcher:
     def __init__(self, lists: list[np.ndarray], groups: np.ndarray, words: np.ndarray, idf: np.ndarray, spaces: list[np.ndarray]) -> None:
         self.lists, self.words = [w.tolist() for w in lists], words
         self.span = np.array([-(-len(w) // UNIT) + 1 for w in lists])
-        self.projected, self.rows, self.own, self.size = [], [], [], []
+        # How often each passage has each of its words, by the number of both.
+        of = np.repeat(np.arange(len(lists)), [len(w) for w in lists])
+        self.pairs, self.times = np.unique(of * len(words) + np.searchsorted(words, np.concatenate(lists)), return_counts=True)
+        self.projected, self.rows, self.own, self.size, self.most = [], [], [], [], []
         for g, v in enumerate(spaces):
             mine = np.flatnonzero(groups == g)
             own = weighted([lists[i] for i in mine], words, idf) @ v
@@ -102,44 +106,114 @@ class Searcher:
             size = np.maximum(np.linalg.norm(own, axis=1), 1e-9)
             self.size.append((WEIGHT * size).astype(np.float32))
             self.own.append((own / size[:, None]).astype(np.float32))
+            self.most.append({span: self._most(g, np.flatnonzero(self.span[mine] == span)) for span in sorted(set(self.span[mine].tolist()))})
+
+    def _most(self, g: int, mine: np.ndarray) -> np.ndarray:
+        """Per word, the largest part of its least length that it adds to any of these passages.
+
+        Summed over a window it bounds what the window reaches, so a window with less than 1 is near none.
+        """
+        toward = (self.own[g][mine] / self.size[g][mine, None]).T
+        blocks = [(self.projected[g][a : a + 8192] @ toward).max(1, initial=0) for a in range(0, len(self.words), 8192)]
+        return np.concatenate(blocks) if blocks else np.zeros(0, np.float32)
+
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """The number of each word among the batch's, -1 for others."""
+        at = np.searchsorted(self.words, words).clip(0, len(self.words) - 1)
+        return np.where(self.words[at] == words, at, -1)
 
     def candidates(self, words: np.ndarray, unit: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int, float]]:
         """(first unit of the window, passage, cosine) of near windows."""
-        at = np.searchsorted(self.words, words).clip(0, len(self.words) - 1)
-        hit = np.flatnonzero(self.words[at] == words)
+        return self._near(self.numbers(words), unit, owner)
+
+    def _near(self, at: np.ndarray, unit: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        hit = np.flatnonzero(at >= 0)
         if not len(hit):
             return
         at, where = at[hit], unit[hit]
-        full, begin = np.unique(where, return_index=True)
-        for projected, rows, own, least in zip(self.projected, self.rows, self.own, self.size, strict=True):
+        after = np.searchsorted(owner, owner, "right") - np.arange(len(owner))  # units from here to the text's end
+        for projected, rows, own, least, most in zip(self.projected, self.rows, self.own, self.size, self.most, strict=True):
             if not projected.shape[1]:
                 continue
-            sums = np.zeros((len(owner), projected.shape[1]), dtype=np.float32)
-            sums[full] = np.add.reduceat(projected[at], begin, axis=0)
-            window, reach = sums.copy(), 1
-            for span in sorted(set(self.span[rows].tolist())):
-                while reach < span:
-                    ok = np.flatnonzero(owner[reach:] == owner[:-reach])
-                    window[ok] += sums[ok + reach]
-                    reach += 1
+            starts, need = {}, np.zeros(len(owner) + 1, dtype=np.int64)
+            for span, of_word in most.items():
+                reach = np.concatenate([[0.0], np.cumsum(np.bincount(where, weights=of_word[at], minlength=len(owner)))])
+                end = np.arange(len(owner)) + np.minimum(span, after)
+                begin = np.flatnonzero(reach[end] - reach[:-1] >= 0.999)
+                starts[span] = begin
+                np.add.at(need, begin, 1)
+                np.add.at(need, end[begin], -1)
+            units = np.flatnonzero(np.cumsum(need)[:-1] > 0)
+            if not len(units):
+                continue
+            row = np.full(len(owner), -1)
+            row[units] = np.arange(len(units))
+            some = np.flatnonzero(row[where] >= 0)
+            full, first = np.unique(where[some], return_index=True)
+            sums = np.zeros((len(units), projected.shape[1]), dtype=np.float32)
+            word, full = at[some], row[full]
+            for a in range(0, len(full), 64):  # some units at a time, so that their rows stay in cache
+                lo, hi = first[a], first[a + 64] if a + 64 < len(first) else len(word)
+                sums[full[a : a + 64]] = np.add.reduceat(projected[word[lo:hi]], first[a : a + 64] - lo, axis=0)
+            for span, begin in starts.items():
+                if not len(begin):
+                    continue
+                window = sums[row[begin]]
+                for k in range(1, span):
+                    ok = np.flatnonzero(after[begin] > k)
+                    window[ok] += sums[row[begin[ok] + k]]
                 mine = np.flatnonzero(self.span[rows] == span)
                 size = np.linalg.norm(window, axis=1)
                 cosine = window @ own[mine].T
                 for u, j in zip(*np.nonzero((cosine >= least[mine]) & (cosine >= NEAR * np.maximum(size, 1e-6)[:, None])), strict=True):
-                    yield int(u), int(rows[mine[j]]), float(cosine[u, j] / size[u])
+                    yield int(begin[u]), int(rows[mine[j]]), float(cosine[u, j] / size[u])
+
+    def held(self, passage: np.ndarray, word: np.ndarray) -> np.ndarray:
+        key = passage * len(self.words) + word
+        at = np.searchsorted(self.pairs, key).clip(0, len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.times[at], 0)
+
+    def possible(self, numbers: np.ndarray, starts: np.ndarray, ends: np.ndarray, ps: np.ndarray) -> list[int]:
+        """Which candidates can have enough words in common, whatever their order.
+
+        The words that a window and a passage both hold, as often as both do, bound their longest
+        common subsequence from above. Windows are taken some at a time, by their words.
+        """
+        out: list[int] = []
+        sizes = np.array([len(w) for w in self.lists])
+        for part in np.array_split(np.arange(len(ps)), -(-int((ends - starts).sum()) // (1 << 18)) or 1):
+            n = (ends - starts)[part]
+            of = np.repeat(np.arange(len(part)), n)
+            at = numbers[np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[part], n)]
+            of, at = of[at >= 0], at[at >= 0]
+            held = self.held(ps[part][of], at)
+            enough = np.bincount(of[held > 0], minlength=len(part)) >= PARAPHRASE * sizes[ps[part]]
+            some = np.flatnonzero((held > 0) & enough[of])
+            pair, times = np.unique(of[some] * len(self.words) + at[some], return_counts=True)
+            of, at = pair // len(self.words), pair % len(self.words)
+            both = np.bincount(of, weights=np.minimum(times, self.held(ps[part][of], at)), minlength=len(part))
+            out.extend(part[both >= PARAPHRASE * sizes[ps[part]]].tolist())
+        return out
 
     def judged(self, words: np.ndarray, counts: np.ndarray, unit: np.ndarray, owner: np.ndarray) -> dict[tuple[int, int], tuple[float, float]]:
         """(text, passage) -> cosine and share of its words in order, for the ones found."""
         out: dict[tuple[int, int], tuple[float, float]] = {}
+        numbers = self.numbers(words)
+        found = list(self._near(numbers, unit, owner))
+        if not found:
+            return out
         begin = np.searchsorted(unit, np.arange(len(owner) + 1))
         base = np.concatenate([[0], np.cumsum(counts)])
-        for u, p, cosine in self.candidates(words, unit, owner):
-            text, own = int(owner[u]), self.lists[p]
+        us, ps, cosines = (np.array(x) for x in zip(*found, strict=True))
+        texts, last = owner[us], np.minimum(us + self.span[ps], len(owner))
+        starts = np.maximum(begin[us] - UNIT // 2, base[texts])
+        ends = np.minimum(begin[last] + UNIT // 2, base[texts + 1])
+        for i in self.possible(numbers, starts, ends, ps):
+            text, p, cosine = int(texts[i]), int(ps[i]), float(cosines[i])
+            own = self.lists[p]
             if out.get((text, p), (0, 0))[1] == 1:
                 continue
-            last = min(u + int(self.span[p]), len(owner))
-            a, b = max(int(begin[u]) - UNIT // 2, int(base[text])), min(int(begin[last]) + UNIT // 2, int(base[text + 1]))
-            near = words[a:b].tolist()
+            near = words[starts[i] : ends[i]].tolist()
             share = common_words(own, near) / len(own)
             if share < SAME:
                 answer = own[-max(3, len(own) // 4) :]
@@ -162,7 +236,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     spark = docs.sparkSession
     items = benchmark.select(F.col(item).alias("_item"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text")).where(F.col(item).isNotNull())
     cut = items.mapInArrow(passages, items.select("_item").schema.add("words", T.ArrayType(T.LongType())))
-    cut = stage(cut.withColumn("at", F.row_number().over(Window.orderBy("_item", "words"))), "passages")
+    cut = stage(row_numbers(stage(cut, "passages"), [F.col("_item"), F.col("words")], "at"), "passages-numbered")
     total = cut.count()
     slim = docs.select(F.col(key).alias("_id"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
     schema = slim.select("_id").schema.add(items.schema["_item"]).add("similarity", "double").add("common", "double")

@@ -50,21 +50,44 @@ def draws(value: np.ndarray, weight: np.ndarray, samples: int) -> np.ndarray:
     out = np.empty((len(value), samples), dtype=np.uint64)
     log_w = np.log(weight.astype(np.float32))[:, None]
     scale, low = np.float32(2.0**-21), np.uint64((1 << 21) - 1)
-    size = max(1, (1 << 17) // samples)
+    size = max(1, (1 << 15) // samples)
     seeds = mix((np.arange(samples, dtype=np.uint64) + np.uint64(1)) * step)
-    for a in range(0, len(value), size):
-        x = mix(value[a : a + size, None] + seeds[None])
-        y = x * step
-        y ^= y >> np.uint64(32)
-        u = [((z >> np.uint64(s)) & low).astype(np.float32) * scale + np.float32(2.0**-22) for z, s in ((x, 0), (x, 21), (x, 42), (y, 0), (y, 21))]
-        r = -np.log(u[0] * u[1])
-        c = -np.log(u[2] * u[3])
-        t = np.floor(log_w[a : a + size] / r + u[4])
-        late = np.log(c) - r * (t - u[4] + np.float32(1))
-        bits = late.view(np.uint32)
-        bits = np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(0x80000000))
-        left = (value[a : a + size, None] >> np.uint64(32)) ^ (t.astype(np.int32).astype(np.uint64) * step >> np.uint64(32))
-        out[a : a + size] = (bits.astype(np.uint64) << np.uint64(32)) | (left & np.uint64(0xFFFFFFFF))
+    single = weight == 1
+
+    def whole(z: np.ndarray, shift: int) -> np.ndarray:
+        """21 bits as a number between 0 and 1, never either."""
+        cut = z >> np.uint64(shift)
+        cut &= low
+        made = cut.astype(np.int32).astype(np.float32)
+        made *= scale
+        made += np.float32(2.0**-22)
+        return made
+
+    for kind in (True, False):
+        mine = np.flatnonzero(single == kind)
+        for a in range(0, len(mine), size):
+            at = mine[a : a + size]
+            x = mix(value[at, None] + seeds[None])
+            y = x * step
+            y ^= y >> np.uint64(32)
+            r, c = whole(x, 0), whole(x, 42)
+            r *= whole(x, 21)
+            c *= whole(y, 0)
+            np.negative(np.log(r, out=r), out=r)
+            np.negative(np.log(c, out=c), out=c)
+            u = whole(y, 21)
+            top = value[at, None] >> np.uint64(32)
+            if kind:  # weight 1: t is 0, whatever r
+                late = np.log(c) - r * (np.float32(0) - u + np.float32(1))
+                left = top
+            else:
+                t = np.floor(log_w[at] / r + u)
+                late = np.log(c) - r * (t - u + np.float32(1))
+                left = top ^ (t.astype(np.int32).astype(np.uint64) * step >> np.uint64(32))
+            # Floats in the order of unsigned numbers.
+            bits = late.view(np.int32)
+            bits = (bits ^ ((bits >> 31) | np.int32(-(2**31)))).view(np.uint32)
+            out[at] = (bits.astype(np.uint64) << np.uint64(32)) | (left & np.uint64(0xFFFFFFFF))
     return out
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mercato.llm.ragged import Powers, binary, blocks, flat, word_hashes
+from mercato.llm.ragged import Powers, binary, blocks, flat, lean, word_hashes
 from mercato.llm.tables import stage
 
 CLASSES, PER_CLASS = 32, 32
@@ -288,12 +288,20 @@ def dealt(parts: int):
                 pair, times = np.unique(text << 32 | tokens, return_counts=True)
                 text, word = pair >> 32, pair & 0xFFFFFFFF
                 part = (words % np.uint64(parts)).astype(np.int64)
-                for f in range(parts):
-                    mine = part == f
-                    place = np.cumsum(mine) - 1
-                    at = np.flatnonzero(mine[word])
-                    rows, size = np.unique(text[at], return_counts=True)
-                    made = [rows.astype(np.uint32)], [size.astype(np.int32)], [place[word[at]].astype(np.uint32)], [times[at].astype(np.uint32)], [words[mine]], [trained[mine]]
+                # One stable sort of the words and one of the pairs: a part is then a slice of each.
+                by_part = np.argsort(part, kind="stable")
+                edges = np.searchsorted(part[by_part], np.arange(parts + 1))
+                place = np.empty(len(words), dtype=np.int64)
+                place[by_part] = np.arange(len(words)) - edges[part[by_part]]
+                pairs = np.argsort(part[word], kind="stable")
+                text, word, times = text[pairs], word[pairs], times[pairs]
+                bounds = np.searchsorted(part[word], np.arange(parts + 1))
+                place, words, trained = place[word], words[by_part], trained[by_part]
+                for f in np.flatnonzero(np.diff(edges)).tolist():
+                    x, y = bounds[f], bounds[f + 1]
+                    new = np.flatnonzero(np.concatenate([[True], text[x + 1 : y] != text[x : y - 1]]))
+                    held = slice(edges[f], edges[f + 1])
+                    made = [text[x:y][new].astype(np.uint32)], [np.diff(np.append(new, y - x)).astype(np.int32)], [place[x:y].astype(np.uint32)], [times[x:y].astype(np.uint32)], [words[held]], [trained[held]]
                     yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), batch.column("chunk").slice(i, 1), pa.array(rids[:1]), *map(binary, made)], names=["part", "chunk", "base", "rids", "sizes", "word", "times", "words", "trained"])
 
     return run
@@ -359,8 +367,8 @@ def log_likelihood(docs: DataFrame, held_out: Column, key: str = "doc_id", text:
         kind = kind.add(name, "binary")
     chunks = stage(slim.select("_id", "held_out", "text").mapInArrow(summarise, kind), "lm-chunks")
     counted = chunks.drop("ids").mapInArrow(dealt(parts), "part int, chunk long, base long, rids binary, sizes binary, word binary, times binary, words binary, trained binary")
-    counted = stage(counted.groupBy("part").applyInArrow(count_part, "chunk long, rids binary, logs binary, known binary, word long, n long, types long"), "lm-counts")
-    sums = counted.where("chunk is not null").groupBy("chunk").applyInArrow(summed, "rid long, logs double, known long")
+    counted = stage(counted.groupBy("part").applyInArrow(lean(count_part), "chunk long, rids binary, logs binary, known binary, word long, n long, types long"), "lm-counts")
+    sums = counted.where("chunk is not null").groupBy("chunk").applyInArrow(lean(summed), "rid long, logs double, known long")
     model = fit(chunks, counted, slim.where(~F.col("held_out")).count(), rounds)
     oov = model.tokens - int(model.counts[:UNKNOWN].sum() + model.counts[UNKNOWN + 1 :].sum())
     spare = model.types - int((np.delete(model.counts, UNKNOWN) > 0).sum())

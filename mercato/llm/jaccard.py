@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mercato.llm.components import components
-from mercato.llm.ragged import Powers, binary, blocks, flat, mix, shingles, word_hashes
+from mercato.llm.ragged import Powers, binary, blocks, flat, lean, mix, shingles, word_hashes
 from mercato.llm.tables import attach, drop, stage, stage_kinds
 
 WORDS = 5
@@ -183,8 +183,8 @@ def near_components(docs: DataFrame, percent: int = 75, key: str = "doc_id", tex
     rows = rows.select("doc_id", "n_shingles", "cid")
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("cid").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"))
     counted = pieces.select("cid", "fragment", "ids", "alone", "shared", "tokens", "common")
-    counted = counted.groupBy("fragment").applyInArrow(shared_counts, "chunk long, ids binary, n binary")
-    counted = counted.groupBy("chunk").applyInArrow(summed(), "cid long, k long").groupBy("cid").agg(F.max("k").alias("k"))
+    counted = counted.groupBy("fragment").applyInArrow(lean(shared_counts), "chunk long, ids binary, n binary")
+    counted = counted.groupBy("chunk").applyInArrow(lean(summed()), "cid long, k long").groupBy("cid").agg(F.max("k").alias("k"))
     kept = stage(classes.join(counted, "cid").where(F.col("k") >= least(F.col("n"), percent)).select("cid", "rep", "n"), "classes")
     drop(pieces)
     comp = _components(slim, kept, percent)
@@ -282,7 +282,7 @@ def _in_blocks(both: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def compare(table: pa.Table) -> pa.Table:
         return pa.table(dict(zip(("a", "b"), map(pa.array, block_links(table, percent)), strict=True)), schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    return laid.groupBy("couple").applyInArrow(compare, "a long, b long")
+    return laid.groupBy("couple").applyInArrow(lean(compare), "a long, b long")
 
 
 def block_links(table: pa.Table, percent: int) -> tuple[list[int], list[int]]:

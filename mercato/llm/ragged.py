@@ -7,7 +7,7 @@ or one text if that is longer, so the arrays stay bounded whatever a batch holds
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +54,18 @@ def give_back() -> None:
         pass
 
 
+def lean(function: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The same grouped function; what its arrays took goes back to the system after every group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = function(table)
+        del table
+        give_back()
+        return out
+
+    return run
+
+
 def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 

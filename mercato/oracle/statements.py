@@ -814,6 +814,12 @@ def _reports() -> dict[str, str]:
             ORDER BY total_spent DESC, customer_id LIMIT 500""",
         "api_order_list": order_rows + """
             WHERE o.order_status = 'shipped' ORDER BY purchase_timestamp DESC, o.order_id LIMIT 20 OFFSET 10""",
+        "api_order_list_deep": order_rows + """
+            WHERE o.order_status = 'delivered' ORDER BY purchase_timestamp DESC, o.order_id LIMIT 30 OFFSET 400""",
+        "api_order_list_next": order_rows + """
+            ORDER BY purchase_timestamp DESC NULLS LAST, o.order_id LIMIT 30 OFFSET 430""",
+        "api_customer_search_deep": f"""
+            SELECT * FROM ({customers}) c ORDER BY total_spent DESC, customer_id LIMIT 25 OFFSET 60""",
         "api_order_by_id": order_rows + " WHERE o.order_id = 42",
         "api_status_breakdown": statuses.format("orders"),
         "eda_status_counts": statuses.format("count"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,6 +21,7 @@ from mercato.functions.columns import (
     share_where,
     whole,
 )
+from mercato.operators.paging import Order
 from mercato.operators.topn import top, top_by_metric
 from mercato.plans.basics import category_revenue, down, paid, paid_by_known, review_mean, up
 from mercato.plans.registry import query
@@ -83,17 +85,26 @@ def api_revenue_by_state(wh: Warehouse, n: int = 10) -> DataFrame:
 
 def customer_summary(wh: Warehouse) -> DataFrame:
     """Every customer with orders and spend; customers without orders stay, with zero."""
-    totals = wh.sales.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("payment_value").alias("spent")
-    )
-    customers = wh.dim_customers.select(
-        "customer_id", "customer_unique_id", "customer_city", "customer_state"
-    )
-    return customers.join(totals, "customer_id", "left").select(
-        *customers.columns,
-        F.coalesce("orders", F.lit(0)).alias("orders"),
-        rounded(F.coalesce("spent", F.lit(0))).alias("total_spent"),
-    )
+    totals = wh.customer_totals
+    kept = [c for c in totals.columns if c != "spent"]
+    return totals.select(*kept, rounded("spent").alias("total_spent"))
+
+
+# Pages that end beyond this row are read from a stored list instead of sorting all rows before them.
+DEEP = 10_000
+
+
+def paged(
+    wh: Warehouse, name: str, frame: DataFrame, order: Sequence[Order], limit: int | None, offset: int, deep: int = DEEP
+) -> DataFrame:
+    """One page of a sorted list; ``name`` tells this list and its filters from others."""
+    if limit is None or offset + limit <= deep:
+        return top(frame, [o.sort() for o in order], limit, offset)
+    return wh.pages(name, lambda: frame, order).page(offset, limit)
+
+
+SPEND_ORDER = (Order("total_spent", descending=True), Order("customer_id"))
+TIME_ORDER = (Order("purchase_timestamp", descending=True), Order("order_id"))
 
 
 def search_customers(
@@ -103,6 +114,7 @@ def search_customers(
     limit: int | None = 20,
     offset: int = 0,
     min_spent: float | None = None,
+    deep: int = DEEP,
 ) -> DataFrame:
     """Optional filters are combined with AND; the page is sorted by spend."""
     predicates = []
@@ -113,7 +125,8 @@ def search_customers(
     if min_spent is not None:
         predicates.append(F.col("total_spent") >= min_spent)
     found = customer_summary(wh).filter(all_of(predicates))
-    return top(found, [down("total_spent"), up("customer_id")], limit, offset)
+    name = f"customers:{state and state.upper()}:{city and city.lower()}:{min_spent}"
+    return paged(wh, name, found, SPEND_ORDER, limit, offset, deep)
 
 
 @query("api_customer_search", state="nation_3", city="Machinery", limit=20, offset=5)
@@ -143,14 +156,31 @@ def order_summary(wh: Warehouse) -> DataFrame:
     )
 
 
+def listed_orders(wh: Warehouse, status: str | None) -> DataFrame:
+    predicates = [F.col("order_status") == status] if status else []
+    return order_summary(wh).filter(all_of(predicates))
+
+
 @query("api_order_list", status="shipped", limit=20, offset=10)
+@query("api_order_list_deep", status="delivered", limit=30, offset=400, deep=0)
 def order_list(
-    wh: Warehouse, status: str | None = None, limit: int | None = 20, offset: int = 0
+    wh: Warehouse, status: str | None = None, limit: int | None = 20, offset: int = 0, deep: int = DEEP
 ) -> DataFrame:
     """Newest first."""
-    predicates = [F.col("order_status") == status] if status else []
-    found = order_summary(wh).filter(all_of(predicates))
-    return top(found, [down("purchase_timestamp"), up("order_id")], limit, offset)
+    return paged(wh, f"orders:{status}", listed_orders(wh, status), TIME_ORDER, limit, offset, deep)
+
+
+@query("api_order_list_next", offset=400, limit=30)
+def orders_after(wh: Warehouse, offset: int, limit: int) -> DataFrame:
+    """The page after the one at ``offset``, found by its last row instead of a number of rows."""
+    pages = wh.pages("orders:None", lambda: listed_orders(wh, None), TIME_ORDER)
+    last = pages.page(offset + limit - 1, 1).first()
+    return pages.after([last[o.column] for o in TIME_ORDER], limit)
+
+
+@query("api_customer_search_deep", state=None, limit=25, offset=60, deep=0)
+def customer_search_deep(wh: Warehouse, **filters: object) -> DataFrame:
+    return search_customers(wh, **filters)
 
 
 @query("api_status_breakdown")

@@ -6,6 +6,7 @@ The marts hold what almost every query would otherwise join and shuffle again:
 * ``sales``: one row per order with its customer and its payment, item and review totals;
 * ``lines``: one row per order item with its category, customer and month;
 * ``buyers``: one row per person; ``buyer_months``: one row per person and active month;
+* ``customer_totals``: one row per customer id, for lookups and the search;
 * ``rfm``: one row per paying person with scores; ``product_classes``: ABC class per product.
 
 Each is written to the shared folder when first used and read from there afterwards, so a
@@ -15,12 +16,13 @@ before every join on the order key, so an order with very many items adds one ro
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mercato.functions.columns import month_start
 from mercato.operators.abc import abc_classes
+from mercato.operators.paging import Order, Pages
 from mercato.operators.rfm import rfm_metrics, rfm_scores
 from mercato.operators.skew import hot_keys, salted_join
 from mercato.plans import star
@@ -36,6 +38,7 @@ class Warehouse:
         self.spark = spark
         self._sources = sources
         self._built: dict[str, DataFrame] = {}
+        self._pages: dict[str, Pages] = {}
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Warehouse:
@@ -47,12 +50,18 @@ class Warehouse:
         label = ":".join(("source", name, *args))
         return self._once(label, lambda: self._sources[name](*args), keep=False)
 
-    def _once(self, name: str, build: Callable[[], DataFrame], keep: bool) -> DataFrame:
+    def _once(self, name: str, build: Callable[[], DataFrame], keep: bool, lookup: str | None = None) -> DataFrame:
         if name not in self._built:
             frame = build()
-            self._built[name] = materialise(frame, name) if keep else frame
+            self._built[name] = materialise(frame, name, lookup) if keep else frame
         return self._built[name]
 
+    def pages(self, name: str, frame: Callable[[], DataFrame], order: Sequence[Order]) -> Pages:
+        """A sorted list stored for paging, under a name that tells it from other lists."""
+        if name not in self._pages:
+            self._pages[name] = Pages(frame(), order)
+        return self._pages[name]
+
     # ---- star ---------------------------------------------------------------------------
     @property
     def dim_customers(self) -> DataFrame:
@@ -179,7 +188,7 @@ class Warehouse:
                 .withColumn("order_month", month_start("order_purchase_timestamp"))
             )
 
-        return self._once("sales", build, keep=True)
+        return self._once("sales", build, keep=True, lookup="order_id")
 
     @property
     def lines(self) -> DataFrame:
@@ -232,7 +241,7 @@ class Warehouse:
                 )
             )
 
-        return self._once("buyers", build, keep=True)
+        return self._once("buyers", build, keep=True, lookup="customer_unique_id")
 
     @property
     def buyer_months(self) -> DataFrame:
@@ -259,6 +268,23 @@ class Warehouse:
             "rfm", lambda: rfm_scores(rfm_metrics(self.buyers, self.latest_purchase())), keep=True
         )
 
+    @property
+    def customer_totals(self) -> DataFrame:
+        """One row per known customer: person, place, orders and spend (zero without orders)."""
+
+        def build() -> DataFrame:
+            totals = self.sales.groupBy("customer_id").agg(
+                F.count(F.lit(1)).alias("orders"), F.sum("payment_value").alias("spent")
+            )
+            customers = self.dim_customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state")
+            return customers.join(totals, "customer_id", "left").select(
+                *customers.columns,
+                F.coalesce("orders", F.lit(0)).alias("orders"),
+                F.coalesce("spent", F.lit(0)).alias("spent"),
+            )
+
+        return self._once("customer_totals", build, keep=True, lookup="customer_id")
+
     @property
     def product_classes(self) -> DataFrame:
         """One row per sold product: revenue, running revenue, ABC class."""
@@ -277,6 +303,7 @@ class Warehouse:
     def refresh(self) -> None:
         """Forget every table and mart, so that the next query reads the sources anew."""
         self._built.clear()
+        self._pages.clear()
 
     def close(self) -> None:
         """Delete what this application has staged; marts are built again when asked for."""

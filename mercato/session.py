@@ -68,13 +68,30 @@ def drop_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+# Rows of a Parquet page in tables that are looked up by key: what one lookup reads.
+LOOKUP_PAGE_ROWS = 1000
+
+
+def materialise(df: DataFrame, name: str, lookup: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage durably (an executor loss re-reads files instead of recomputing) and
     keeps the columnar layout, so later readers prune columns and push filters.
+
+    With ``lookup`` each file is sorted by that column and has a Bloom filter for it: a filter on one
+    value then skips the files without it and reads a page or two of the others. No row is
+    moved for that.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write
+    if lookup:
+        writer = df.sortWithinPartitions(lookup).write.options(
+            **{
+                f"parquet.bloom.filter.enabled#{lookup}": "true",
+                "parquet.bloom.filter.adaptive.enabled": "true",
+                "parquet.page.row.count.limit": str(LOOKUP_PAGE_ROWS),
+            }
+        )
+    writer.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -454,6 +454,13 @@ def _segments() -> dict[str, str]:
                          date_diff('day', max(v.order_purchase_timestamp),
                                    (SELECT max(order_purchase_timestamp) FROM fact_orders)) AS recency_days
                   FROM visits v LEFT JOIN paid p USING (order_id) GROUP BY v.person) t""",
+        "mart_buyers_by_month": f"""
+            SELECT v.person AS customer_unique_id, count(*) AS orders, count(p.order_id) AS paid_orders,
+                   {money('p.amount')} AS spent, min(v.order_purchase_timestamp) AS first_purchase,
+                   max(v.order_purchase_timestamp) AS last_purchase, CAST(sum(r.score) AS BIGINT) AS review_sum
+            FROM visits v LEFT JOIN paid p USING (order_id)
+            LEFT JOIN (SELECT order_id, sum(review_score) AS score FROM fact_reviews GROUP BY order_id) r USING (order_id)
+            GROUP BY v.person""",
         "customer_rfm": f"""
             SELECT v.person AS customer_unique_id,
                    date_diff('day', CAST(max(v.order_purchase_timestamp) AS DATE), DATE '2002-01-01') AS recency_days,
@@ -1234,6 +1241,10 @@ def _pipelines() -> dict[str, str]:
             SELECT review_id, {whole('review_score')} AS old_score, {whole('review_score - 1')} AS new_score,
                    TIMESTAMP '2002-01-01' AS changed_at
             FROM fact_reviews WHERE answer_latency_days > 5 AND review_score > 1""",
+        "change_audit_ranged": f"""
+            SELECT review_id, {whole('review_score')} AS old_score, {whole('review_score - 1')} AS new_score,
+                   TIMESTAMP '2002-01-01' AS changed_at
+            FROM fact_reviews WHERE answer_latency_days > 5 AND review_score > 1""",
         "cancel_orders": """
             SELECT CASE WHEN o.order_status = 'created' AND p.order_id IS NULL THEN 'canceled' ELSE o.order_status END AS order_status,
                    count(*) AS orders

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from mercato.functions.columns import as_timestamp, mean, money, ratio, real, rounded, whole
 from mercato.operators.clean import augment_date_parts, normalise_place
-from mercato.operators.rfm import rfm_metrics, rfm_scores
+from mercato.operators.months import Measure, MonthlyState
 from mercato.operators.skew import salted_join
 from mercato.plans.basics import paid
 from mercato.plans.registry import query
 from mercato.plans.warehouse import Warehouse
+from mercato.session import scratch_path
 
 
 @query("dim_customers")
@@ -203,8 +204,46 @@ def category_performance_mart(wh: Warehouse) -> DataFrame:
 @query("mart_customer_rfm")
 def customer_rfm_mart(wh: Warehouse) -> DataFrame:
     """Every person counts here; without a payment ``monetary`` is NULL and ranks last."""
-    metrics = rfm_metrics(wh.buyers, wh.latest_purchase(), keep_unpaid=True)
-    return rfm_scores(metrics).withColumn("monetary", rounded("monetary"))
+    return wh.rfm_everyone.withColumn("monetary", rounded("monetary"))
+
+
+# What ``buyers`` holds, in a form that months can be added to.
+BUYER_MEASURES = (
+    Measure("orders", "count", "true"),
+    Measure("paid_orders", "count", "payment_value is not null"),
+    Measure("spent", "sum", "payment_value"),
+    Measure("first_purchase", "min", "order_purchase_timestamp"),
+    Measure("last_purchase", "max", "order_purchase_timestamp"),
+    Measure("last_paid_purchase", "max", "if(payment_value is not null, order_purchase_timestamp, null)"),
+    Measure("review_sum", "sum", "review_sum"),
+    Measure("review_scored", "sum", "review_scored"),
+)
+
+
+def buyer_state(wh: Warehouse, path: str) -> MonthlyState:
+    """The figures of ``buyers`` as partial states per month of purchase."""
+    return MonthlyState(wh.spark, path, "order_month", ["customer_unique_id"], BUYER_MEASURES)
+
+
+@query("mart_buyers_by_month")
+def merged_buyers(wh: Warehouse) -> DataFrame:
+    """``buyers`` from monthly states: all months but the last at first, then the last one alone."""
+    state = buyer_state(wh, scratch_path(wh.spark, "buyer-state"))
+    known = wh.sales.filter(F.col("customer_unique_id").isNotNull())
+    last = F.broadcast(known.agg(F.max("order_month").alias("_last")))
+    marked = known.crossJoin(last)
+    newest = F.coalesce(F.col("order_month") == F.col("_last"), F.lit(False))
+    state.put(marked.filter(~newest))
+    state.put(marked.filter(newest))
+    return state.merged().select(
+        "customer_unique_id",
+        whole("orders").alias("orders"),
+        whole("paid_orders").alias("paid_orders"),
+        rounded("spent").alias("spent"),
+        as_timestamp("first_purchase").alias("first_purchase"),
+        as_timestamp("last_purchase").alias("last_purchase"),
+        whole("review_sum").alias("review_sum"),
+    )
 
 
 @query("vw_order_facts")

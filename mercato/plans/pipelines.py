@@ -19,7 +19,7 @@ from mercato.functions.columns import (
     rounded,
     whole,
 )
-from mercato.operators.changes import cancel_orders, change_audit
+from mercato.operators.changes import RangedSnapshot, cancel_orders, change_audit, change_audit_ranged
 from mercato.operators.clean import (
     augment_date_parts,
     clean_strings,
@@ -41,6 +41,7 @@ from mercato.plans.registry import query
 from mercato.plans.reports import monthly_orders_extract
 from mercato.plans.warehouse import Warehouse
 from mercato.session import scratch_path
+from mercato.sources.publish import read_published
 from mercato.sources.readers import read_csv, read_parquet, read_table, register_staging
 from mercato.sources.sinks import (
     export_csv,
@@ -181,8 +182,12 @@ def csv_extract(wh: Warehouse) -> DataFrame:
 
 @query("refresh_snapshot")
 def monthly_snapshot(wh: Warehouse) -> DataFrame:
-    path = refresh_snapshot(monthly_revenue_view(wh), scratch_path(wh.spark, "snapshot"))
-    return read_parquet(wh.spark, path).select(
+    """Published twice, first without its last month; readers have the second version."""
+    monthly, path = monthly_revenue_view(wh), scratch_path(wh.spark, "snapshot")
+    last = monthly.agg(F.max("order_month").alias("last"))
+    refresh_snapshot(monthly.join(F.broadcast(last), monthly["order_month"] < last["last"]).drop("last"), path)
+    refresh_snapshot(monthly, path)
+    return read_published(wh.spark, path).select(
         as_timestamp("order_month").alias("order_month"),
         "orders",
         "revenue",
@@ -397,15 +402,17 @@ def customer_rfm_function(wh: Warehouse) -> DataFrame:
     )
 
 
-@query("change_audit")
-def review_audit(wh: Warehouse) -> DataFrame:
-    """A new snapshot in which reviews answered after more than five days lose a point."""
+def review_snapshots(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Reviews, and a new snapshot in which those answered after more than five days lose a point."""
     old = wh.fact_reviews.select("review_id", "review_score", "answer_latency_days")
     lowered = F.when(
         F.col("answer_latency_days") > 5, F.greatest(F.col("review_score") - 1, F.lit(1))
     ).otherwise(F.col("review_score"))
-    new = old.withColumn("review_score", lowered)
-    return change_audit(old, new, "review_id", "review_score", AS_OF).select(
+    return old, old.withColumn("review_score", lowered)
+
+
+def _audited(audit: DataFrame) -> DataFrame:
+    return audit.select(
         "review_id",
         whole("old_value").alias("old_score"),
         whole("new_value").alias("new_score"),
@@ -413,6 +420,21 @@ def review_audit(wh: Warehouse) -> DataFrame:
     )
 
 
+@query("change_audit")
+def review_audit(wh: Warehouse) -> DataFrame:
+    return _audited(change_audit(*review_snapshots(wh), "review_id", "review_score", AS_OF))
+
+
+@query("change_audit_ranged", ranges=64)
+def ranged_review_audit(wh: Warehouse, ranges: int) -> DataFrame:
+    """The same from stored snapshots, whose checksums tell which ranges have to be read."""
+    old, new = (
+        RangedSnapshot.store(df, scratch_path(wh.spark, f"reviews-{i}"), "review_id", ranges)
+        for i, df in enumerate(review_snapshots(wh))
+    )
+    return _audited(change_audit_ranged(old, new, "review_score", AS_OF))
+
+
 @query("cancel_orders")
 def canceled_orders(wh: Warehouse) -> DataFrame:
     """Orders that were created but never paid become canceled; counts per status."""

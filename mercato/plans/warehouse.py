@@ -268,6 +268,15 @@ class Warehouse:
             "rfm", lambda: rfm_scores(rfm_metrics(self.buyers, self.latest_purchase())), keep=True
         )
 
+    @property
+    def rfm_everyone(self) -> DataFrame:
+        """The same over every person, also those without a payment."""
+        return self._once(
+            "rfm_everyone",
+            lambda: rfm_scores(rfm_metrics(self.buyers, self.latest_purchase(), keep_unpaid=True)),
+            keep=True,
+        )
+
     @property
     def customer_totals(self) -> DataFrame:
         """One row per known customer: person, place, orders and spend (zero without orders)."""

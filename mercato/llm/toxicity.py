@@ -14,7 +14,6 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,19 +32,37 @@ CONTRAST_WORDS = 600
 UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3041, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
 
 
-@cache
-def kinds() -> np.ndarray:
+class Kinds:
     """Of every code point: 1 in a word (letters, marks, digits), 2 a word with the next one of its kind, 0 a break.
 
     Kind 2 is letters of unspaced scripts, and what else beyond ASCII is neither punctuation nor space.
+    Blocks of 256 are looked up when a text first has one.
     """
-    major = np.array([unicodedata.category(chr(c))[0] for c in range(0x110000)])
-    out = np.isin(major, ["L", "M", "N"]).astype(np.uint8)
-    for low, high in UNSPACED:
-        out[low : high + 1] *= 2
-    other = np.flatnonzero(np.isin(major, ["S", "C"]))
-    out[other[other >= 160]] = 2
-    return out
+
+    def __init__(self) -> None:
+        self.kind, self.known = np.zeros(0x110000, dtype=np.uint8), np.zeros(0x1100, dtype=bool)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        used = np.flatnonzero(np.bincount(codes >> 8, minlength=len(self.known)))
+        for block in used[~self.known[used]].tolist():
+            for c in range(block << 8, (block + 1) << 8):
+                major = unicodedata.category(chr(c))[0]
+                if major in "LMN":
+                    self.kind[c] = 2 if any(low <= c <= high for low, high in UNSPACED) else 1
+                elif major in "SC" and c >= 160:
+                    self.kind[c] = 2
+            self.known[block] = True
+        return self.kind[codes]
+
+
+# Made once per task and worker, by ``kinds_of``.
+KINDS: list[Kinds] = []
+
+
+def kinds_of(codes: np.ndarray) -> np.ndarray:
+    if not KINDS:
+        KINDS.append(Kinds())
+    return KINDS[0].of(codes)
 
 
 def code_points(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -74,7 +91,7 @@ def codes_of(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.
     first = (data & 0xC0) != 0x80
     first[offsets[offsets < n]] = True
     at = np.flatnonzero(first)
-    kind = kinds()[code_points(data, at)]
+    kind = kinds_of(code_points(data, at))
     # Whether a character goes on with the kind of the one before, in the same text.
     on = np.zeros(len(at) + 1, dtype=bool)
     on[1:-1] = kind[1:] == kind[:-1]
@@ -206,9 +223,15 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id",
             fine = np.flatnonzero(~bad[first]) if len(first) else first
             raw = wide(codes)
             made = [raw[16 * i : 16 * i + 16] for i in hit] + [raw[16 * first[i] : 16 * end[i]] for i in fine]
-            yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), pa.array([1] * len(hit) + [0] * len(fine), pa.int32())], names=["window", "bad"])
-
-    cut = sample.mapInArrow(windows, "window binary, bad int").withColumn("_at", F.xxhash64("window", F.monotonically_increasing_id()))
+            text = np.repeat(np.arange(batch.num_rows), counts)
+            of = np.concatenate([text[hit], owner[fine]]).astype(np.int64)
+            place = np.concatenate([hit, first[fine]]) - (np.cumsum(counts) - counts)[of]
+            kind = pa.array([1] * len(hit) + [0] * len(fine), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("_key").take(pa.array(of)), pa.array(place, pa.int64()), pa.array(made, pa.binary()), kind], names=["_key", "_place", "window", "bad"])
+
+    # Chosen by key and place in the text, however the rows are partitioned.
+    placed = sample.select("_key").schema.add("_place", "long").add("window", "binary").add("bad", "integer")
+    cut = sample.mapInArrow(windows, placed).withColumn("_at", F.xxhash64("_key", "_place", "window"))
     some = {v: [bytes(r["window"]) for r in cut.where(F.col("bad") == v).orderBy("_at", "window").limit(SAMPLE_WINDOWS).collect()] for v in (0, 1)}
     ordinary = trained(some[0], 16384)
     toxic = ordinary + trained([w * 2 for w in some[1]], max(1024, 20 * len(contrast)))

@@ -1,17 +1,18 @@
-"""Repeated byte strings by a partitioned enhanced suffix array.
+"""Repeated byte strings by a partitioned enhanced suffix array and its tree of intervals.
 
 Suffixes whose first ``least`` bytes occur twice are wanted. Each such stretch names an anchor by
 its content: the position of the smallest hash of its half-length strings. Equal stretches have equal
 anchors at equal places, so
 
-1. anchors are counted, and only stretches whose anchor occurs twice go on;
-2. the suffixes of one anchor are dealt out by the anchor's hash, with as much text as they need;
-   a task ships equal pieces once;
-3. each part sorts its suffixes by the hash of their first ``least`` bytes; those with an equal
-   neighbour are repeats. Removal needs no more than that.
-
-Only ``maximal_repeats`` takes common prefixes and scans them with a stack into the tree of
-intervals; it counts lengths no further than the pieces go. No query or stage calls it.
+1. texts that occur more than once are repeats as a whole; one of each goes on;
+2. anchors are counted, and only stretches whose anchor occurs twice go on;
+3. the suffixes of one anchor are dealt out by the anchor's hash, with as much text as they need;
+   a block of texts ships equal pieces once and keeps the list of its places to itself;
+4. each part sorts its suffixes, takes the common prefixes of neighbours and scans them with a stack
+   into intervals. An interval whose occurrences follow different bytes is a maximal repeat; one
+   whose occurrences all follow the same byte belongs to a longer one that begins earlier, unless a
+   piece begins there. The bytes under the occurrences of these intervals are the repeated ones;
+5. every block gets the answers for its distinct pieces as one list and lays them on its texts.
 
 An anchor of very many places isn't dealt to one part: its stretches are compared by their hashes,
 which are summed before they are shuffled and spread evenly.
@@ -24,9 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from mercato.llm.ragged import Powers, Rolling, binary, blocks, flat, give_back
+from mercato.llm.ragged import Powers, Rolling, blocks, flat, lean
 from mercato.llm.tables import attach, drop, stage
 
 LEAST = 400
@@ -71,7 +73,10 @@ def keyed(docs: DataFrame, text: str, *more: str) -> DataFrame:
 
 
 def repeated(texts: DataFrame, least: int) -> DataFrame:
-    """_key and the byte ranges [_from, _to) covered by stretches of ``least`` bytes that also start elsewhere."""
+    """_key and the byte ranges [_from, _to) covered by stretches of ``least`` bytes that also start elsewhere.
+
+    ``texts`` has every text of at least ``least`` bytes once.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -80,48 +85,33 @@ def repeated(texts: DataFrame, least: int) -> DataFrame:
             keys = batch.column("_key").take(pa.array(text))
             yield pa.RecordBatch.from_arrays([keys, pa.array(_nth(text), pa.int32()), pa.array(gram.view(np.int64))], names=["_key", "nth", "anchor"])
 
-    long_ = texts.where(F.octet_length("_text") >= least)
-    found = stage(long_.mapInArrow(find, "_key binary, nth int, anchor long"), "anchors")
+    found = stage(texts.mapInArrow(find, "_key binary, nth int, anchor long"), "anchors")
     often = stage(found.groupBy("anchor").agg(F.count("*").alias("places")).where("places > 1"), "anchors-shared")
     # A text's list has the numbers of its shared anchors, doubled, plus 1 for a crowded one.
     code = 2 * F.col("nth") + (F.col("places") > CROWDED).cast("int")
     lists = found.join(often, "anchor").groupBy("_key").agg(F.array_sort(F.collect_set(code)).alias("codes"))
     lists = stage(lists, "anchor-lists")
     drop(found, often)
-    wanted = attach(long_, lists, ["_key"], "inner", _rows_by_bytes(lists, "codes", 4))
-    cut = stage(wanted.mapInArrow(_cutter(least), "_key binary, first int, owned int, piece long, anchor long, copies long, text binary, hashes binary"), "pieces")
+    wanted = attach(texts, lists, ["_key"], "inner", _rows_by_bytes(lists, "codes", 4))
+    schema = ", ".join(f"{c} {k}" for c, k in zip(CUT, ("long", "long", "long", "long", "long", "int", "binary", "array<binary>", *["binary"] * 5), strict=True))
+    cut = stage(wanted.mapInArrow(_cutter(least), schema), "pieces")
 
-    pieces = cut.where("text is not null").select("piece", "anchor", "copies", "owned", "text")
+    pieces = cut.where("text is not null").select("chunk", "piece", "anchor", "copies", "owned", "text")
     total = pieces.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(total // PART_BYTES) + 1
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
-    runs = dealt.groupBy("part").applyInArrow(lambda table: _runs_of_part(table, least), "piece long, begin int, end int")
-    back = cut.where("_key is not null and piece is not null").select("_key", "first", "piece").join(runs, "piece")
-    ranges = back.select("_key", (F.col("first") + F.col("begin")).alias("first"), (F.col("first") + F.col("end")).alias("last"))
-
-    crowd = cut.where("hashes is not null").select("_key", "first", "hashes")
-    counted = cut.where("_key is null and text is null").select("piece", "copies").groupBy("piece").agg(F.sum("copies").alias("n")).where("n > 1").select("piece")
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [np.frombuffer(x.as_py(), dtype=np.int64) for x in batch.column("hashes")]
-            size = np.array([len(v) for v in values], dtype=np.int64)
-            row = np.repeat(np.arange(len(size)), size)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            at = batch.column("first").to_numpy()[row] + step
-            yield pa.RecordBatch.from_arrays([batch.column("_key").take(pa.array(row)), pa.array(at, pa.int32()), pa.array(np.concatenate(values) if values else np.zeros(0, np.int64))], names=["_key", "first", "piece"])
-
-    single = crowd.mapInArrow(spread, "_key binary, first int, piece long").join(counted, "piece").select("_key", "first", F.col("first").alias("last"))
-    out = ranges.unionByName(single).groupBy("_key").agg(F.collect_set(F.struct("first", "last")).alias("s"))
-    out = out.select("_key", F.col("s.first").alias("first"), F.col("s.last").alias("last"))
-
-    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [spans(np.array(a, np.int64), np.array(b, np.int64), least) for a, b in zip(batch.column("first").to_pylist(), batch.column("last").to_pylist(), strict=True)]
-            made = [pa.array([x[k].tolist() for x in found], pa.list_(pa.int32())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), *made], names=["_key", "_from", "_to"])
-
-    out = stage(out.mapInArrow(together, "_key binary, _from array<int>, _to array<int>"), "repeat-lists")
+    dealt = pieces.drop("chunk").withColumn("part", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
+    runs = dealt.groupBy("part").applyInArrow(lean(lambda table: _runs_of_part(table, least)), "piece long, begin int, end int")
+    crowd = cut.where("hash is not null").select("chunk", F.col("hash").alias("piece"), "copies")
+    counted = crowd.groupBy("piece").agg(F.sum("copies").alias("n")).where("n > 1").select("piece")
+
+    # What is repeated of each block's distinct pieces and crowded stretches: one list per block.
+    answers = pieces.select("chunk", "piece").join(runs, "piece").select("chunk", "piece", "begin", "end")
+    lone = crowd.join(counted, "piece").select("chunk", "piece", F.lit(-1).alias("begin"), F.lit(-1).alias("end"))
+    told = answers.unionByName(lone).groupBy("chunk").agg(F.collect_list(F.struct("piece", "begin", "end")).alias("l"))
+    told = told.select("chunk", *[F.col(f"l.{c}").alias(c) for c in ("piece", "begin", "end")])
+    places = cut.where("keys is not null").select("chunk", "keys", "doc", "first", "at", "crowd_doc", "crowd_at")
+    laid = places.join(told, "chunk").mapInArrow(_laid(least), "_key binary, _from array<int>, _to array<int>")
+    out = stage(laid, "repeat-lists")
     drop(cut)
     return out
 
@@ -137,16 +127,20 @@ def _rows_by_bytes(lists: DataFrame, column: str, width: int) -> int:
     return rows if rows * 60 + (items or 0) * width <= LIST_BYTES else 1 << 60
 
 
+# One row per distinct piece, or crowded stretch, of a block; and one per block with its places.
+CUT = ["chunk", "piece", "anchor", "copies", "hash", "owned", "text", "keys", "doc", "first", "at", "crowd_doc", "crowd_at"]
+
+
 def _cutter(least: int):
-    """Pieces of text for shared anchors: one row per place, and one per distinct piece of a block."""
-    names = ["_key", "first", "owned", "piece", "anchor", "copies", "text", "hashes"]
-    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    """Pieces of text for the shared anchors of each block of texts, and where the block has them."""
+    kinds = [*[pa.int64()] * 5, pa.int32(), pa.binary(), pa.list_(pa.binary()), *[pa.binary()] * 5]
 
     def rows(n: int, **made: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([made[c].cast(k) if c in made else pa.nulls(n, k) for c, k in zip(names, kinds, strict=True)], names=names)
+        return pa.RecordBatch.from_arrays([made[c].cast(k) if c in made else pa.nulls(n, k) for c, k in zip(CUT, kinds, strict=True)], names=CUT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
+        powers, chunk = Powers(), TaskContext.get().partitionId() << 32
+        one = lambda x, kind: pa.array([np.asarray(x).astype(kind).tobytes()], pa.binary())
         for batch in blocks(batches, text="_text"):
             data, offsets = flat(batch.column("_text"))
             rolling = Rolling(data, powers)
@@ -158,24 +152,59 @@ def _cutter(least: int):
             lo, hi = offsets[doc] + first, offsets[doc] + last + least
             before = np.where(first > 0, data[np.maximum(lo - 1, 0)], 0).astype(np.uint64) + (first > 0).astype(np.uint64)
             piece = (rolling.of(lo, hi) + before * np.uint64(0x9E3779B97F4A7C15) + (hi - lo).astype(np.uint64)).view(np.int64)
-            few = np.flatnonzero(~crowded)
+            few, many = np.flatnonzero(~crowded), np.flatnonzero(crowded)
             if len(few):
-                yield rows(len(few), _key=batch.column("_key").take(pa.array(doc[few])), first=pa.array(first[few]), piece=pa.array(piece[few]))
-                value, one, copies = np.unique(piece[few], return_index=True, return_counts=True)
-                at = few[one]
+                value, each, copies = np.unique(piece[few], return_index=True, return_counts=True)
+                at = few[each]
                 raw = data.tobytes()
                 # The byte before comes first; the start of a text has none.
                 text = [bytes([int(before[i] > 0)]) + raw[max(lo[i] - 1, 0) : lo[i]][: int(before[i] > 0)].rjust(1, b"\0") + raw[lo[i] : hi[i]] for i in at]
-                yield rows(len(at), piece=pa.array(value), anchor=pa.array(anchor[at]), copies=pa.array(copies), owned=pa.array((last - first + 1)[at]), text=pa.array(text, pa.binary()))
-            many = np.flatnonzero(crowded)
+                yield rows(len(at), chunk=pa.array([chunk] * len(at)), piece=pa.array(value), anchor=pa.array(anchor[at]), copies=pa.array(copies), owned=pa.array((last - first + 1)[at]), text=pa.array(text, pa.binary()))
+            size = (last - first + 1)[many]
+            start = np.repeat(lo[many] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            hashes = rolling.of(start, start + least).view(np.int64) if len(start) else start
             if len(many):
-                size = (last - first + 1)[many]
-                at = np.repeat(lo[many] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                hashes = rolling.of(at, at + least).view(np.int64)
-                split = np.split(hashes, np.cumsum(size)[:-1])
-                yield rows(len(many), _key=batch.column("_key").take(pa.array(doc[many])), first=pa.array(first[many]), hashes=binary(split))
                 value, copies = np.unique(hashes, return_counts=True)
-                yield rows(len(value), piece=pa.array(value), copies=pa.array(copies))
+                yield rows(len(value), chunk=pa.array([chunk] * len(value)), hash=pa.array(value), copies=pa.array(copies))
+            whose = np.repeat(doc[many], size)
+            yield rows(
+                1, chunk=pa.array([chunk]), keys=pa.array([batch.column("_key").to_pylist()], pa.list_(pa.binary())),
+                doc=one(doc[few], np.int32), first=one(first[few], np.int32), at=one(piece[few], np.int64),
+                crowd_doc=one(np.stack([whose, start - offsets[whose]]) if len(start) else whose, np.int32), crowd_at=one(hashes, np.int64),
+            )
+            chunk += 1
+
+    return run
+
+
+def _laid(least: int):
+    """The answers for a block's pieces, put where its texts have these pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                take = lambda name, kind: np.frombuffer(batch.column(name)[i].as_py(), kind)  # noqa: B023, E731
+                piece, begin, end = (batch.column(c)[i].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("piece", "begin", "end"))
+                run_ = begin >= 0
+                order = np.argsort(piece[run_], kind="stable")
+                known, begin, end = piece[run_][order], begin[run_][order], end[run_][order]
+                at, first = take("at", np.int64), take("first", np.int32)
+                low, high = np.searchsorted(known, at), np.searchsorted(known, at, "right")
+                n = high - low
+                row = np.repeat(np.arange(len(at)), n)
+                which = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+                crowd = np.unique(piece[~run_])
+                hashes, pair = take("crowd_at", np.int64), take("crowd_doc", np.int32).reshape(2, -1)
+                hit = np.flatnonzero(np.isin(hashes, crowd))
+                doc = np.concatenate([take("doc", np.int32)[row], pair[0][hit]])
+                a = np.concatenate([first[row] + begin[which], pair[1][hit]])
+                b = np.concatenate([first[row] + end[which], pair[1][hit]])
+                order = np.argsort(doc, kind="stable")
+                docs, begins = np.unique(doc[order], return_index=True)
+                cuts = [spans(a[x], b[x], least) for x in np.split(order, begins[1:])] if len(docs) else []
+                keys = batch.column("keys")[i].values.take(pa.array(docs, pa.int64()))
+                made = [pa.array([c[k].tolist() for c in cuts], pa.list_(pa.int32())) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([keys, *made], names=["_key", "_from", "_to"])
 
     return run
 
@@ -184,74 +213,88 @@ class SuffixArray:
     """Suffixes of the pieces of one part, sorted, with common prefixes of neighbours.
 
     Suffixes are ordered by the hash of their first ``least`` bytes and then by the bytes that
-    follow, which keeps equal beginnings together like the alphabetic order does. ``common`` is the
-    length of the prefix shared with the one before if that is ``least`` or more, else 0; it
-    counts no further than the shorter piece.
+    follow, which keeps equal beginnings together like the alphabetic order does. Only groups that
+    a scan needs are put in order: those whose members follow different bytes, or of which one
+    begins its piece. ``common`` is the length of the prefix shared with the one before if that is
+    ``least`` or more, else 0; it counts no further than the shorter piece.
     """
 
     def __init__(self, texts: list[bytes], owned: np.ndarray, least: int) -> None:
-        self.owned = owned
-        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        self.owned, self.least = owned, least
+        self.raw = b"".join(texts)
+        data = np.frombuffer(self.raw, dtype=np.uint8)
         base = np.cumsum([0, *map(len, texts)])
         self.piece = np.repeat(np.arange(len(texts)), owned)
         self.step = np.arange(len(self.piece)) - np.repeat(np.cumsum(owned) - owned, owned)
-        at = base[self.piece] + 2 + self.step
+        self.at = base[self.piece] + 2 + self.step
+        self.room = base[self.piece + 1] - self.at
         inner = self.step > 0
-        self.before = np.where(inner | (data[base[self.piece]] > 0), data[at - 1].astype(np.int64), -1 - self.piece)
-        rolling = Rolling(data, Powers())
-        key = rolling.of(at, at + least)
-        self.order = np.argsort(key, kind="stable")
-        key = key[self.order]
-        self.same = np.zeros(len(key) + 1, dtype=bool)
-        self.same[1:-1] = key[1:] == key[:-1]
-        self.at, self.room, self.rolling, self.least = at, base[self.piece + 1] - at, rolling, least
-
-    def repeated(self) -> np.ndarray:
-        """Which suffixes share their first bytes with another one."""
-        out = np.empty(len(self.order), dtype=bool)
-        out[self.order] = self.same[:-1] | self.same[1:]
-        return out
-
-    def intervals(self) -> list[tuple[int, int, int]]:
-        """Maximal repeats: (length, first, last) in suffix order, from the tree of intervals.
-
-        A top interval whose occurrences all follow one byte belongs to a longer repeat that
-        starts earlier, so the scan goes through the others only.
-        """
-        size = np.diff(np.append(np.flatnonzero(~self.same[:-1]), len(self.order)))
-        begin = np.cumsum(size) - size
-        if not len(begin):
-            return []
-        left = self.before[self.order]
-        mixed = (np.minimum.reduceat(left, begin) != np.maximum.reduceat(left, begin)) & (size > 1)
-        out: list[tuple[int, int, int]] = []
-        for a, n in zip(begin[mixed].tolist(), size[mixed].tolist(), strict=True):
-            b = a + n
-            members = sorted(self.order[a:b].tolist(), key=self._rest)
-            self.order[a:b] = members
-            depths = [self._common(x, y) for x, y in zip(members, members[1:], strict=False)]
-            stack: list[list[int]] = []
-            for i, depth in enumerate([*depths, 0]):
-                low = i
-                while stack and stack[-1][0] > depth:
-                    d, low = stack.pop()
-                    if len({int(self.before[self.order[a + j]]) for j in range(low, i + 1)}) > 1:
-                        out.append((d, a + low, a + i))
-                if not stack or stack[-1][0] < depth:
-                    stack.append([depth, low])
-        return out
+        self.before = np.where(inner | (data[base[self.piece]] > 0), data[self.at - 1].astype(np.int64), -1 - self.piece)
+        self.rolling = Rolling(data, Powers())
+        key = self.rolling.of(self.at, self.at + least)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.append(begin, len(key)))
+        if len(begin):
+            left = self.before[order]
+            mixed = np.minimum.reduceat(left, begin) != np.maximum.reduceat(left, begin)
+            head = np.minimum.reduceat(self.step[order], begin) == 0
+            wanted = (size > 1) & (mixed | head)
+            begin, size = begin[wanted], size[wanted]
+        for a, n in zip(begin[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+            order[a : a + n] = sorted(order[a : a + n].tolist(), key=self._rest)
+        keep = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        self.order = order[keep]
+        self.common = np.zeros(len(self.order) + 1, dtype=np.int64)
+        first = np.zeros(len(self.order), dtype=bool)
+        first[np.cumsum(size) - size] = True
+        pair = np.flatnonzero(~first)
+        self.common[pair] = self._common(self.order[pair - 1], self.order[pair])
 
     def _rest(self, s: int) -> bytes:
-        return self.text(s)[self.least :]
-
-    def text(self, s: int) -> bytes:
-        return self.rolling_data[self.at[s] : self.at[s] + self.room[s]]
-
-    def _common(self, x: int, y: int) -> int:
-        a, b = self.text(x), self.text(y)
-        n = min(len(a), len(b))
-        diff = np.flatnonzero(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n))
-        return int(diff[0]) if len(diff) else n
+        at = int(self.at[s])
+        return self.raw[at + self.least : at + int(self.room[s])]
+
+    def text(self, s: int, length: int) -> bytes:
+        return self.raw[int(self.at[s]) : int(self.at[s]) + length]
+
+    def _common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Lengths of the common prefixes, ``least`` bytes being equal, by bisection on hashes."""
+        low, high = np.full(len(x), self.least), np.minimum(self.room[x], self.room[y])
+        while (open_ := low < high).any():
+            half = (low + high + 1) >> 1
+            same = self.rolling.of(self.at[x], self.at[x] + half) == self.rolling.of(self.at[y], self.at[y] + half)
+            low, high = np.where(open_ & same, half, low), np.where(open_ & ~same, half - 1, high)
+        return low
+
+    def intervals(self) -> Iterator[tuple[int, int, int, bool]]:
+        """(length, first, last, maximal) in suffix order, by a stack over the common prefixes.
+
+        Intervals whose occurrences all follow one byte are left out, because a longer repeat that
+        starts earlier has them, unless one of them begins its piece: these come as not maximal.
+        """
+        left = self.before[self.order]
+        changes = np.concatenate([[0, 0], np.cumsum(left[1:] != left[:-1])]) if len(left) else np.zeros(1, np.int64)
+        heads = np.concatenate([[0], np.cumsum(self.step[self.order] == 0)])
+        stack: list[tuple[int, int]] = []
+        for i, depth in enumerate(self.common.tolist()):
+            low = i - 1
+            while stack and stack[-1][0] > depth:
+                length, low = stack.pop()
+                diverse = bool(changes[i] > changes[low + 1])
+                if diverse or heads[i] > heads[low]:
+                    yield length, low, i - 1, diverse
+            if depth and (not stack or stack[-1][0] < depth):
+                stack.append((depth, low))
+
+    def covered(self) -> tuple[np.ndarray, np.ndarray]:
+        """Suffixes that occur in an interval, and the longest length they have in one."""
+        length = np.zeros(len(self.order), dtype=np.int64)
+        for depth, low, high, _ in self.intervals():
+            np.maximum(length[low : high + 1], depth, out=length[low : high + 1])
+        hit = np.flatnonzero(length)
+        return self.order[hit], length[hit]
 
 
 def _distinct(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
@@ -262,19 +305,22 @@ def _distinct(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list
 
 
 def _runs_of_part(table: pa.Table, least: int) -> pa.Table:
-    """Runs of repeated suffixes in each distinct piece."""
+    """Runs of starts [begin, end] of repeated stretches in each distinct piece."""
     piece, copies, owned, texts = _distinct(table)
     array = SuffixArray(texts, owned, least)
-    hit = array.repeated() | (copies > 1)[array.piece]
-    edge = np.zeros(len(hit) + 1, dtype=bool)
-    edge[np.cumsum(owned) - owned] = True
-    start = hit.copy()
-    start[1:] &= ~hit[:-1] | edge[1:-1]
-    end = hit.copy()
-    end[:-1] &= ~hit[1:] | edge[1:-1]
-    a, b = np.flatnonzero(start), np.flatnonzero(end)
-    give_back()
-    return pa.table({"piece": pa.array(piece[array.piece[a]]), "begin": pa.array(array.step[a], pa.int32()), "end": pa.array(array.step[b], pa.int32())})
+    suffix, length = array.covered()
+    many = np.flatnonzero(copies > 1)  # the piece itself is repeated
+    of = np.concatenate([array.piece[suffix], many])
+    begin = np.concatenate([array.step[suffix], np.zeros(len(many), np.int64)])
+    end = np.concatenate([array.step[suffix] + length - least, owned[many] - 1])
+    order = np.lexsort((begin, of))
+    of, begin, end = of[order], begin[order], end[order]
+    # Runs that touch or overlap are one: of one piece after the other, far apart.
+    far = of * (int(owned.max(initial=0)) + 2)
+    reach = np.maximum.accumulate(far + end) if len(of) else far
+    new = np.flatnonzero(np.concatenate([[True], (far + begin)[1:] > reach[:-1] + 1])) if len(of) else np.zeros(0, np.int64)
+    last = reach[np.append(new[1:], len(of)) - 1] - far[new] if len(of) else new
+    return pa.table({"piece": pa.array(piece[of[new]], pa.int64()), "begin": pa.array(begin[new], pa.int32()), "end": pa.array(last, pa.int32())})
 
 
 def spans(first: np.ndarray, last: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -288,9 +334,22 @@ def spans(first: np.ndarray, last: np.ndarray, least: int) -> tuple[np.ndarray,
 
 
 def covered(docs: DataFrame, least: int, text: str, *more: str) -> DataFrame:
-    """``docs`` rows with the ranges [_from, _to) of their repeated bytes (null if none)."""
+    """``docs`` rows with the ranges [_from, _to) of their repeated bytes (null if none).
+
+    A text that occurs more than once is repeated as a whole; one of each is compared with the others.
+    """
     texts = keyed(docs, text, *more)
-    lists = repeated(texts.select("_text", "_key"), least)
+    size = F.octet_length("_text")
+    long_ = texts.where(size >= least).select("_key", "_text")
+    copies = long_.groupBy("_key").agg(F.count("*").alias("_rows"), F.max(size).alias("_size")).where("_rows > 1")
+    copies = stage(copies, "copies")
+    marked = attach(long_, copies, ["_key"])
+    # Copies of a text are one before the shuffle, so a large group of them sends one from each task.
+    single = stage(marked.where("_rows is not null").groupBy("_key").agg(F.first("_text").alias("_text")), "copies-once")
+    lists = repeated(marked.where("_rows is null").select("_key", "_text").unionByName(single), least)
+    part = attach(lists, copies, ["_key"]).where("_rows is null").select("_key", "_from", "_to")
+    whole = copies.select("_key", F.array(F.lit(0)).alias("_from"), F.array("_size").alias("_to"))
+    lists = stage(part.unionByName(whole), "repeat-ranges")
     return attach(texts, lists, ["_key"], "left", _rows_by_bytes(lists, "_from", 8))
 
 
@@ -395,11 +454,12 @@ def maximal_repeats(docs: DataFrame, least: int = LEAST, key: str = "doc_id", te
         table = table.combine_chunks()
         bodies = table.column("text").to_pylist()
         array = SuffixArray(bodies, table.column("owned").to_numpy(), least)
-        array.rolling_data = b"".join(bodies)
         first = table.column("first").to_numpy()
         ids, lengths, rows, starts = [], [], [], []
-        for depth, low, high in array.intervals():
-            name = int.from_bytes(hashlib.blake2b(array.text(int(array.order[low]))[:depth], digest_size=8).digest(), "big", signed=True)
+        for depth, low, high, maximal in array.intervals():
+            if not maximal:
+                continue
+            name = int.from_bytes(hashlib.blake2b(array.text(int(array.order[low]), depth), digest_size=8).digest(), "big", signed=True)
             for s in array.order[low : high + 1].tolist():
                 ids.append(name), lengths.append(depth), rows.append(array.piece[s]), starts.append(int(first[array.piece[s]] + array.step[s]))
         keys = table.column("_id").take(pa.array(np.array(rows, dtype=np.int64)))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mercato.llm import contamination, jaccard, language, pieces, repeats
 from mercato.llm.queries import DROPOUT, SEED, tokenizer
-from mercato.llm.tables import attach, load, small_batches, stage
+from mercato.llm.tables import attach, drop, load, small_batches, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Belief in the best language below which no language is told; four equal ones have 0.25.
@@ -54,10 +54,11 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts every string of ``REPEAT_BYTES`` bytes that starts twice in the corpus out of all texts.
 
-    All rows stay, with empty text if nothing is left; n_chars is that of the new text.
+    A row of which nothing is left goes; null and empty texts stay as they are. n_chars is that of the new text.
     """
     small_batches(spark)
-    cut = repeats.strip_repeats(docs.select(*COLUMNS), REPEAT_BYTES)
+    before = F.coalesce(F.octet_length("text"), F.lit(0)).alias("_bytes")
+    cut = repeats.strip_repeats(docs.select(*COLUMNS, before), REPEAT_BYTES).where("_bytes = 0 or text <> ''")
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*COLUMNS)
 
 
@@ -86,9 +87,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    docs, held = load(spark, sf_dir, "documents"), None
     for k, (_, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = stage(docs, f"pipeline-{k}")
+            if held is not None:
+                drop(held)  # the stage's input: nothing reads it any more
+            held = docs
     return docs

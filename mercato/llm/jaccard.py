@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +49,7 @@ def summarise(docs: DataFrame, fragments: int) -> DataFrame:
     A chunk ships each shingle once: with its owner, or as common if two of its classes hold it.
     """
 
-    def chunk(held: list, number: int) -> Iterator[pa.RecordBatch]:
+    def chunk(held: list, number: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
         values, counts, ids = (np.concatenate([h[k] for h in held]) for k in range(3))
         _, first = np.unique(ids, return_index=True)
         once = np.zeros(len(ids), dtype=bool)
@@ -79,28 +80,30 @@ def summarise(docs: DataFrame, fragments: int) -> DataFrame:
         cols = list(zip(*rows, strict=True))
         n = len(rows)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([number] * n, pa.int64()), pa.array(cols[0], pa.int32()), *map(binary, cols[1:])],
+            [pa.nulls(n, kind), pa.nulls(n, pa.int64()), pa.array([number] * n, pa.int64()), pa.array(cols[0], pa.int32()), *map(binary, cols[1:])],
             names=NAMES,
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, held, size, number = Powers(), [], 0, TaskContext.get().partitionId() << 32
         for batch in blocks(batches):
+            kind = batch.column("doc_id").type
             data, offsets = flat(batch.column("text"))
             words, counts, _, _ = word_hashes(data, offsets, powers)
             values, counts = shingles(words, counts, WORDS)
             ids = set_ids(values, counts)
             none = [pa.nulls(batch.num_rows, t) for t in (pa.int32(), *[pa.binary()] * 5)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(counts), pa.array(ids.view(np.int64)), *none], names=NAMES)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(ids.view(np.int64)), *none], names=NAMES)
             held.append((values, counts, ids))
             size += len(data)
             if size >= CHUNK:
-                yield from chunk(held, number) if sum(len(h[0]) for h in held) else ()
+                yield from chunk(held, number, kind) if sum(len(h[0]) for h in held) else ()
                 held, size, number = [], 0, number + 1
         if held and sum(len(h[0]) for h in held):
-            yield from chunk(held, number)
+            yield from chunk(held, number, kind)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, cid long, fragment int, ids binary, alone binary, shared binary, tokens binary, common binary")
+    kind_of = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {kind_of}, n_shingles long, cid long, fragment int, ids binary, alone binary, shared binary, tokens binary, common binary")
 
 
 NAMES = ["doc_id", "n_shingles", "cid", "fragment", "ids", "alone", "shared", "tokens", "common"]
@@ -175,7 +178,7 @@ def near_components(docs: DataFrame, percent: int = 75, key: str = "doc_id", tex
     rows are one class; a null key takes part in links, but names a component only if no
     member has a key. Shingles and sets are told apart by 64-bit hashes.
     """
-    slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    slim = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = int(total // FRAGMENT_BYTES) + 1
     made = summarise(slim, fragments).withColumn("kind", F.col("fragment").isNotNull().cast("int"))
@@ -265,16 +268,21 @@ def _in_blocks(both: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     member = bundle.join(comp, "cid", "left").select("cid", "bundle", F.coalesce("comp", "cid").alias("comp"))
     size = member.groupBy("bundle", "comp").agg(F.count("*").alias("size"))
     torn = size.groupBy("bundle").agg(F.count("*").alias("comps"), F.sum(F.when(F.col("size") < BLOCK_ROWS, F.col("size")).otherwise(0)).alias("loose")).where("comps > 1")
-    member = member.join(size, ["bundle", "comp"]).join(torn, "bundle")
+    member = member.join(size, ["bundle", "comp"]).join(torn, "bundle").join(sets.select("cid", "n"), "cid")
     solid = F.when(F.col("size") >= BLOCK_ROWS, F.col("comp"))
-    rows = F.when(solid.isNotNull(), F.col("size")).otherwise(F.col("loose"))
-    number = F.pmod(F.xxhash64("cid"), F.ceil(rows / BLOCK_ROWS))
-    member = stage(member.select("cid", "bundle", "comp", solid.alias("solid"), F.xxhash64("bundle", solid, number).alias("block")), "members")
-    block = member.select("bundle", "solid", "block").distinct()
-    x = block.select("bundle", F.col("solid").alias("s1"), F.col("block").alias("b1"))
-    y = block.select("bundle", F.col("solid").alias("s2"), F.col("block").alias("b2"))
-    # Two blocks of one component have nothing left to find.
-    couples = x.join(y, "bundle").where("b1 <= b2 and not (s1 <=> s2 and s1 is not null)").select(F.xxhash64("b1", "b2").alias("couple"), "b1", "b2")
+    # Linked sets differ in size by the factor 100 / percent at most, so in bands of that factor by one band at most.
+    band = F.col("n") if percent >= 100 else F.floor(F.log("n") / math.log(100 / percent) + 1e-9)
+    member = stage(member.select("cid", "bundle", "comp", solid.alias("solid"), band.cast("long").alias("band")), "members")
+    rows = member.groupBy("bundle", "solid", "band").agg(F.count("*").alias("rows"))
+    rows = rows.select(F.col("bundle").alias("_b"), F.col("solid").alias("_s"), F.col("band").alias("_d"), "rows")
+    member = member.join(rows, (F.col("bundle") == F.col("_b")) & F.col("solid").eqNullSafe(F.col("_s")) & (F.col("band") == F.col("_d")))
+    number = F.pmod(F.xxhash64("cid"), F.ceil(F.col("rows") / BLOCK_ROWS))
+    member = stage(member.select("cid", "bundle", "comp", "solid", "band", F.xxhash64("bundle", "solid", "band", number).alias("block")), "blocks")
+    block = member.select("bundle", "solid", "band", "block").distinct()
+    x = block.select("bundle", F.col("solid").alias("s1"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("block").alias("b1"), F.col("band").alias("own"))
+    y = block.select("bundle", F.col("solid").alias("s2"), "band", F.col("block").alias("b2"))
+    # Two blocks of one component have nothing left to find; two of one band meet once.
+    couples = x.join(y, ["bundle", "band"]).where("(own < band or b1 <= b2) and not (s1 <=> s2 and s1 is not null)").select(F.xxhash64("b1", "b2").alias("couple"), "b1", "b2")
     sides = couples.select("couple", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("b1").alias("block")), F.struct(F.lit(1).alias("side"), F.col("b2").alias("block")))).alias("x"))
     sides = sides.select("couple", "x.side", "x.block")
     laid = sides.join(member.select("block", "cid", "comp"), "block").join(sets, "cid").select("couple", "side", "cid", "comp", "n", "tokens")

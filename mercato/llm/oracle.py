@@ -32,7 +32,8 @@ split AS (SELECT *, string_split(rule, '/')[1] AS rh, substr(rule, strpos(rule,
 fit AS (SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS said
      FROM f JOIN split ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
 marked AS (SELECT held, CASE WHEN max(toxic) = 1 OR min(quality) = 0 THEN 1 ELSE 0 END AS bad
-     FROM f JOIN labels ON doc_id = page_id GROUP BY page_id, held),
+     FROM f JOIN labels ON doc_id = page_id GROUP BY page_id, held
+     HAVING (max(toxic) = 1 OR min(quality) = 0) IS NOT NULL),
 least AS (SELECT greatest(5, ceil(count(*) * 0.005)) AS k FROM marked),
 sets AS (SELECT bad, unnest(range(1, CAST(1 << len(held) AS BIGINT))) AS mask, held FROM marked),
 subs AS (SELECT bad, list_sort(list_filter(held, lambda x, i: (mask >> CAST(i - 1 AS BIGINT)) & 1 = 1)) AS items FROM sets),

@@ -28,11 +28,11 @@ URL_POLICY = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/
 
 
 def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's label is that of its id in ``labels``: bad if toxic or of low quality."""
+    """A page's label is that of its id in ``labels``: bad if toxic or of low quality; unknown labels are left out."""
     pages = load(spark, sf_dir, "pages").select("page_id", "url")
     marked = load(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     bad = ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int")
-    labelled = pages.join(marked, "page_id").select("url", F.coalesce(bad, F.lit(0)).alias("bad"))
+    labelled = pages.join(marked, "page_id").select("url", bad.alias("bad"))
     return url_rules.judge(pages, URL_POLICY, labelled).drop("url")
 
 

@@ -107,7 +107,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], labelled: DataFram
         return told.select(*kept, "host", "path", "rule", F.coalesce("_said", F.lit("allow")).alias("verdict"), F.lit(False).alias("mined"))
     open_ = told.where(F.col("_said").isNull() & (F.col("host") != "")).select(F.col(url).alias("_url")).distinct()
     held = open_.select("_url", tokens(F.col("_url")).alias("_held"))
-    hits = held.withColumn("token", F.explode("_held")).join(mined, "token").where(F.size(F.array_except("rule", "_held")) == 0)
+    # The rules go to the tokens while their count allows it, so a token that most URLs hold stays where it is.
+    hits = attach(held.withColumn("token", F.explode("_held")), mined, ["token"], "inner").where(F.size(F.array_except("rule", "_held")) == 0)
     hits = stage(hits.select("_url").distinct().withColumn("_hit", F.lit(True)), "url-hits")
     out = attach(told.withColumn("_url", F.when(F.col("_said").isNull(), F.col(url))), hits, ["_url"])
     hit = F.coalesce("_hit", F.lit(False))

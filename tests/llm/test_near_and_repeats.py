@@ -206,3 +206,39 @@ def test_anchor_is_the_same_wherever_a_string_stands():
         k = next(i for i in range(len(doc)) if first[i] <= at <= last[i])
         found.append(int(gram[k]))
     assert len(set(found)) == 1
+
+
+def test_components_of_text_keys(spark):
+    """Keys keep their type; the smallest text names a component."""
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = {"b": base, "a": base + " more", "z": base, "é": "something else entirely of more words", None: base, "e": ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id string, text string").withColumn("n_shingles", F.lit(9)).withColumn("cid", F.lit(1))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_components(docs).collect()}
+    assert got == {"b": (56, "a"), "a": (57, "a"), "z": (56, "a"), "é": (2, "é"), None: (56, None), "e": (0, "e")}
+
+
+def test_bands_of_length_lose_no_link(spark, monkeypatch):
+    """Sets of all sizes that share one crowded shingle list; links sit right at the bound."""
+    monkeypatch.setattr(jaccard, "SHORT", 2)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 3)
+    common = [f"c{i}" for i in range(24)]
+    texts = []
+    for n in range(0, 40):
+        texts.append((n, " ".join([*common, *[f"t{n % 4}x{i}" for i in range(n // 3)]])))
+        texts.append((100 + n, " ".join([*[f"h{n}y{i}" for i in range(n)], *common])))
+    got = {r.doc_id: r.component_id for r in jaccard.near_components(documents(spark, texts)).collect()}
+    words = {i: t.split() for i, t in texts}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in words.items()}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    assert got == {i: find(i) for i in sets}

@@ -16,8 +16,11 @@ before every join on the order key, so an order with very many items adds one ro
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mercato.functions.columns import month_start
@@ -31,6 +34,9 @@ from mercato.sources.adapter import source_tables
 from mercato.sources.regions import state_regions
 
 
+MARTS = ("order_payments", "sales", "lines", "buyers", "buyer_months", "rfm", "product_classes")
+
+
 class Warehouse:
     """Star schema and marts over the nine (cleaned) source tables."""
 
@@ -39,6 +45,7 @@ class Warehouse:
         self._sources = sources
         self._built: dict[str, DataFrame] = {}
         self._pages: dict[str, Pages] = {}
+        self._guard, self._locks = threading.Lock(), {}
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Warehouse:
@@ -51,10 +58,14 @@ class Warehouse:
         return self._once(label, lambda: self._sources[name](*args), keep=False)
 
     def _once(self, name: str, build: Callable[[], DataFrame], keep: bool, lookup: str | None = None) -> DataFrame:
-        if name not in self._built:
-            frame = build()
-            self._built[name] = materialise(frame, name, lookup) if keep else frame
-        return self._built[name]
+        """Built by whoever asks first; others wait. A table asks only for those it is made of, so none waits in a circle."""
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:
+            if name not in self._built:
+                frame = build()
+                self._built[name] = materialise(frame, name, lookup) if keep else frame
+            return self._built[name]
 
     def pages(self, name: str, frame: Callable[[], DataFrame], order: Sequence[Order]) -> Pages:
         """A sorted list stored for paging, under a name that tells it from other lists."""
@@ -305,9 +316,14 @@ class Warehouse:
         return self._once("product_classes", build, keep=True)
 
     def build_marts(self) -> None:
-        """Build every mart now; otherwise each is built when a query first needs it."""
-        for mart in ("order_payments", "sales", "lines", "buyers", "buyer_months", "rfm", "product_classes"):
-            getattr(self, mart)
+        """Build every mart now; otherwise each is built when a query first needs it.
+
+        Marts that are not made of each other are built side by side, because the jobs of one
+        alone (samples, counts, small tables) leave most of a cluster idle.
+        """
+        build = inheritable_thread_target(self.spark)(lambda mart: getattr(self, mart))
+        with ThreadPoolExecutor(len(MARTS)) as pool:
+            list(pool.map(build, MARTS))
 
     def refresh(self) -> None:
         """Forget every table and mart, so that the next query reads the sources anew."""

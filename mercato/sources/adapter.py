@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from threading import Lock
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mercato.operators.clean import distinct_on
@@ -20,15 +23,24 @@ class SourceTables:
         self._spark = spark
         self._dir = base_dir.rstrip("/")
         self._kept: dict[str, DataFrame] = {}
+        self._building = {"clean-lines": Lock(), "customers": Lock()}
 
     def raw(self, table: str) -> DataFrame:
         if table not in self._kept:
             self._kept[table] = self._spark.read.parquet(f"{self._dir}/{table}.parquet")
         return self._kept[table]
 
+    def _stored(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Written once, by whichever thread asks first."""
+        with self._building[label]:
+            if label not in self._kept:
+                self._kept[label] = materialise(build(), label)
+            return self._kept[label]
+
     def _clean_lines(self) -> DataFrame:
         """Line items with one row per (order, line); both items and payments come from it."""
-        if "clean lines" not in self._kept:
+
+        def build() -> DataFrame:
             lines = self.raw("lineitem").select(
                 "l_orderkey",
                 "l_linenumber",
@@ -42,15 +54,13 @@ class SourceTables:
                 "l_returnflag",
                 "l_linestatus",
             )
-            deduped = distinct_on(lines, ["l_orderkey", "l_linenumber"])
-            self._kept["clean lines"] = materialise(deduped, "clean-lines")
-        return self._kept["clean lines"]
+            return distinct_on(lines, ["l_orderkey", "l_linenumber"])
+
+        return self._stored("clean-lines", build)
 
     def customers(self) -> DataFrame:
         """One customer row per order; the person is customer and order priority together."""
-        if "customers" not in self._kept:
-            self._kept["customers"] = materialise(self._join_customers(), "customers")
-        return self._kept["customers"]
+        return self._stored("customers", self._join_customers)
 
     def _join_customers(self) -> DataFrame:
         customer = self.raw("customer").select(

@@ -120,3 +120,28 @@ def test_replaced_files_are_seen_after_a_refresh(spark, tmp_path):
     shutil.copytree(tmp_path / "half", folder / "lineitem.parquet")
     assert average_order_value(open_warehouse(spark, str(folder))).first().aov == before
     assert average_order_value(open_warehouse(spark, str(folder), refresh=True)).first().aov != before
+
+
+def test_marts_are_built_once_side_by_side(spark, monkeypatch):
+    """Seven threads ask for marts that are made of each other; each table is written once."""
+    from collections import Counter
+
+    from mercato.plans import warehouse
+    from mercato.sources import adapter
+    from tests.conftest import DATA
+
+    written, write = Counter(), warehouse.materialise
+
+    def counted(frame, name, *more):
+        written[name] += 1
+        return write(frame, name, *more)
+
+    monkeypatch.setattr(warehouse, "materialise", counted)
+    monkeypatch.setattr(adapter, "materialise", counted)
+    wh = warehouse.Warehouse(spark, adapter.source_tables(spark, DATA))
+    wh.build_marts()
+    assert set(warehouse.MARTS) | {"clean-lines", "customers", "dim_products"} <= set(written)
+    assert set(written.values()) == {1}
+    one_by_one = warehouse.Warehouse(spark, adapter.source_tables(spark, DATA))
+    for name in warehouse.MARTS:
+        assert rows(getattr(wh, name)) == rows(getattr(one_by_one, name).select(getattr(wh, name).columns))

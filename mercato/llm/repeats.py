@@ -34,7 +34,6 @@ from mercato.llm.tables import attach, drop, stage
 LEAST = 400
 PART_BYTES = 2 << 20  # of suffix text in one part; its arrays take some forty times as much
 CROWDED = 20_000  # places of one anchor beyond which its stretches go by hash
-LIST_BYTES = 16 << 20  # of lists that go to every executor; larger ones are joined by a shuffle
 PLACE = np.uint64(28)  # bits of the position in the order of anchors
 
 
@@ -92,7 +91,7 @@ def repeated(texts: DataFrame, least: int) -> DataFrame:
     lists = found.join(often, "anchor").groupBy("_key").agg(F.array_sort(F.collect_set(code)).alias("codes"))
     lists = stage(lists, "anchor-lists")
     drop(found, often)
-    wanted = attach(texts, lists, ["_key"], "inner", _rows_by_bytes(lists, "codes", 4))
+    wanted = texts.join(lists, "_key")  # texts meet their lists alike at every size, by Spark's own check of it
     schema = ", ".join(f"{c} {k}" for c, k in zip(CUT, ("long", "long", "long", "long", "long", "int", "binary", "array<binary>", *["binary"] * 5), strict=True))
     cut = stage(wanted.mapInArrow(_cutter(least), schema), "pieces")
 
@@ -121,12 +120,6 @@ def _nth(text: np.ndarray) -> np.ndarray:
     return np.arange(len(text)) - np.searchsorted(text, text)
 
 
-def _rows_by_bytes(lists: DataFrame, column: str, width: int) -> int:
-    """The number of rows, or a number too large to broadcast if their lists are."""
-    rows, items = lists.agg(F.count("*"), F.sum(F.size(column))).first()
-    return rows if rows * 60 + (items or 0) * width <= LIST_BYTES else 1 << 60
-
-
 # One row per distinct piece, or crowded stretch, of a block; and one per block with its places.
 CUT = ["chunk", "piece", "anchor", "copies", "hash", "owned", "text", "keys", "doc", "first", "at", "crowd_doc", "crowd_at"]
 
@@ -347,10 +340,14 @@ def covered(docs: DataFrame, least: int, text: str, *more: str) -> DataFrame:
     # Copies of a text are one before the shuffle, so a large group of them sends one from each task.
     single = stage(marked.where("_rows is not null").groupBy("_key").agg(F.first("_text").alias("_text")), "copies-once")
     lists = repeated(marked.where("_rows is null").select("_key", "_text").unionByName(single), least)
-    part = attach(lists, copies, ["_key"]).where("_rows is null").select("_key", "_from", "_to")
-    whole = copies.select("_key", F.array(F.lit(0)).alias("_from"), F.array("_size").alias("_to"))
-    lists = stage(part.unionByName(whole), "repeat-ranges")
-    return attach(texts, lists, ["_key"], "left", _rows_by_bytes(lists, "_from", 8))
+    # Copies have their range from the table of copies, short texts have none. What is left has a key of its own, so
+    # no key of that join is hot.
+    told = attach(texts.where(size >= least), copies, ["_key"])
+    alone = told.where("_rows is null").drop("_rows", "_size").join(lists, "_key", "left")
+    whole = told.where("_rows is not null").withColumns({"_from": F.array(F.lit(0)), "_to": F.array("_size")}).drop("_rows", "_size")
+    none = F.lit(None).cast("array<int>")
+    short = texts.where(size < least).withColumns({"_from": none, "_to": none})
+    return alone.unionByName(whole).unionByName(short)
 
 
 def remove_repeats(docs: DataFrame, least: int = LEAST, key: str = "doc_id", text: str = "text") -> DataFrame:

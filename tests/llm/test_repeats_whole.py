@@ -119,3 +119,11 @@ def test_anchors_are_named_by_content_alone():
     text, first, last, gram = repeats.anchors(*flat(pa.array(texts)), 60, Powers())
     place = {int(t): int(g) for t, f, n, g in zip(text, first, last, gram) if f <= t <= n}
     assert len(place) == 9 and len(set(place.values())) == 1
+
+
+def test_a_task_that_lays_answers_returns_its_memory(monkeypatch):
+    """Workers live on, so what a task's arrays took would stay with the executor."""
+    returned = []
+    monkeypatch.setattr(repeats, "give_back", lambda: returned.append(True))
+    assert list(repeats._laid(repeats.LEAST)(iter([]))) == []
+    assert returned == [True]

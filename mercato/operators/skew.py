@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -33,6 +33,29 @@ def hot_keys(
     return [row[key] for row in top if row["n"] >= floor]
 
 
+def among(key: str, keys: list[object]) -> Column:
+    """Whether a row's key (NULL may be one) is in the list; never NULL."""
+    known = [k for k in keys if k is not None]
+    found = F.coalesce(F.col(key).isin(known), F.lit(False)) if known else F.lit(False)
+    return found | F.col(key).isNull() if None in keys else found
+
+
+def gathered(
+    df: DataFrame, key: str, total: Callable[[DataFrame], DataFrame], hot: list[object] | None = None
+) -> DataFrame:
+    """``total``, which groups by ``key``, over rows that one shuffle has brought together.
+
+    Where a key has a handful of rows that lie apart, partial sums before the shuffle save no row and
+    weigh more than the rows do, and a distinct count takes a second shuffle. Rows of a hot key go
+    that usual way nevertheless, so that every task sends one row of each.
+    """
+    hot = hot_keys(df, key) if hot is None else hot
+    if not hot:
+        return total(df.repartition(key))
+    rest = total(df.filter(~among(key, hot)).repartition(key))
+    return rest.unionByName(total(df.filter(among(key, hot))))
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,

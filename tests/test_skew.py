@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.operators.skew import hot_keys, salted_join
+from mercato.operators.skew import gathered, hot_keys, salted_join
+from mercato.plans.warehouse import orders_at_seller, orders_in_category
 from tests.conftest import rows
 
 
@@ -87,3 +88,55 @@ def test_no_hot_key_in_an_empty_or_tiny_table(spark):
     assert hot_keys(spark.createDataFrame([(1,), (2,)], "k int"), "k", fraction=1.0) == []
     assert hot_keys(spark.createDataFrame([(1,), (1,)], "k int"), "k", fraction=1.0) == [1]
     assert hot_keys(spark.createDataFrame([(None,), (None,), (3,)], "k int"), "k", fraction=1.0) == [None]
+
+
+def _totals(df):
+    return df.groupBy("k").agg(F.count("*").alias("n"), F.count_distinct(F.col("id") % 7).alias("d"), F.sum("id").alias("s"))
+
+
+@pytest.mark.parametrize("hot", [[], [0], [None], [0, None], None])
+def test_gathered_totals_are_the_plain_ones(sides, hot):
+    assert rows(gathered(sides[0], "k", _totals, hot)) == rows(_totals(sides[0]))
+
+
+def test_a_distinct_count_of_gathered_rows_takes_one_shuffle(sides):
+    def shuffles(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    assert shuffles(_totals(sides[0])) == 2
+    assert shuffles(gathered(sides[0], "k", _totals, [])) == 1
+
+
+def test_marked_orders_are_counted_like_distinct_ones(spark):
+    """Marks of the lines of order 9, which is hot, are missing; ``unknown`` is a name and a label."""
+    lines = spark.createDataFrame(
+        [
+            (1, "a", "s", True, True, True),
+            (1, "a", "t", True, False, True),
+            (1, None, "s", False, True, False),
+            (1, None, "s", True, False, False),
+            (1, "unknown", "s", True, True, False),
+            (2, "a", "s", True, True, True),
+            (None, "a", "s", True, False, False),
+            (9, "a", "s", True, None, None),
+            (9, "a", "s", True, None, None),
+            (9, None, None, True, None, None),
+        ],
+        "order_id int, category string, seller_id string, known_product boolean, new_in_category boolean, new_at_seller boolean",
+    )
+    distinct = F.count_distinct("order_id").alias("n")
+    label = F.coalesce("category", F.lit("unknown"))
+    for frame, group, counted in (
+        (lines, F.col("category"), orders_in_category()),
+        (lines, label, orders_in_category()),
+        (lines.filter("known_product"), F.col("category"), orders_in_category()),
+        (lines, F.col("seller_id"), orders_at_seller()),
+    ):
+        found = frame.groupBy(group.alias("g")).agg(counted.alias("n"))
+        assert rows(found) == rows(frame.groupBy(group.alias("g")).agg(distinct))
+
+
+def test_one_line_is_marked_per_order_and_category_or_seller(wh):
+    for mark, column in (("new_in_category", "category"), ("new_at_seller", "seller_id")):
+        lines = wh.lines.filter(F.col(mark).isNotNull()).groupBy("order_id", column)
+        assert lines.agg(F.count_if(mark).alias("n")).filter("n != 1").count() == 0

@@ -15,7 +15,7 @@ from mercato.functions.columns import (
 )
 from mercato.operators.topn import share_of_total, top
 from mercato.plans.registry import query
-from mercato.plans.warehouse import Warehouse
+from mercato.plans.warehouse import Warehouse, orders_in_category
 
 
 def paid(wh: Warehouse) -> DataFrame:
@@ -96,7 +96,7 @@ def installments(wh: Warehouse) -> DataFrame:
 @query("q07_category_top10")
 def category_revenue(wh: Warehouse, n: int | None = 10) -> DataFrame:
     by_category = wh.lines.groupBy(label_or_unknown("category").alias("category")).agg(
-        money("price").alias("revenue"), F.count_distinct("order_id").alias("orders")
+        money("price").alias("revenue"), orders_in_category().alias("orders")
     )
     return top(by_category, [down("revenue"), up("category")], n)
 

@@ -12,7 +12,7 @@ from mercato.operators.months import Measure, MonthlyState
 from mercato.operators.skew import salted_join
 from mercato.plans.basics import paid
 from mercato.plans.registry import query
-from mercato.plans.warehouse import Warehouse
+from mercato.plans.warehouse import Warehouse, orders_in_category
 from mercato.session import scratch_path
 
 
@@ -194,7 +194,7 @@ def revenue_by_state_mart(wh: Warehouse) -> DataFrame:
 @query("mart_category_performance")
 def category_performance_mart(wh: Warehouse) -> DataFrame:
     return wh.lines.groupBy("category").agg(
-        F.count_distinct("order_id").alias("orders"),
+        orders_in_category().alias("orders"),
         money("price").alias("revenue"),
         rounded(mean("price")).alias("avg_item_price"),
         money("freight_value").alias("freight"),

@@ -9,7 +9,7 @@ from mercato.operators import ordered
 from mercato.operators.topn import top, top_n_per_group
 from mercato.plans.basics import down, paid, reviewed, review_mean, up
 from mercato.plans.registry import query
-from mercato.plans.warehouse import Warehouse
+from mercato.plans.warehouse import Warehouse, orders_in_category
 from mercato.plans.windows import category_months, spenders
 from mercato.session import materialise
 
@@ -40,7 +40,7 @@ def bottom_categories(wh: Warehouse, n: int = 10, min_orders: int = 5) -> DataFr
     by_category = (
         wh.lines.filter("known_product")
         .groupBy("category")
-        .agg(F.count_distinct("order_id").alias("orders"), F.sum("price").alias("total"))
+        .agg(orders_in_category().alias("orders"), F.sum("price").alias("total"))
         .filter(F.col("orders") >= min_orders)
         .select("category", "orders", rounded("total").alias("revenue"))
     )

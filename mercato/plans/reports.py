@@ -25,7 +25,7 @@ from mercato.operators.paging import Order
 from mercato.operators.topn import top, top_by_metric
 from mercato.plans.basics import category_revenue, down, paid, paid_by_known, review_mean, up
 from mercato.plans.registry import query
-from mercato.plans.warehouse import Warehouse
+from mercato.plans.warehouse import Warehouse, orders_in_category
 from mercato.specs import CATALOG
 
 
@@ -208,7 +208,7 @@ def top_products(wh: Warehouse, n: int = 10) -> DataFrame:
 @query("api_categories")
 def categories(wh: Warehouse, n: int = 15) -> DataFrame:
     by_category = wh.lines.groupBy(label_or_unknown("category").alias("category")).agg(
-        F.count_distinct("order_id").alias("orders"),
+        orders_in_category().alias("orders"),
         money("price").alias("revenue"),
         rounded(mean("price")).alias("avg_item_price"),
     )

@@ -25,7 +25,7 @@ from mercato.operators.topn import top
 from mercato.plans.basics import down, paid, up
 from mercato.plans.registry import query
 from mercato.plans.spines import first_orders
-from mercato.plans.warehouse import Warehouse
+from mercato.plans.warehouse import Warehouse, orders_at_seller
 from mercato.specs import PAYMENT_TYPES
 
 
@@ -242,7 +242,7 @@ def seller_scorecard(wh: Warehouse, n: int = 25, min_orders: int = 5) -> DataFra
         wh.lines.filter("known_order")
         .groupBy("seller_id")
         .agg(
-            F.count_distinct("order_id").alias("orders"),
+            orders_at_seller().alias("orders"),
             money(F.col("price") * weight).alias("revenue"),
             rounded(ratio(F.sum("review_sum"), F.sum("review_scored"))).alias("avg_review"),
             rounded(

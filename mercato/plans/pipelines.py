@@ -59,9 +59,9 @@ def _text(df: DataFrame) -> DataFrame:
 
 
 def export_raw(wh: Warehouse, source: str, table: str) -> str:
-    """A source table as raw CSV under a fresh folder."""
+    """A source table as raw CSV under a fresh folder, compressed as such exports are kept."""
     folder = scratch_path(wh.spark, "raw")
-    export_csv(_text(wh.source(source)), f"{folder}/{table}.csv")
+    export_csv(_text(wh.source(source)), f"{folder}/{table}.csv", compression="gzip")
     return folder
 
 

@@ -41,10 +41,14 @@ def write_partitioned(
     return path
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """CSV with a header. ``single_file`` is for small extracts only: one task writes it."""
+def export_csv(df: DataFrame, path: str, single_file: bool = False, compression: str | None = None) -> str:
+    """CSV with a header. ``single_file`` is for small extracts only: one task writes it.
+
+    A compressed file is read back by one task, so its rows are as many as one task has written.
+    """
     frame = df.coalesce(1) if single_file else df
-    frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = frame.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("zlib.compress.level", "BEST_SPEED").csv(path, compression=compression)
     return path
 
 

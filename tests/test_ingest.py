@@ -16,6 +16,7 @@ from mercato.operators.clean import (
     distinct_on,
 )
 from mercato.plans.ingest import ingest_table
+from mercato.plans.pipelines import export_raw
 from mercato.sources.readers import read_csv, register_staging
 from mercato.sources.sinks import export_csv, refresh_snapshot, write_partitioned
 from mercato.specs import CATALOG, spec_of, table as table_of
@@ -184,3 +185,11 @@ def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
         spark.conf.unset(size)
     assert len(list((tmp_path / "p" / "m=2").glob("*.parquet"))) > 1
     assert spark.read.parquet(path).count() == 200_000
+
+
+def test_raw_exports_are_compressed_and_read_alike(spark, wh):
+    """The raw files are most of what an ingestion run writes."""
+    folder = export_raw(wh, "orders", "orders")
+    files = [f.split("/")[-1] for f in spark.read.text(f"{folder}/orders.csv").inputFiles()]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert read_csv(spark, f"{folder}/orders.csv", multi_line=False).count() == wh.source("orders").count()

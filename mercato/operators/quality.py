@@ -145,6 +145,12 @@ def _text_key(columns: Sequence[str]) -> Column:
     return F.concat(*[F.when(p.isNull(), F.lit("-")).otherwise(F.concat(F.length(p).cast("string"), F.lit(":"), p)) for p in parts])
 
 
+def _whole(frame: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether these columns are at most two whole numbers: such a key is compared as numbers, not as text."""
+    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    return len(columns) <= 2 and all(isinstance(frame.schema[c].dataType, kinds) for c in columns)
+
+
 def _domain(table: str, columns: Sequence[str]) -> str:
     return f"{table}.{','.join(columns)}"
 
@@ -155,8 +161,8 @@ def check_all(
     """Every check of every subject from one pass over each table.
 
     A row is exploded into what it contributes: one entry per rule it breaks, one for its key and one
-    per reference. An entry names a domain (a rule, or a key such as ``orders.order_id``), a
-    value and a slot: slot 0 holds the domain's own rows, further slots the tables that refer to
+    per reference. An entry names a domain (a rule, or a key such as ``orders.order_id``) by number, a
+    value (as numbers where all columns of the domain are whole, else as text) and a slot: slot 0 holds the domain's own rows, further slots the tables that refer to
     it. All tables' entries go through one aggregation by (domain, value), combined before the
     shuffle, so that copies of a key are one row: uniqueness, and references without a
     partner, are then read off the counts of the slots. A parent that is not itself a subject is
@@ -164,27 +170,48 @@ def check_all(
     """
     parents = parents or {}
     by_name = {s.name: s for s in subjects}
-    labels: list[tuple[str, int, str, str]] = []  # domain, slot, table, check
+    labels: list[tuple[int, int, str, str]] = []  # domain, slot, table, check
     fixed: list[tuple] = []  # checks that need no row
     entries: dict[str, list[Column]] = {s.name: [] for s in subjects}
     extra: dict[str, list[str]] = {}  # key columns to be read of parents that are no subjects
     known: set[str] = set()
     slots: dict[str, int] = {}
 
-    def entry(domain: str, slot: int, value: Column, when: Column | None = None) -> Column:
-        made = F.struct(F.lit(domain).alias("domain"), value.alias("value"), F.lit(slot).alias("slot"))
+    numbers: dict[str, int] = {}  # of domains: below 0 for a rule
+    frames = {s.name: s.frame for s in subjects}
+    whole: dict[str, bool] = {_domain(s.name, s.key): _whole(s.frame, s.key) for s in subjects if s.key and set(s.key) <= set(s.frame.columns)}
+    for s in subjects:
+        for column, target in s.references.items():
+            parent, parent_column = target.split(".")
+            if parent not in frames and parent in parents:
+                frames[parent] = parents[parent]()
+            if parent in frames and parent_column in frames[parent].columns:
+                whole[target] = whole.get(target, _whole(frames[parent], [parent_column])) and _whole(s.frame, [column])
+
+    def number(domain: str) -> int:
+        made = numbers.setdefault(domain, len(numbers) + 1)
+        return -made if "!" in domain else made
+
+    def entry(domain: str, slot: int, columns: Sequence[str], when: Column | None = None) -> Column:
+        as_numbers = whole.get(domain, False)
+        value = [F.col(c).cast("bigint") for c in columns] if as_numbers else []
+        value += [F.lit(None).cast("bigint")] * (2 - len(value))
+        text = _text_key(columns) if columns and not as_numbers else F.lit(None).cast("string")
+        made = F.struct(
+            F.lit(number(domain)).alias("domain"), value[0].alias("a"), value[1].alias("b"), text.alias("text"), F.lit(slot).alias("slot")
+        )
         return made if when is None else F.when(when, made)
 
     for s in subjects:
         for check, bad in s.rules.items():
             domain = f"{s.name}!{check}"
-            labels.append((domain, 0, s.name, check))
-            entries[s.name].append(entry(domain, 0, F.lit(None).cast("string"), F.coalesce(bad, F.lit(False))))
+            labels.append((number(domain), 0, s.name, check))
+            entries[s.name].append(entry(domain, 0, [], F.coalesce(bad, F.lit(False))))
         if s.key and set(s.key) <= set(s.frame.columns):
             domain = _domain(s.name, s.key)
             known.add(domain)
-            labels.append((domain, 0, s.name, f"pk_unique[{','.join(s.key)}]"))
-            entries[s.name].append(entry(domain, 0, _text_key(s.key)))
+            labels.append((number(domain), 0, s.name, f"pk_unique[{','.join(s.key)}]"))
+            entries[s.name].append(entry(domain, 0, s.key))
         elif s.key:
             fixed.append((s.name, f"pk_present[{','.join(s.key)}]", False, 1))
     for s in subjects:
@@ -193,7 +220,7 @@ def check_all(
             parent, parent_column = target.split(".")
             if target not in known:
                 if parent in by_name and parent_column in by_name[parent].frame.columns:
-                    entries[parent].append(entry(target, 0, _text_key([parent_column])))
+                    entries[parent].append(entry(target, 0, [parent_column]))
                 elif parent not in by_name and parent in parents:
                     extra.setdefault(parent, []).append(parent_column)
                 else:
@@ -201,14 +228,14 @@ def check_all(
                     continue
                 known.add(target)
             slots[target] = slots.get(target, 0) + 1
-            labels.append((target, slots[target], s.name, check))
-            entries[s.name].append(entry(target, slots[target], _text_key([column]), F.col(column).isNotNull()))
+            labels.append((number(target), slots[target], s.name, check))
+            entries[s.name].append(entry(target, slots[target], [column], F.col(column).isNotNull()))
     for parent, columns in extra.items():
-        by_name[parent] = Subject(parent, parents[parent]())
-        entries[parent] = [entry(f"{parent}.{c}", 0, _text_key([c])) for c in columns]
+        by_name[parent] = Subject(parent, frames[parent])
+        entries[parent] = [entry(f"{parent}.{c}", 0, [c]) for c in columns]
 
     told = [
-        by_name[name].frame.select(F.explode(F.filter(F.array(*made), lambda e: e.isNotNull())).alias("e")).select("e.*")
+        by_name[name].frame.select(F.explode(F.array(*made)).alias("e")).where("e is not null").select("e.*")
         for name, made in entries.items()
         if made
     ]
@@ -216,14 +243,14 @@ def check_all(
     if not told:
         return results
     most = max(slots.values(), default=0)
-    counts = reduce(DataFrame.unionAll, told).groupBy("domain", "value").agg(
+    counts = reduce(DataFrame.unionAll, told).groupBy("domain", "a", "b", "text").agg(
         *[F.count_if(F.col("slot") == k).alias(f"n{k}") for k in range(most + 1)]
     )
-    rule = F.contains("domain", F.lit("!"))
+    rule = F.col("domain") < 0
     broken = [F.sum(F.when(rule, F.col("n0")).otherwise(F.greatest(F.col("n0") - 1, F.lit(0))))]
     broken += [F.sum(F.when(F.col("n0") == 0, F.col(f"n{k}")).otherwise(0)) for k in range(1, most + 1)]
     found = counts.groupBy("domain").agg(F.array(*broken).alias("_broken")).select("domain", F.posexplode("_broken").alias("slot", "_n"))
-    named = spark.createDataFrame(labels, "domain string, slot int, table_name string, check_name string")
+    named = spark.createDataFrame(labels, "domain int, slot int, table_name string, check_name string")
     report = named.join(found, ["domain", "slot"], "left").withColumn("violations", F.coalesce("_n", F.lit(0)).cast("bigint"))
     return results.unionByName(report.select("table_name", "check_name", (F.col("violations") == 0).alias("passed"), "violations"))
 

@@ -99,7 +99,7 @@ def freight_by_category_and_state(wh: Warehouse, min_items: int = 20) -> DataFra
 @query("ui_freight_by_category")
 def freight_by_category(wh: Warehouse, min_items: int = 20) -> DataFrame:
     groups = [label_or_unknown("category").alias("category")]
-    return freight_burden(wh.lines, groups, min_items).orderBy(
+    return freight_burden(wh.priced_items(), groups, min_items).orderBy(
         down("freight_pct_of_price"), "category"
     )
 

@@ -164,7 +164,7 @@ def basket_histogram(
 def margin_proxy(wh: Warehouse, n: int = 20) -> DataFrame:
     price, freight = F.sum("price"), F.sum("freight_value")
     by_category = (
-        wh.lines.filter("known_product")
+        wh.priced_items().filter("known_product")
         .groupBy("category")
         .agg(
             rounded(price).alias("gross_revenue"),

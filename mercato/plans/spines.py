@@ -68,7 +68,7 @@ def gap_filled_months(wh: Warehouse) -> DataFrame:
 @query("q31_category_share_total")
 def category_share_of_total(wh: Warehouse, n: int = 20) -> DataFrame:
     by_category = (
-        wh.lines.filter("known_product").groupBy("category").agg(F.sum("price").alias("total"))
+        wh.priced_items().filter("known_product").groupBy("category").agg(F.sum("price").alias("total"))
     )
     shares = by_category.select(
         "category", rounded("total").alias("revenue"), share_of_total("total").alias("pct_of_total")

@@ -123,9 +123,13 @@ def state_concentration(wh: Warehouse) -> DataFrame:
 
 @query("q65_cross_sell_affinity")
 def cross_sell_affinity(wh: Warehouse, n: int | None = 20) -> DataFrame:
-    bought = wh.lines.filter(
-        "known_product and category is not null and customer_unique_id is not null"
-    )
+    """An order's categories go to its person: no payment, review or total of the order is needed."""
+    if wh.has("lines"):
+        bought = wh.lines.filter("known_product and category is not null and customer_unique_id is not null")
+    else:
+        labels = wh.priced_items().filter("known_product and category is not null and order_id is not null")
+        people = wh.placed_orders().filter("customer_unique_id is not null").select("order_id", "customer_unique_id")
+        bought = labels.select("order_id", "category").distinct().join(people, "order_id")
     pairs = pair_counts(bought, "customer_unique_id", "category", "shared_customers")
     return top(pairs, [down("shared_customers"), up("category_a"), up("category_b")], n)
 

@@ -45,12 +45,12 @@ def segment_sizes(wh: Warehouse) -> DataFrame:
 
 @query("q61_quintile_revenue")
 def quintile_revenue(wh: Warehouse, tiles: int = 5) -> DataFrame:
-    """The monetary score of the RFM mart is the quintile when five tiles are asked for."""
+    """The monetary score of the RFM mart is the quintile when five tiles are asked for and the mart is there."""
     by_spend = [F.col("spent"), F.col("customer_unique_id")]
-    if tiles == 5:
+    if tiles == 5 and wh.has("rfm"):
         tiled = wh.rfm.select(F.col("m_score").alias("m_quintile"), F.col("monetary").alias("spent"))
     else:
-        tiled = ordered.ntiles(spenders(wh), {"m_quintile": (tiles, by_spend)})
+        tiled = ordered.ntiles(wh.spending, {"m_quintile": (tiles, by_spend)})
     summary = tiled.groupBy("m_quintile").agg(
         F.count(F.lit(1)).alias("customers"), F.sum("spent").alias("total")
     )

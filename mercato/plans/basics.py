@@ -13,6 +13,7 @@ from mercato.functions.columns import (
     rounded,
     share_where,
 )
+from mercato.operators.skew import gathered
 from mercato.operators.topn import share_of_total, top
 from mercato.plans.registry import query
 from mercato.plans.warehouse import Warehouse, orders_in_category
@@ -95,15 +96,29 @@ def installments(wh: Warehouse) -> DataFrame:
 
 @query("q07_category_top10")
 def category_revenue(wh: Warehouse, n: int | None = 10) -> DataFrame:
-    by_category = wh.lines.groupBy(label_or_unknown("category").alias("category")).agg(
-        money("price").alias("revenue"), orders_in_category().alias("orders")
-    )
+    """Orders are counted by the marks of ``lines`` if that is there, else by one row per order and category."""
+    label = label_or_unknown("category").alias("category")
+    if wh.has("lines"):
+        by_category = wh.lines.groupBy(label).agg(
+            money("price").alias("revenue"), orders_in_category().alias("orders")
+        )
+    else:
+
+        def per_order(items: DataFrame) -> DataFrame:
+            return items.groupBy("order_id", "category").agg(F.sum("price").alias("price"))
+
+        items = wh.priced_items().select("order_id", label, "price")
+        by_category = (
+            gathered(items, "order_id", per_order, wh.hot_orders())
+            .groupBy("category")
+            .agg(money("price").alias("revenue"), F.count("order_id").alias("orders"))
+        )
     return top(by_category, [down("revenue"), up("category")], n)
 
 
 @query("q08_freight_pct")
 def freight_share(wh: Warehouse, n: int = 15) -> DataFrame:
-    by_category = wh.lines.groupBy(label_or_unknown("category").alias("category")).agg(
+    by_category = wh.priced_items().groupBy(label_or_unknown("category").alias("category")).agg(
         rounded(percent(F.sum("freight_value"), F.sum("price"))).alias("freight_pct")
     )
     return top(by_category, [down("freight_pct"), up("category")], n)

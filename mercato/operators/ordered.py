@@ -53,9 +53,10 @@ def _together(placed: DataFrame) -> DataFrame:
     """Buckets spread evenly over tasks by their number, each in one task.
 
     A window over ``_bucket`` takes this placement as it is; by the hash of their numbers some
-    tasks would get several buckets and others none.
+    tasks would get several buckets and others none. Each bucket is one file, and with their number
+    given narrow rows of many buckets are not put into one task for their few bytes.
     """
-    return placed.repartitionByRange("_bucket")
+    return placed.repartitionByRange(max(len(placed.inputFiles()), 1), "_bucket")
 
 
 def _bucket_totals(placed: DataFrame, totals: Mapping[str, Column]) -> DataFrame:

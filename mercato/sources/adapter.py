@@ -8,10 +8,16 @@ from threading import Lock
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mercato.operators.clean import distinct_on
-from mercato.operators.skew import salted_join
+from mercato.operators.skew import gathered, salted_join
 from mercato.session import materialise
 
 
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+# Of the lines with one key the first by all columns, in this order, is kept; it is also the first by any of the leading ones.
+PRICE_COLUMNS = [*LINE_KEY, "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+LINE_COLUMNS = [*PRICE_COLUMNS, "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
 def _plus(unit: str, amount: Column, ts: Column) -> Column:
     return F.timestamp_add(unit, amount.cast("int"), ts)
 
@@ -41,20 +47,8 @@ class SourceTables:
         """Line items with one row per (order, line); both items and payments come from it."""
 
         def build() -> DataFrame:
-            lines = self.raw("lineitem").select(
-                "l_orderkey",
-                "l_linenumber",
-                "l_partkey",
-                "l_suppkey",
-                "l_shipdate",
-                "l_extendedprice",
-                "l_quantity",
-                "l_discount",
-                "l_tax",
-                "l_returnflag",
-                "l_linestatus",
-            )
-            return distinct_on(lines, ["l_orderkey", "l_linenumber"])
+            lines = self.raw("lineitem").select(*LINE_COLUMNS)
+            return distinct_on(lines, LINE_KEY)
 
         return self._stored("clean-lines", build)
 
@@ -184,6 +178,19 @@ class SourceTables:
     def order_items_uncleaned(self) -> DataFrame:
         return self._items_from(self.raw("lineitem"))
 
+    def item_prices(self) -> DataFrame:
+        """Product and price of the order items, from the cleaned lines if they are there.
+
+        Else from narrow lines, brought together by order and sorted once, of which nothing is stored.
+        """
+        if "clean-lines" in self._kept:
+            lines = self._clean_lines()
+        else:
+            narrow = self.raw("lineitem").select(*PRICE_COLUMNS)
+            lines = gathered(narrow, "l_orderkey", lambda rows: distinct_on(rows, LINE_KEY))
+        price = F.col("l_extendedprice").cast("decimal(12,2)")
+        return lines.select(F.col("l_partkey").alias("product_id"), price.alias("price"))
+
     def order_payments(self) -> DataFrame:
         return self._clean_lines().select(
             F.col("l_orderkey").alias("order_id"),
@@ -208,7 +215,7 @@ class SourceTables:
         )
 
 
-# Table order follows the catalog; state_regions is the extra lookup.
+# Table order follows the catalog; state_regions is the extra lookup, and what follows it serves single queries.
 def source_tables(spark: SparkSession, base_dir: str) -> dict[str, object]:
     """Name to builder of every source table."""
     tables = SourceTables(spark, base_dir)
@@ -225,4 +232,5 @@ def source_tables(spark: SparkSession, base_dir: str) -> dict[str, object]:
         "state_regions": tables.state_regions,
         "raw": tables.raw,
         "order_items_uncleaned": tables.order_items_uncleaned,
+        "item_prices": tables.item_prices,
     }

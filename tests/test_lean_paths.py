@@ -48,3 +48,34 @@ def test_keys_of_numbers_and_of_text_are_checked_alike(spark):
 def test_number_keys_are_shuffled_as_numbers(wh):
     plan = QUERIES["validation_report_uncleaned"](wh)._jdf.queryExecution().executedPlan().toString()
     assert "lambda" not in plan and "cast(order_id" not in plan and "concat(" not in plan
+
+
+def test_products_are_classed_without_storing_the_lines(spark, wh):
+    sources = source_tables(spark, DATA)
+    found = QUERIES["q67_abc_products_all"](Warehouse(spark, sources)).collect()
+    assert "clean-lines" not in sources["order_items"].__self__._kept
+    wh.build_marts()
+    assert found and found == QUERIES["q67_abc_products_all"](wh).collect()
+
+
+def test_prices_of_narrow_lines_are_those_of_the_cleaned_ones(spark, tmp_path):
+    """Several lines of one key, keys and leading columns that are null, and an order with most of the lines."""
+    def line(order, number, *rest):
+        part, supplier, day, price = rest
+        return (order, number, part, supplier, day, price, 1.0, 0.0, 0.1, "N", "O")
+
+    rows = [
+        line(1, 1, 7, 3, None, 5.0), line(1, 1, 7, 3, "2020-01-02", 4.0), line(1, 1, 7, None, "2020-01-01", 3.0), line(1, 1, 8, 1, None, 1.0),
+        line(1, 2, None, 1, None, 2.0), line(1, 2, 9, 4, None, None), line(2, 1, None, None, None, None), line(2, 1, None, None, None, 6.0),
+        line(None, 1, 5, 1, None, 1.5), line(None, 1, 5, 1, None, 0.5), line(3, None, 6, 1, None, 8.25), line(3, None, 6, 1, None, 8.25),
+        *[line(4, n % 1500, n % 11, n % 7, None, float(n)) for n in range(3000)],
+    ]
+    names = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate string, l_extendedprice double, l_quantity double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    lines = spark.createDataFrame(rows, names).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    sources = source_tables(spark, str(tmp_path))
+    key = lambda r: tuple((v is None, v or 0) for v in r)
+    narrow = sorted(sources["item_prices"]().collect(), key=key)
+    cleaned = sorted(sources["order_items"]().select("product_id", "price").collect(), key=key)
+    assert len(narrow) == 1505 and narrow == cleaned
+    assert sorted(sources["item_prices"]().collect(), key=key) == cleaned  # now from the cleaned lines

@@ -117,3 +117,8 @@ def test_a_value_with_a_third_of_the_rows_fills_several_buckets(values):
     sizes = [r["count"] for r in placed.groupBy("_bucket").count().collect()]
     assert len(sizes) == 9 and max(sizes) < 2000 / 9 * 2
     assert placed.filter("v = 50").select("_bucket").distinct().count() >= 3
+
+
+def test_small_buckets_keep_their_tasks(spark):
+    placed = ordered.place(spark.range(8000), [F.col("id")], ["id"], buckets=8)
+    assert ordered._together(placed).rdd.getNumPartitions() == 8

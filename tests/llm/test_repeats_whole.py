@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.llm import repeats
+from mercato.llm import queries, repeats
 from mercato.llm.ragged import Powers
 from tests.llm.conftest import documents, frame
 
@@ -127,3 +127,24 @@ def test_a_task_that_lays_answers_returns_its_memory(monkeypatch):
     monkeypatch.setattr(repeats, "give_back", lambda: returned.append(True))
     assert list(repeats._laid(repeats.LEAST)(iter([]))) == []
     assert returned == [True]
+
+
+def test_what_is_left_and_what_went_can_be_read(spark, tmp_path):
+    """Passages of over 50 words: one of 400 bytes goes, one of 399 stays; the digests follow from spans and kept bytes."""
+    rnd = random.Random(8)
+    passage = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))[:n]
+    long_, short = passage(400), passage(399)
+    assert min(len(long_.split()), len(short.split())) > 50
+    # The third and fourth share the first byte of their last characters too.
+    texts = ["One " + long_ + "x", "Two" + long_, "Three" + long_[::-1] + "é!", "Four" + long_[::-1] + "è?", "Five" + short + "y", "Six" + short, None, "alone"]
+    documents(spark, list(enumerate(texts))).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.op7_repeat_intervals(spark, str(tmp_path)).collect()}
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for _, r in sorted(got.items())] == brute(texts, 400)
+    assert [got[i].repeated for i in range(8)] == [True] * 4 + [False] * 4
+    assert [got[i].kept_text for i in range(8)] == ["One x", "Two", "Three\ufffd!", "Four\ufffd?", texts[4], texts[5], "", "alone"]
+    for r in repeats.remove_repeats(spark.read.parquet(str(tmp_path / "documents.parquet"))).collect():
+        raw = (texts[r.doc_id] or "").encode()
+        left = bytearray(raw)
+        for a, b in reversed([(s.start, s.end) for s in r.spans]):
+            del left[a:b]
+        assert bytes(r.kept) == bytes(left) and hashlib.sha256(left).hexdigest() == got[r.doc_id].kept_sha256
